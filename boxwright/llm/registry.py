@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from .token_records import op10_token_records
 from .near_dedup import OP2_SQL, op2_minhash_near_dedup
 
-QUERIES = {"op2_minhash_near_dedup": op2_minhash_near_dedup}
+QUERIES = {
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op10_token_records": op10_token_records,
+}
 SQL = {"op2_minhash_near_dedup": OP2_SQL}

@@ -13,6 +13,7 @@ import pyarrow as pa
 
 #: Bytes of text that are held as numpy arrays at once; one longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
+PIECE_BYTES = 1 << 17
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers = np.ones(1, np.uint64)
@@ -58,6 +59,26 @@ def blocks(offs: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int
         i = min(j, n)
 
 
+def span_hash(raw: np.ndarray, starts: np.ndarray, inside: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hash of the bytes from each start to the next start (the last to the end); bytes not `inside` don't count."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    out = np.empty(len(starts), np.uint64)
+    step = max(1, len(starts) * PIECE_BYTES // max(1, len(raw)))
+    for i in range(0, len(starts), step):  # pieces that fit a core's cache
+        at = starts[i : i + step]
+        end = starts[i + step] if i + step < len(starts) else len(raw)
+        piece, at = raw[at[0] : end], at - at[0]
+        idx = np.arange(len(piece), dtype=np.int32) - np.repeat(at.astype(np.int32), np.diff(np.r_[at, len(piece)]))
+        values = piece.astype(np.uint64) + np.uint64(1)
+        if inside is not None:
+            values *= inside[end - len(piece) : end]
+            idx *= inside[end - len(piece) : end]
+        values *= powers(int(idx.max()) + 1)[idx]
+        out[i : i + step] = np.add.reduceat(values, at)
+    return mix64(out)
+
+
 class Words:
     """Words of a block: start and end (byte positions in `raw`), row of each word, 64-bit hash, first word of each row."""
 
@@ -74,18 +95,7 @@ class Words:
         self.low, self.start, self.end, self.n_rows = low, starts, ends, n_rows
         self.row = np.searchsorted(offs, starts, "right") - 1
         self.bounds = np.searchsorted(starts, offs).astype(np.int64)  # words of row i: bounds[i]:bounds[i+1]
-        if len(starts):
-            lens = ends - starts
-            p = powers(int(lens.max()) + 1)
-            idx = np.arange(len(raw)) - np.repeat(starts, np.diff(np.r_[starts, len(raw)])) if starts[0] == 0 else None
-            if idx is None:
-                idx = np.arange(starts[0], len(raw)) - np.repeat(starts, np.diff(np.r_[starts, len(raw)]))
-            span = slice(starts[0], len(raw))
-            values = (low[span].astype(np.uint64) + np.uint64(1)) * inside[span]
-            values *= p[np.minimum(idx, len(p) - 1)]
-            self.hash = mix64(np.add.reduceat(values, starts - starts[0]))
-        else:
-            self.hash = np.zeros(0, np.uint64)
+        self.hash = span_hash(low, starts, inside)
 
 
 def word_blocks(col: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int, Words]]:
