@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from .token_records import op10_token_records
+from .warc import OP9_SQL, op9_warc_content_addressed
 from .near_dedup import OP2_SQL, op2_minhash_near_dedup
 
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op9_warc_content_addressed": op9_warc_content_addressed,
     "op10_token_records": op10_token_records,
 }
-SQL = {"op2_minhash_near_dedup": OP2_SQL}
+SQL = {
+    "op2_minhash_near_dedup": OP2_SQL,
+    "op9_warc_content_addressed": OP9_SQL,
+}
