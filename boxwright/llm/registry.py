@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from .token_records import op10_token_records
+from .tiff import op7_tiff
 from .warc import OP9_SQL, op9_warc_content_addressed
 from .near_dedup import OP2_SQL, op2_minhash_near_dedup
 
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op7_tiff": op7_tiff,
     "op9_warc_content_addressed": op9_warc_content_addressed,
     "op10_token_records": op10_token_records,
 }
