@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from .token_records import op10_token_records
+from .decontaminate import op6_decontamination
 from .tiff import op7_tiff
+from .toxicity import op8_toxicity
 from .warc import OP9_SQL, op9_warc_content_addressed
 from .near_dedup import OP2_SQL, op2_minhash_near_dedup
 
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op6_decontamination": op6_decontamination,
     "op7_tiff": op7_tiff,
+    "op8_toxicity": op8_toxicity,
     "op9_warc_content_addressed": op9_warc_content_addressed,
     "op10_token_records": op10_token_records,
 }
