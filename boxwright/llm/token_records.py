@@ -12,7 +12,6 @@ reach any store that Spark writes to, under its commit protocol.
 
 from __future__ import annotations
 
-import itertools
 import json
 import re
 import zlib
@@ -22,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from .chunks import ChunkTable
 from .shared import cut, new_path, table
-from .words import blocks, span_hash, text_buffers
+from .words import blocks, text_buffers
 
 HEADER = 12
 FRAME = HEADER + 4 + 1
@@ -32,8 +32,6 @@ MASK_DELTA = 0xA282EAD8
 SHARD_TEXT_BYTES = 24 << 20
 #: Stands for a null id in a record.
 NULL_ID = -(1 << 63)
-#: Distinct chunks that a worker remembers before it starts anew.
-MEMORY = 2_000_000
 
 _crc_tables = None
 
@@ -165,7 +163,7 @@ PLAIN_NEXT = (np.arange(256) > 32) & (np.arange(256) != 127) & ~ODD_TWO & ~ODD_T
 PLAIN_PREV = (np.arange(256) > 32) & (np.arange(256) != 127)
 
 
-class ChunkEncoder:
+class ChunkEncoder(ChunkTable):
     """Ids of texts by way of distinct chunks, so that a word that occurs often is encoded by the tokenizers library once.
 
     A text is cut before every single space, and around every single line feed, between two characters that surely aren't
@@ -177,7 +175,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.dtype = "<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4"
+        super().__init__("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
         config = json.loads(self.tok.to_str())
         self.plain = config["pre_tokenizer"]["type"] == "ByteLevel" and config["model"]["type"] == "BPE" and not config["model"].get("ignore_merges")
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in a byte-level vocabulary
@@ -185,10 +183,6 @@ class ChunkEncoder:
         self.letters = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
         self.word = re.compile(r"( ?[^\W\d_]+)([.,;:!?*$%&#)]*)")
         self.tails: dict[str, list[int]] = {"": []}
-        self.forget()
-
-    def forget(self) -> None:
-        self.keys, self.at, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
 
     def _piece(self, s: str) -> list[int]:
         return [t.id for t in self.tok.model.tokenize(s.encode().decode("latin-1").translate(self.letters))]
@@ -218,28 +212,12 @@ class ChunkEncoder:
         mark[offs[:-1][np.diff(offs) > 0]] = True
         return np.flatnonzero(mark[:-1])
 
+    def encode_new(self, chunks: list[str]) -> list[list[int]]:
+        return [self._chunk(c) for c in chunks]
+
     def encode(self, raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows in a row, n+1 offsets into them)."""
-        start = self.cuts(raw, offs)
-        if not len(start):
-            return np.zeros(0, self.dtype), np.zeros(len(offs), np.int64)
-        key, first, back = np.unique(span_hash(raw, start), return_index=True, return_inverse=True)
-        if len(self.keys) > MEMORY:
-            self.forget()
-        place = np.searchsorted(self.keys, key)
-        new = np.flatnonzero(np.r_[self.keys, np.uint64(0)][place] != key) if len(self.keys) else np.arange(len(key))
-        if len(new):
-            text, end = raw.tobytes(), np.r_[start[1:], len(raw)]
-            found = [self._chunk(text[start[i] : end[i]].decode()) for i in first[new]]
-            n = np.fromiter(map(len, found), np.int64, len(found))
-            at = np.cumsum(n) - n + len(self.ids)
-            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(found), self.dtype, int(n.sum()))])
-            self.keys, self.at, self.n = (np.insert(x, place[new], y) for x, y in ((self.keys, key[new]), (self.at, at), (self.n, n)))
-            place = np.searchsorted(self.keys, key)
-        at, n = self.at[place][back], self.n[place][back]
-        total = np.cumsum(n)
-        ids = self.ids[np.repeat(at - (total - n), n) + np.arange(int(total[-1]))]
-        return ids, np.r_[0, total][np.searchsorted(start, offs)]
+        return self.encode_chunks(raw, self.cuts(raw, offs), offs)
 
 
 _encoders: dict[str, ChunkEncoder] = {}
