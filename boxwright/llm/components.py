@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .shared import cut, discard
 
+#: Edges for each file that a step writes: the table of edges shrinks to one a node.
+EDGES_PER_TASK = 250_000
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): for every node of an edge, the smallest node that it reaches.
@@ -16,22 +19,23 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     e = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     e = cut(e, "cc")
-    if e.isEmpty():
+    before = _sums(e)
+    if not before[0]:
         return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     while True:
+        tasks = 1 + before[0] // EDGES_PER_TASK
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where(F.col("u") != F.col("v")).distinct()
+        large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*")
-        new = cut(small.where(F.col("u") != F.col("v")).distinct(), "cc")
-        changed = _sums(new) != _sums(e)
+        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*")
+        new = cut(small.where(F.col("u") != F.col("v")).distinct().coalesce(tasks), "cc")
+        after = _sums(new)
         discard(e)
         e = new
-        if not changed:
+        if after == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        before = after
 
 
 def _sums(e: DataFrame) -> tuple:

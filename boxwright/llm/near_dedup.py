@@ -1,16 +1,19 @@
 """Near-duplicate documents by HyperMinHash.
 
 A document is the set of its distinct k-word shingles (fewer words: the whole sequence). Each shingle hash falls into one
-of 128 buckets by its top bits; a bucket keeps its smallest remaining hash as a leading-zero count and 10 mantissa bits
+of 256 buckets by its top bits; a bucket keeps its smallest remaining hash as a leading-zero count and 10 mantissa bits
 (16 bits together). Empty buckets borrow the register of a bucket drawn by a fixed random sequence. 32 bands of 4
-registers make candidates: at a similarity of 0.75 a pair shares no band with probability (1 - 0.75^4)^32 = 5e-6. Registers
-then give a similarity corrected for chance collisions of compressed registers; pairs that may reach the threshold are
-confirmed on their full shingle sets, read again from the texts.
-
-Equal sets are one node. In each band bucket every member is first held against the bucket's smallest member only; the
-components of confirmed links follow. What is left are buckets whose members lie in several components: there all pairs
-across components are held against each other by their registers, block against block in numpy, and only pairs that
-may reach the threshold become rows. So every candidate pair either is tested or joins nodes that are linked already.
+registers make candidates: at a similarity of 0.75 a pair shares no band with probability (1 - 0.75^4)^32 = 5e-6. All 256
+registers then give a similarity corrected for chance collisions of compressed registers; pairs that may reach the
+threshold are confirmed on their full shingle sets, read again from the texts.
+
+Equal sets are one node. In each band bucket every member is first held against one hub: the member that meets the most
+others over all bands, which in a family of edited copies is the text that they were copied from. The components of
+confirmed links follow. What is left are buckets whose members lie in several components. Their members are held against each
+other by registers, block against block in numpy, and a spanning set of the pairs that may reach the threshold ties them
+into families. In a family, every member outside its largest component is confirmed against all members of other
+components, block against block with the texts at hand, so that no row per pair is ever made and members of one
+component are never compared. So every candidate pair either is tested or joins nodes that are linked already.
 """
 
 from __future__ import annotations
@@ -25,12 +28,14 @@ from .components import components
 from .shared import cut, discard, table
 from .words import mix64, shingles, word_blocks
 
-BUCKETS, BANDS, MANTISSA = 128, 32, 10
-ROWS = BUCKETS // BANDS
+BUCKETS, BANDS, ROWS, MANTISSA = 256, 32, 4, 10
 #: Members of a bucket that one block holds when what is left is compared.
 SIDE = 256
-#: Registers alone reject a pair only below the threshold less this (6 standard deviations), and only for larger sets.
-SLACK, SMALL = 0.25, 48
+#: Shingles that one block holds when families are confirmed.
+SIDE_SHINGLES = 1_000_000
+#: Registers alone reject a pair only below the threshold less this (4.8 standard deviations at the
+#: threshold), and not where fewer shingles make the estimate coarser.
+SLACK, SMALL = 0.13, 24
 
 _probe = None
 
@@ -46,10 +51,10 @@ def _probes() -> np.ndarray:
 
 def registers(rows: np.ndarray, hashes: np.ndarray, n_rows: int) -> np.ndarray:
     """n_rows x BUCKETS uint16 registers of sorted distinct (row, hash); a row without hashes gets zeros."""
-    shift = np.uint64(64 - 7)
+    shift = np.uint64(64 - 8)
     cell = rows.astype(np.int64) * BUCKETS + (hashes >> shift).astype(np.int64)
     first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
-    value = hashes[first] << np.uint64(7)  # the rest of the hash, from its top bit; ties of lower bits don't matter
+    value = hashes[first] << np.uint64(8)  # the rest of the hash, from its top bit; ties of lower bits don't matter
     full = np.zeros(n_rows * BUCKETS, np.uint16)
     if len(first):
         # exponent and fraction by way of the top 53 bits as a double: 2^e * 1.m
@@ -75,7 +80,7 @@ def registers(rows: np.ndarray, hashes: np.ndarray, n_rows: int) -> np.ndarray:
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """len(regs) x BANDS int64 keys."""
-    quad = regs.reshape(len(regs), BANDS, ROWS).astype(np.uint64)
+    quad = regs.reshape(len(regs), BANDS, BUCKETS // BANDS)[:, :, :ROWS].astype(np.uint64)
     key = np.zeros((len(regs), BANDS), np.uint64)
     for t in range(ROWS):
         key = (key << np.uint64(16)) | quad[:, :, t]
@@ -171,33 +176,101 @@ def _set(col: pa.Array, k: int) -> np.ndarray:
     return np.unique(np.concatenate([shingles(w, k)[1] for _, _, w in word_blocks(col)] or [np.zeros(0, np.uint64)]))
 
 
+class _Sets:
+    """Union-find over a block's members."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def find(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _close(x: int, y: np.ndarray, n: np.ndarray, sig: np.ndarray, threshold: float) -> np.ndarray:
+    """Those of y whose registers and sizes allow a link with x."""
+    y = y[np.minimum(n[y], n[x]) >= threshold * np.maximum(n[y], n[x]) - 1e-9]
+    if not len(y):
+        return y
+    return y[(similarity(sig[x][None, :], sig[y], n[x], n[y]) >= threshold - SLACK) | (np.minimum(n[x], n[y]) < SMALL)]
+
+
 def _across(threshold: float):
-    """Of a block pair's members (band, i, j, side, rep, n, comp, sig): pairs of other components that may be similar."""
+    """Of a block pair's members (side, rep, n, comp, sig): a spanning set of the pairs across components that may be links."""
 
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         side, rep, n, comp = (t.column(c).to_numpy() for c in ("side", "rep", "n", "comp"))
         sig = np.stack([np.frombuffer(x, np.uint16) for x in t.column("sig").to_pylist()])
-        left = np.flatnonzero(side != 1)
-        right = np.flatnonzero(side != 0)
-        out_a, out_b = [], []
+        left, right, tree, out = np.flatnonzero(side != 1), np.flatnonzero(side != 0), _Sets(len(rep)), []
         for x in left:
-            y = right[(comp[right] != comp[x]) & (rep[right] != rep[x])]
-            if key[1].as_py() == key[2].as_py():
-                y = y[rep[y] > rep[x]]
-            y = y[100 * np.minimum(n[y], n[x]) >= 100 * threshold * np.maximum(n[y], n[x]) - 1e-9]
+            y = right[comp[right] != comp[x]]
+            out += [(rep[x], rep[z]) for z in _close(x, y, n, sig, threshold) if tree.join(int(x), int(z))]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return run
+
+
+def _within(k: int, percent: int):
+    """Of a family's block pair (side, rep, n, comp, sig, text): a spanning set of its links across components."""
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        side, rep, n, comp = (t.column(c).to_numpy() for c in ("side", "rep", "n", "comp"))
+        sig = np.stack([np.frombuffer(x, np.uint16) for x in t.column("sig").to_pylist()])
+        col = t.column("text").chunk(0) if isinstance(t.column("text"), pa.ChunkedArray) else t.column("text")
+        sets = [_set(col.slice(i, 1), k) for i in range(len(rep))]
+        _, node = np.unique(comp, return_inverse=True)
+        left, right, tree, out = np.flatnonzero(side != 1), np.flatnonzero(side != 0), _Sets(int(node.max()) + 1), []
+        for x in left:
+            y = _close(x, right[comp[right] != comp[x]], n, sig, percent / 100)
+            y = y[np.fromiter((tree.find(int(c)) != tree.find(int(node[x])) for c in node[y]), bool, len(y))]
             if not len(y):
                 continue
-            ok = (similarity(sig[x][None, :], sig[y], n[x], n[y]) >= threshold - SLACK) | (np.minimum(n[x], n[y]) < SMALL)
-            y = y[ok]
-            out_a.append(np.minimum(rep[x], rep[y]))
-            out_b.append(np.maximum(rep[x], rep[y]))
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": np.concatenate([none, *out_a]), "b": np.concatenate([none, *out_b])})
+            size = np.fromiter((len(sets[z]) for z in y), np.int64, len(y))
+            every, own = np.concatenate([sets[z] for z in y]), sets[x]
+            hit = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+            both = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+            for z in y[100 * both >= percent * (len(own) + size - both)]:
+                if tree.join(int(node[x]), int(node[z])):
+                    out.append((rep[x], rep[z]))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return run
 
 
+def _family_links(near: DataFrame, comp1: DataFrame, sigs: DataFrame, src: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links across components inside the families that `near` pairs tie together."""
+    tied = components(near.unionAll(comp1.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    touched = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(tied, "node").select("component").distinct()
+    fam = tied.unionAll(tied.select(F.col("component").alias("node"), "component")).distinct().join(touched, "component").select(F.col("component").alias("family"), F.col("node").alias("rep"))
+    fam = fam.join(comp1.select(F.col("node").alias("rep"), F.col("component").alias("c")), "rep", "left").join(sigs, "rep").select("family", "rep", "n", F.coalesce("c", "rep").alias("comp"))
+    fam = cut(fam, "families")
+    sizes = fam.groupBy("family", "comp").agg(F.count("*").alias("g"), F.sum("n").alias("w"))
+    sizes = sizes.groupBy("family").agg(F.max(F.struct("g", "comp", "w")).alias("m"), F.sum("g").alias("g"), F.sum("w").alias("w"))
+    parts = lambda g, w: F.greatest(F.ceil(g / SIDE), F.ceil(w / SIDE_SHINGLES), F.lit(1)).cast("int")
+    sizes = sizes.select("family", F.col("m.comp").alias("main"), parts(F.col("m.g"), F.col("m.w")).alias("mains"), parts(F.col("g") - F.col("m.g"), F.col("w") - F.col("m.w")).alias("others"))
+    x = fam.join(sizes, "family")
+    # blocks 0..others-1 hold what lies outside the largest component, the following ones the largest component
+    main = F.col("comp") == F.col("main")
+    own = F.pmod(F.xxhash64("rep"), F.when(main, F.col("mains")).otherwise(F.col("others"))).cast("int") + F.when(main, F.col("others")).otherwise(0)
+    x = x.withColumn("own", own)
+    against = F.when(main, F.sequence(F.lit(0), F.col("others") - 1)).otherwise(F.sequence(F.lit(0), F.col("others") + F.col("mains") - 1))
+    x = x.withColumn("other", F.explode(against))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    x = x.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "rep", "n", "comp")
+    texts = src.join(fam.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
+    full = x.join(sigs.select("rep", "sig").join(cut(texts, "texts"), "rep"), "rep")
+    return cut(full.groupBy("family", "i", "j").applyInArrow(_within(k, percent), "a long, b long"), "links")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row with an id.
 
@@ -211,9 +284,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = sketch.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min(F.struct("doc_id", "sig")).alias("m"))
     reps = cut(same.select("k1", "k2", F.col("m.doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.col("m.sig").alias("sig")), "reps")
     bands = reps.select("rep", "n", "sig").mapInArrow(_bands, "band long, rep long, n long")
-    hubs = bands.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub < top").select("band", "hub")
-    hubs = cut(hubs, "hubs")  # buckets with several members: few of all buckets
-    members = cut(bands.join(hubs, "band"), "members")
+    many = bands.groupBy("band").agg(F.count("*").alias("g")).where("g > 1")
+    members = cut(bands.join(many, "band"), "members")  # of buckets with several members: few of all
+    meets = members.groupBy("rep").agg(F.sum("g").alias("meets"))
+    members = cut(members.join(meets, "rep"), "members")
+    hubs = members.groupBy("band").agg(F.max(F.struct("meets", (-F.col("rep")).alias("minus"))).alias("h")).select("band", (-F.col("h.minus")).alias("hub"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """pairs: distinct (a, b)."""
@@ -233,7 +308,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         x = x.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
         return x.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_likely(threshold), "a long, b long")
 
-    first = members.where("rep > hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    first = members.join(hubs, "band").where("rep <> hub").select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b")).distinct()
     pairs1 = cut(likely(first), "pairs")
     links1 = confirmed(pairs1)
     comp1 = components(links1)
@@ -247,9 +322,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = F.pmod(F.xxhash64("rep"), many).cast("int")
     left = left.select("band", "rep", "n", "comp", "sig", own.alias("own"), F.explode(F.sequence(F.lit(0), many - 1)).alias("other"))
     left = left.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "rep", "n", "comp", "sig")
-    more = left.groupBy("band", "i", "j").applyInArrow(_across(threshold), "a long, b long").distinct()
-    more = cut(more.join(pairs1, ["a", "b"], "left_anti"), "pairs")
-    links = links1.unionAll(confirmed(more)) if not more.isEmpty() else links1
+    near = left.groupBy("band", "i", "j").applyInArrow(_across(threshold), "a long, b long")
+    near = cut(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near")
+    links = links1
+    if not near.isEmpty():
+        links = links1.unionAll(_family_links(near, comp1, sigs, src, k, percent))
     comp = components(links)
     of_set = reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
     out = sketch.drop("sig").join(of_set.withColumnRenamed("n", "n_shingles"), ["k1", "k2", "n_shingles"], "left")
