@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .token_records import op10_token_records
 from .decontaminate import op6_decontamination
+from .line_dedup import op1_line_dedup
 from .sentencepieces import op5_sentencepiece
 from .tiff import op7_tiff
 from .toxicity import op8_toxicity
@@ -11,6 +12,7 @@ from .warc import OP9_SQL, op9_warc_content_addressed
 from .near_dedup import OP2_SQL, op2_minhash_near_dedup
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_decontamination": op6_decontamination,
