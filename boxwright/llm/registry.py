@@ -5,6 +5,7 @@ from __future__ import annotations
 from .token_records import op10_token_records
 from .decontaminate import op6_decontamination
 from .line_dedup import op1_line_dedup
+from .pitman_yor import op4_pitman_yor
 from .sentencepieces import op5_sentencepiece
 from .tiff import op7_tiff
 from .toxicity import op8_toxicity
@@ -14,6 +15,7 @@ from .near_dedup import OP2_SQL, op2_minhash_near_dedup
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_pitman_yor": op4_pitman_yor,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_decontamination": op6_decontamination,
     "op7_tiff": op7_tiff,
