@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .token_records import op10_token_records
 from .decontaminate import op6_decontamination
+from .language_id import op3_language_id
 from .line_dedup import op1_line_dedup
 from .pitman_yor import op4_pitman_yor
 from .sentencepieces import op5_sentencepiece
@@ -15,6 +16,7 @@ from .near_dedup import OP2_SQL, op2_minhash_near_dedup
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_language_id": op3_language_id,
     "op4_pitman_yor": op4_pitman_yor,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_decontamination": op6_decontamination,
