@@ -18,10 +18,10 @@ from .shared import table
 from .words import Words, mix64, span_hash, word_blocks
 
 #: Most labelled rows that a fit takes, drawn by a hash of their ids; all are taken where there are fewer.
-FIT_ROWS = 20_000
+FIT_ROWS = 10_000
 #: Most features that a model keeps: those that tell a category's rows best.
-MAX_FEATURES = 40_000
-FOLDS = 5
+MAX_FEATURES = 10_000
+FOLDS = 4
 SPACE_BITS = 22
 PREFIXES = (4, 5, 6)
 SIGNS = np.isin(np.arange(256), np.frombuffer(b".,;:!?*$%&#)'\"", np.uint8))
@@ -54,7 +54,7 @@ def _distinct(row: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key >> SPACE_BITS, key & ((1 << SPACE_BITS) - 1)
 
 
-def _logistic(row: np.ndarray, col: np.ndarray, n: int, m: int, dense: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 250) -> tuple[np.ndarray, np.ndarray]:
+def _logistic(row: np.ndarray, col: np.ndarray, n: int, m: int, dense: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 160) -> tuple[np.ndarray, np.ndarray]:
     """Weights of m sparse 0/1 features and of dense columns (the last one is the bias), by full-batch Adam."""
     w, v = np.zeros(m), np.zeros(dense.shape[1])
     v[-1] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
@@ -77,7 +77,7 @@ def _select(row: np.ndarray, f: np.ndarray, y: np.ndarray) -> np.ndarray:
     every = np.bincount(f, minlength=size)
     share = y.mean()
     z = (pos - every * share) / np.sqrt(every * share * (1 - share) + 1.0)
-    ok = np.flatnonzero((every >= 3) & (np.abs(z) > 2))
+    ok = np.flatnonzero((every >= 3) & (np.abs(z) > 3))
     return np.sort(ok[np.argsort(-np.abs(z[ok]), kind="stable")[:MAX_FEATURES]])
 
 
