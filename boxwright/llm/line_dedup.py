@@ -71,7 +71,7 @@ def may_be_near(a: Column, b: Column, threshold: int) -> Column:
 
 def _shared(a: Column, b: Column, most: Column, side) -> Column:
     """Characters that the beginnings (side: F.left) or ends (F.right) of a and b share, at most `most`; by halving steps."""
-    steps = F.array(*(F.lit(1 << p) for p in range(30, -1, -1)))
+    steps = F.filter(F.array(*(F.lit(1 << p) for p in range(30, -1, -1))), lambda s: s <= most)
     return F.aggregate(steps, F.lit(0), lambda k, s: F.when((k + s <= most) & (side(a, k + s) == side(b, k + s)), k + s).otherwise(k))
 
 
@@ -86,9 +86,11 @@ def verified(pairs: DataFrame, a: str, b: str, threshold: int = THRESHOLD) -> Da
 
     Mask e has bit threshold + d set if the first j + d characters of a turn into the first j of b with at most e edits.
     """
-    la, lb = F.length(a), F.length(b)
-    x = _once(pairs, _head=_shared(F.col(a), F.col(b), F.least(la, lb), F.left))
-    x = _once(x, _tail=_shared(F.col(a), F.col(b), F.least(la, lb) - F.col("_head"), F.right))
+    x = _once(pairs, _la=F.length(a), _lb=F.length(b), _most=F.least(F.length(a), F.length(b)))
+    la, lb = F.col("_la"), F.col("_lb")
+    x = _once(x, _head=_shared(F.col(a), F.col(b), F.col("_most"), F.left))
+    x = _once(x, _rest=F.col("_most") - F.col("_head"))
+    x = _once(x, _tail=_shared(F.col(a), F.col(b), F.col("_rest"), F.right))
     x = _once(x, _m=la - F.col("_head") - F.col("_tail"), _n=lb - F.col("_head") - F.col("_tail"))
     x = x.where(F.abs(F.col("_m") - F.col("_n")) <= threshold)
     # what is left differs at both ends, so its inside takes threshold - 2 edits at most: one of threshold - 1 pieces is whole
@@ -147,9 +149,12 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     often = cut(often, "often")
     few = F.broadcast if often.count() <= BROADCAST_ROWS else lambda x: x
     probing = lines.where(F.col("n") >= min_edit_chars).join(few(often), "id", "left").where(F.col("first").isNull() | (F.struct("doc_id", "line_no") == F.col("first")))
-    keys = probing.select("id", letter_counts(F.col("line"), F.col("n")).alias("f"), F.explode(segment_keys(F.col("line"), F.col("n"), threshold)).alias("k"))
-    keys = keys.select("id", "f", "k.key", "k.own").where("key is not null").repartition("key").distinct()
-    probe = keys.select("key", F.col("id").alias("b"), F.col("f").alias("fb"))
+    # counts are taken below the generator, once a line and not once a key
+    probing = probing.select("id", "line", "n", letter_counts(F.col("line"), F.col("n")).alias("f"))
+    keys = probing.select("id", "f", F.explode(segment_keys(F.col("line"), F.col("n"), threshold)).alias("k")).select("id", "f", "k.key", "k.own")
+    # a maximum keeps both filters above it, so that index and probe share one exchange
+    keys = keys.where("key is not null").repartition("key").groupBy("key", "id", "f").agg(F.max("own").alias("own"))
+    probe = keys.where("own is not null").select("key", F.col("id").alias("b"), F.col("f").alias("fb"))
     index = keys.where("own").select("key", F.col("id").alias("a"), F.col("f").alias("fa"))
     met = probe.join(index.hint("shuffle_hash"), (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & may_be_near(F.col("fa"), F.col("fb"), threshold))
     pairs = cut(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
