@@ -33,7 +33,7 @@ END, GAP = 10, 32
 DISCOUNT, STRENGTH = 0.6, 1.0
 BURN_IN, SAMPLES = 2, 3
 #: Bytes of text in one block.
-BLOCK = 6 << 20
+BLOCK = 3 << 20
 #: Most n-grams of the longest kind that the broadcast model may hold; with more, the order is lowered until it fits.
 MODEL_ENTRIES = 6_000_000
 

@@ -22,6 +22,8 @@ FIT_ROWS = 10_000
 #: Most features that a model keeps: those that tell a category's rows best.
 MAX_FEATURES = 10_000
 FOLDS = 4
+#: A threshold whose rejections are right less often, out of fold, isn't taken; without any other nothing is rejected.
+LEAST_PRECISION = 0.5
 SPACE_BITS = 22
 PREFIXES = (4, 5, 6)
 SIGNS = np.isin(np.arange(256), np.frombuffer(b".,;:!?*$%&#)'\"", np.uint8))
@@ -109,8 +111,10 @@ def fit_chain(rows: np.ndarray, feats: np.ndarray, labels: np.ndarray, fold: np.
         order = np.argsort(-oof, kind="stable")
         good = np.cumsum(y[order])
         f1 = 2 * good / (np.arange(1, n + 1) + max(y.sum(), 1))
+        f1[good / np.arange(1, n + 1) < LEAST_PRECISION] = 0
+        f1[:-1][oof[order[:-1]] == oof[order[1:]]] = 0  # a threshold can't part equal logits
         best = int(np.argmax(f1))
-        thresholds.append(float((oof[order[best]] + oof[order[min(best + 1, n - 1)]]) / 2))
+        thresholds.append(float((oof[order[best]] + oof[order[min(best + 1, n - 1)]]) / 2) if f1[best] > 0 else float("inf"))
         f1s.append(float(f1[best]))
         dense = np.c_[np.clip(oof, -8, 8), dense]
     return {"models": models, "thresholds": thresholds, "f1": f1s}
