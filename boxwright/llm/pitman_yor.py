@@ -32,8 +32,9 @@ ORDER = 6
 END, GAP = 10, 32
 DISCOUNT, STRENGTH = 0.6, 1.0
 BURN_IN, SAMPLES = 2, 3
-#: Bytes of text in one block.
-BLOCK = 3 << 20
+#: Bytes of text in one block of documents that ask for counts together, and in one that is scored together.
+BLOCK = 6 << 20
+SCORE_BLOCK = 2 << 20
 #: Most n-grams of the longest kind that the broadcast model may hold; with more, the order is lowered until it fits.
 MODEL_ENTRIES = 6_000_000
 
@@ -220,7 +221,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     words = first.where("hash is not null").select("block", "hash", "n").repartition("hash")
     totals = words.groupBy("hash").agg(F.sum("n").alias("c"))
-    asked = cut(words.select("block", "hash").join(totals, "hash"), "asked")
+    asked = words.select("block", "hash").join(totals, "hash")
     bags = first.where("bag is not null").select("block", "doc_id", "held_out", "n_tokens", "bag")
     ends = bags.agg(F.count_if(~F.col("held_out")).alias("n")).first()[0]
     known = first.where("hash is not null").groupBy("hash").agg(F.sum("n").alias("c")).agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
@@ -243,7 +244,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for batch in batches:
-            for i, j, w in word_blocks(batch.column(1), BLOCK):
+            for i, j, w in word_blocks(batch.column(1), SCORE_BLOCK):
                 order = m["order"] if m else 1
                 data, row, place = stream(w, order)
                 if m:
