@@ -221,7 +221,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     words = first.where("hash is not null").select("block", "hash", "n").repartition("hash")
     totals = words.groupBy("hash").agg(F.sum("n").alias("c"))
-    asked = words.select("block", "hash").join(totals, "hash")
+    asked = words.select("block", "hash").join(totals, "hash").select((F.col("block") + 0).alias("block"), "hash", "c")
     bags = first.where("bag is not null").select("block", "doc_id", "held_out", "n_tokens", "bag")
     ends = bags.agg(F.count_if(~F.col("held_out")).alias("n")).first()[0]
     known = first.where("hash is not null").groupBy("hash").agg(F.sum("n").alias("c")).agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
