@@ -1,8 +1,8 @@
-"""Language-model scoring with a hierarchical Pitman-Yor model.
+"""Language-model scoring with a hierarchical Pitman-Yor model over words.
 
-The model predicts the bytes of a text whose words (lower-cased) are joined by single spaces and closed by an end mark. Each
-context of up to five bytes is a restaurant; contexts that agree but for their first byte share a parent, down to one without
-context over a uniform base. Customers of a restaurant are the tables of its children; those of the longest contexts are
+The model predicts the lower-cased words of a text and one end mark. Each context of up to ORDER - 1 words is a restaurant;
+contexts that agree but for their first word share a parent, down to one without context over a uniform base of the known words
+and one unknown. Customers of a restaurant are the tables of its children; those of the longest contexts are
 counted over all training texts by grouped aggregation.
 
 Seating is sampled by Gibbs sweeps: the customers of one dish leave a restaurant and come back one after another, each joining
@@ -10,61 +10,43 @@ one of the dish's k customers at t tables with weight k - d t or opening a table
 all of the restaurant's tables and P is the parent's probability of the dish in the current sample. Past 32 customers
 they come in blocks of a sixteenth of those seated. After burn-in, predictive probabilities are averaged over the samples.
 
-Word counts for the add-one base never meet in one place either: blocks of documents ask for the counts of their distinct words
-through a join, and get them back by block.
+Restaurants are rows of tables dealt out by n-gram and by context: a sweep is a join with the parents' probabilities and with the
+context's totals, and a grouped sum of tables for the level below. A dish with a single customer has one table in every sample, so
+such rows are counted once and stay out of the sweeps. Probabilities and word counts never meet in one place: blocks of documents ask
+for those of their distinct n-grams through a join, and get them back by block.
 """
 
 from __future__ import annotations
 
-import pickle
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .shared import cut, table
+from .shared import cut, discard, table
 from .words import Words, word_blocks
 
-ORDER = 6
-END, GAP = 10, 32
+#: Words of the longest n-grams.
+ORDER = 2
+#: Stands for the end of a text, and before its first word.
+END = 1
 DISCOUNT, STRENGTH = 0.6, 1.0
 BURN_IN, SAMPLES = 2, 3
-#: Bytes of text in one block of documents that ask for counts together, and in one that is scored together.
+#: Bytes of text in one block of documents that ask for probabilities together.
 BLOCK = 6 << 20
-SCORE_BLOCK = 2 << 20
-#: Most n-grams of the longest kind that the broadcast model may hold; with more, the order is lowered until it fits.
-MODEL_ENTRIES = 6_000_000
-
-
-def stream(w: Words, order: int = ORDER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, row of each predicted byte, its place): order - 1 end marks before each text, words and gaps, an end mark."""
-    size = w.end - w.start
-    n = np.diff(w.bounds)
-    total = np.bincount(w.row, size + 1, w.n_rows).astype(np.int64) if len(size) else np.zeros(w.n_rows, np.int64)
-    total = np.maximum(total, 1)
-    off = np.cumsum(total + order - 1) - total  # first predicted byte of each row
-    out = np.full(int((total + order - 1).sum()), END, np.uint8)
-    if len(size):
-        run = np.cumsum(size + 1) - (size + 1)
-        place = off[w.row] + run - run[w.bounds[w.row]]
-        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        out[np.repeat(place, size) + within] = w.low[np.repeat(w.start, size) + within]
-        gaps = place + size
-        out[gaps] = GAP
-        out[gaps[w.bounds[1:][n > 0] - 1]] = END
-    row = np.repeat(np.arange(w.n_rows), total)
-    return out, row, np.repeat(off - (np.cumsum(total) - total), total) + np.arange(int(total.sum()))
-
-
-def grams(data: np.ndarray, place: np.ndarray, order: int) -> np.ndarray:
-    """The last `order` bytes up to each place, as one number (the predicted byte lowest)."""
-    x = np.zeros(len(place), np.uint64)
-    for k in range(order - 1, -1, -1):
-        x = (x << np.uint64(8)) | data[place - k]
-    return x
+
+
+def stream(w: Words, order: int = ORDER) -> tuple[list[np.ndarray], np.ndarray]:
+    """([each token, the one before it, ...: order arrays], row of each token); a row's words are closed by END and come after ENDs."""
+    total = np.diff(w.bounds) + 1
+    off = np.cumsum(total + order - 1) - total  # first predicted token of each row
+    out = np.full(int((total + order - 1).sum()), END, np.int64)
+    out[off[w.row] + np.arange(len(w.row)) - w.bounds[w.row]] = w.hash.view(np.int64)
+    place = np.repeat(off - (np.cumsum(total) - total), total) + np.arange(int(total.sum()))
+    return [out[place - k] for k in range(order)], np.repeat(np.arange(w.n_rows), total)
 
 
 # --- sampling ---------------------------------------------------------------------------------------------------------
@@ -143,6 +125,85 @@ def log_prob(model: dict, gram: np.ndarray) -> np.ndarray:
     return np.log10(p.mean(axis=0))
 
 
+# --- sampling over tables ---------------------------------------------------------------------------------------------
+
+
+def _gram(k: int) -> list[str]:
+    """Columns of an n-gram of k words: the predicted one, then its context from near to far."""
+    return [f"w{i}" for i in range(k)]
+
+
+def _with(df: DataFrame, other: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    return df.join(other, on, how) if on else df.crossJoin(F.broadcast(other))  # without context: a single row
+
+
+def _seated(seed: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
+        for b in batches:
+            c, others, parent = (b.column(k).to_numpy() for k in ("c", "others", "parent"))
+            t = seat(c, (STRENGTH + DISCOUNT * others) * parent, DISCOUNT, rng)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(t)], names=[*b.schema.names[:-2], "t"])
+
+    return run
+
+
+def _probabilities(state: dict[int, DataFrame], k: int, floor: float) -> DataFrame:
+    """(n-gram of k words, p) of the current sample for the dishes whose seating is sampled."""
+    x = state[k]
+    x = _with(x, x.groupBy(*_gram(k)[1:]).agg(F.sum("c").alias("cs"), F.sum("t").alias("ts")), _gram(k)[1:])
+    x = _with(x, _probabilities(state, k - 1, floor).withColumnRenamed("p", "parent"), _gram(k - 1)) if k > 1 else x.withColumn("parent", F.lit(floor))
+    p = (F.col("c") - DISCOUNT * F.col("t") + (STRENGTH + DISCOUNT * (F.col("f") + F.col("ts"))) * F.col("parent")) / (STRENGTH + F.col("f") + F.col("cs"))
+    return x.select(*_gram(k), p.alias("p"))
+
+
+def log_probabilities(counts: DataFrame, order: int, floor: float, seed: int = 7) -> DataFrame:
+    """(w0, w1, ..., lp): log10 of the averaged predictive probability of all n-grams in counts (w0, w1, ..., s: training occurrences).
+
+    N-grams that occur 0 times are asked for only. floor is the base's probability of a word.
+    """
+    every, state = {order: counts.withColumn("m", F.lit(0).cast("long"))}, {}
+    fixed = (F.col("m") == 0) & (F.col("s") <= 1)  # as many tables as customers in every sample
+    alone = F.sum(F.when(fixed, F.col("s")).otherwise(0))
+    for k in range(order, 0, -1):
+        x = every[k]
+        f = x.groupBy(*_gram(k)[1:]).agg(alone.alias("f"))
+        few = _with(x.where(~fixed), f, _gram(k)[1:])
+        state[k] = cut(few.select(*_gram(k), "s", "f", F.lit(0.0).alias("c"), F.array().cast("array<double>").alias("kept_c"), F.array().cast("array<double>").alias("kept_t"), F.lit(0.0).alias("t")), "dishes")
+        if k > 1:
+            every[k - 1] = cut(x.groupBy(*_gram(k - 1)).agg(alone.alias("s"), F.count_if(~fixed).alias("m")), "grams")
+    for sweep in range(BURN_IN + SAMPLES):
+        new: dict[int, DataFrame] = {}
+        for k in range(order, 0, -1):
+            x = state[k]
+            x = _with(x, x.groupBy(*_gram(k)[1:]).agg(F.sum("t").alias("ts")), _gram(k)[1:])
+            x = _with(x, _probabilities(state, k - 1, floor).withColumnRenamed("p", "parent"), _gram(k - 1)) if k > 1 and sweep else x.withColumn("parent", F.lit(floor))
+            x = x.join(new[k + 1].groupBy(*_gram(k)).agg(F.sum("t").alias("come")), _gram(k), "left") if k < order else x.withColumn("come", F.lit(0.0))
+            cols = [*_gram(k), "s", "f", (F.col("s") + F.coalesce("come", F.lit(0.0))).alias("c"), "kept_c", "kept_t", (F.col("f") + F.col("ts") - F.col("t")).alias("others"), "parent"]
+            x = x.select(*cols).mapInArrow(_seated(seed + 100 * sweep + k), ", ".join([*(f"{c} long" for c in _gram(k)), "s long, f long, c double, kept_c array<double>, kept_t array<double>, t double"]))
+            if sweep >= BURN_IN:
+                x = x.withColumns({"kept_c": F.array_append("kept_c", F.col("c")), "kept_t": F.array_append("kept_t", F.col("t"))})
+            new[k] = cut(x, "dishes")
+        for x in state.values():
+            discard(x)
+        state = new
+    below: DataFrame | None = None
+    for k in range(1, order + 1):  # all n-grams, from no context to the longest
+        x = every[k].join(state[k].select(*_gram(k), "kept_c", "kept_t"), _gram(k), "left")
+        kept = {f"{c}{i}": F.coalesce(F.col(f"kept_{c}")[i], F.col("s").cast("double")) for c in "ct" for i in range(SAMPLES)}
+        x = x.select(*_gram(k), *(v.alias(c) for c, v in kept.items()))
+        x = _with(x, x.groupBy(*_gram(k)[1:]).agg(*(F.sum(c).alias(f"all_{c}") for c in kept)), _gram(k)[1:])
+        x = x.join(below, _gram(k - 1)) if below is not None else x.withColumn("p", F.array_repeat(F.lit(floor), SAMPLES))
+
+        def mixed(i: int) -> Column:
+            own, left = F.col(f"c{i}") - DISCOUNT * F.col(f"t{i}"), STRENGTH + DISCOUNT * F.col(f"all_t{i}")
+            return (own + left * F.col("p")[i]) / (STRENGTH + F.col(f"all_c{i}"))
+
+        below = x.select(*_gram(k), F.array(*(mixed(i) for i in range(SAMPLES))).alias("p"))
+    mean = F.aggregate("p", F.lit(0.0), lambda a, v: a + v) / SAMPLES
+    return below.select(*_gram(order), F.log10(mean).alias("lp"))
+
+
 # --- passes -----------------------------------------------------------------------------------------------------------
 
 
@@ -150,113 +211,68 @@ def is_held_out(ids: pa.Array) -> np.ndarray:
     return np.array([zlib.crc32(str(i).encode()) % 7 == 2 for i in ids.to_pylist()], bool)
 
 
-FIRST = "block long, hash long, n long, doc_id long, held_out boolean, n_tokens long, bag binary, gram long"
-
-
-def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One walk over the texts. By block: its distinct words with their training counts; its documents as bags of the
-    places of their words among these; and, for the whole task, training counts of the longest n-grams."""
-    task, block = TaskContext.get().partitionId(), 0
-    schema = pa.schema([("block", pa.int64()), ("hash", pa.int64()), ("n", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("bag", pa.binary()), ("gram", pa.int64())])
+def _first(order: int) -> tuple[Callable, str]:
+    """One walk over the texts. By block: its distinct n-grams with their training counts, numbered; its documents as bags of the
+    numbers of their n-grams."""
+    kinds = {"block": pa.int64(), "at": pa.int32(), **{c: pa.int64() for c in _gram(order)}, "n": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "bag": pa.binary()}
+    schema = pa.schema(list(kinds.items()))
 
     def rows(size: int, **cols) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else pa.nulls(size, f.type) for f in schema], schema=schema)
 
-    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    for batch in batches:
-        for i, j, w in word_blocks(batch.column(1), BLOCK):
-            own = task << 32 | block
-            block += 1
-            ids = batch.column(0).slice(i, j - i)
-            held = is_held_out(ids)
-            word, back = np.unique(w.hash.view(np.int64), return_inverse=True)
-            train = np.bincount(back[~held[w.row]], minlength=len(word))
-            yield rows(len(word), block=pa.array(np.full(len(word), own)), hash=pa.array(word), n=pa.array(train))
-            pair, times = np.unique(w.row.astype(np.int64) << 32 | back, return_counts=True)
-            edge = np.searchsorted(pair >> 32, np.arange(j - i + 1))
-            flat = np.stack([(pair & 0xFFFFFFFF).astype("<u4"), times.astype("<u4")], axis=1)
-            yield rows(j - i, block=pa.array(np.full(j - i, own)), doc_id=ids, held_out=pa.array(held), n_tokens=pa.array(np.diff(w.bounds) + 1), bag=pa.array([flat[a:b].tobytes() for a, b in zip(edge, edge[1:])], pa.binary()))
-            data, row, place = stream(w)
-            g, n = np.unique(grams(data, place[~held[row]], ORDER), return_counts=True)
-            keys, to = np.unique(np.concatenate([keys, g]), return_inverse=True)
-            counts = np.bincount(to, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-    yield rows(len(keys), gram=pa.array(keys.view(np.int64)), n=pa.array(counts))
-
-
-def _model(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    got = [(b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()) for b in batches]
-    key = np.concatenate([np.zeros(0, np.uint64), *(a for a, _ in got)])
-    count = np.concatenate([np.zeros(0, np.int64), *(b for _, b in got)])
-    if not len(key):
-        return
-    order = ORDER
-    while True:
-        by = np.argsort(key)
-        key, to = np.unique(key[by], return_inverse=True)
-        count = np.bincount(to, count[by], len(key)).astype(np.int64)
-        if len(key) <= MODEL_ENTRIES or order == 1:
-            break
-        order -= 1
-        key = key & np.uint64((1 << 8 * order) - 1)
-    blob = zlib.compress(pickle.dumps(sample_model(key, count, order), 5), 1)
-    for i in range(0, len(blob), 4 << 20):
-        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([blob[i : i + (4 << 20)]], pa.binary())], names=["at", "part"])
-
-
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, block = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for i, j, w in word_blocks(batch.column(1), BLOCK):
+                own = task << 32 | block
+                block += 1
+                ids = batch.column(0).slice(i, j - i)
+                held = is_held_out(ids)
+                cols, row = stream(w, order)
+                key = np.zeros(len(row), np.int64)
+                for c in cols:
+                    word = np.unique(c, return_inverse=True)[1]
+                    first, key = np.unique(key << 32 | word, return_index=True, return_inverse=True)[1:]
+                train = np.bincount(key[~held[row]], minlength=len(first))
+                yield rows(len(first), block=pa.array(np.full(len(first), own)), at=pa.array(np.arange(len(first), dtype=np.int32)), n=pa.array(train), **{f"w{k}": pa.array(c[first]) for k, c in enumerate(cols)})
+                edge = np.searchsorted(row, np.arange(j - i + 1))
+                flat = key.astype("<u4")
+                yield rows(j - i, block=pa.array(np.full(j - i, own)), doc_id=ids, held_out=pa.array(held), n_tokens=pa.array(np.diff(edge)), bag=pa.array([flat[a:b].tobytes() for a, b in zip(edge, edge[1:])], pa.binary()))
+
+    names = {pa.int64(): "long", pa.int32(): "int", pa.bool_(): "boolean", pa.binary(): "binary"}
+    return run, ", ".join(f"{c} {names[t]}" for c, t in kinds.items())
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) for every row with an id.
 
     Tokens are lower-cased words and one end. Rows whose crc32(id) mod 7 is 2 are held out, the others train. A null or empty text is
     its end alone. Without training rows, counts are 0 and scores those of the uniform base. Repeated rows come out, and count in
     training, repeatedly. Other columns are ignored.
     """
-    spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    first = cut(src.mapInArrow(_first, FIRST), "counts")
-    gram = first.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
-    parts = gram.coalesce(1).mapInArrow(_model, "at long, part binary").orderBy("at").collect()
-    model = pickle.loads(zlib.decompress(b"".join(r[1] for r in parts))) if parts else None
-    sent = spark.sparkContext.broadcast(model)  # bounded by MODEL_ENTRIES
-    del parts
-
-    words = first.where("hash is not null").select("block", "hash", "n").repartition("hash")
-    totals = words.groupBy("hash").agg(F.sum("n").alias("c"))
-    asked = words.select("block", "hash").join(totals, "hash").select((F.col("block") + 0).alias("block"), "hash", "c")
+    walk, kinds = _first(order)
+    first = cut(src.mapInArrow(walk, kinds), "counts")
+    asked = first.where("at is not null").select("block", "at", *_gram(order), "n")
+    counts = cut(asked.groupBy(*_gram(order)).agg(F.sum("n").alias("s")), "grams")
+    words = cut(counts.groupBy("w0").agg(F.sum("s").alias("c")), "words")
+    known = words.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    n_train, distinct = known[0] or 0, known[1]
+    lp = log_probabilities(counts, order, 1 / (distinct + 1))
+    back = asked.drop("n").join(lp.join(words, "w0"), _gram(order)).select((F.col("block") + 0).alias("block"), "at", "lp", "c")
     bags = first.where("bag is not null").select("block", "doc_id", "held_out", "n_tokens", "bag")
-    ends = bags.agg(F.count_if(~F.col("held_out")).alias("n")).first()[0]
-    known = first.where("hash is not null").groupBy("hash").agg(F.sum("n").alias("c")).agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    n_train, distinct = (known[0] or 0) + ends, known[1] + (ends > 0)
-
-    def base(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        h = right.column("hash").to_numpy()
-        c = right.column("c").to_numpy()[np.argsort(h)]
-        lp = np.log10((c + 1.0) / (n_train + distinct + 1.0))
-        end = np.log10((ends + 1.0) / (n_train + distinct + 1.0))
-        score, seen = [], []
-        for x in left.column("bag").to_pylist():
-            at, times = np.frombuffer(x, "<u4").reshape(-1, 2).T
-            score.append(float((lp[at] * times).sum()) + end)
-            seen.append(int(times[c[at] > 0].sum()) + (ends > 0))
-        return pa.table({"doc_id": left.column("doc_id"), "held_out": left.column("held_out"), "n_tokens": left.column("n_tokens"), "n_known": pa.array(seen, pa.int64()), "base_score": pa.array(score, pa.float64())})
-
-    based = bags.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(base, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double")
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        for batch in batches:
-            for i, j, w in word_blocks(batch.column(1), SCORE_BLOCK):
-                order = m["order"] if m else 1
-                data, row, place = stream(w, order)
-                if m:
-                    g, back = np.unique(grams(data, place, order), return_inverse=True)
-                    total = np.bincount(row, log_prob(m, g)[back], j - i)
-                else:
-                    total = np.bincount(row, minlength=j - i) * -np.log10(256)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(total)], names=["doc_id", "score"])
-
-    scores = src.mapInArrow(scored, "doc_id long, score double").dropDuplicates(["doc_id"])
-    out = based.join(scores, "doc_id").withColumn("train_tokens", F.lit(n_train).cast("long"))
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
+
+    def score(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        by = np.argsort(right.column("at").to_numpy())
+        p, c = right.column("lp").to_numpy()[by], right.column("c").to_numpy()[by]
+        base = np.log10((c + 1.0) / (n_train + distinct + 1.0))
+        bags = [np.frombuffer(x, "<u4") for x in left.column("bag").to_pylist()]
+        out = {"base_score": [base[x].sum() for x in bags], "score": [p[x].sum() for x in bags]}
+        seen = pa.array([int((c[x] > 0).sum()) for x in bags], pa.int64())
+        return pa.table({k: left.column(k) for k in ("doc_id", "held_out", "n_tokens")} | {"n_known": seen} | {k: pa.array(v, pa.float64()) for k, v in out.items()})
+
+    out = bags.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 
 
 def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -229,6 +229,22 @@ def test_pitman_yor_counts_and_probabilities(spark):
         assert (10 ** pitman_yor.log_prob(model, np.uint64(ctx << 8) | every)).sum() == pytest.approx(1, abs=1e-4)
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_pitman_yor_predicts_words_in_order(spark, order):
+    """Probabilities of every known word and one unknown sum to one after any context, and word order counts."""
+    rows = [(a, b, 9 - order) for a, b in ((1, 1), (2, 1), (3, 2), (2, 3), (5, 1))] + [(a, 7, 0) for a in (1, 2, 3, 5, 99)]
+    asked = [(w, c, 4, 0) for w in (1, 2, 3, 5, 99) for c in (1, 2, 3, 5, 99)]
+    seen = [(a, b, 4, n) for a, b, n in rows]
+    counts = spark.createDataFrame(asked + seen, "w0 long, w1 long, w2 long, s long").groupBy(*[f"w{i}" for i in range(order)]).agg(F.sum("s").alias("s"))
+    got = {(r.w0, r.w1): 10**r.lp for r in pitman_yor.log_probabilities(counts, order, 1 / 5).collect()}
+    for c in (1, 2, 3, 5, 7, 99):
+        assert sum(got[w, c] for w in (1, 2, 3, 5, 99)) == pytest.approx(1)
+    texts = ["red green blue"] * 40 + ["red green blue", "blue green red"]
+    docs = docs_of(spark, texts, first=1)
+    score = {r.doc_id: r.score for r in pitman_yor.score_documents(docs, order=order).collect()}
+    assert score[41] > score[42] + 1
+
+
 def test_alignment_and_leaks(spark):
     item = [f"k{i}" for i in range(40)]
     rng = random.Random(6)
