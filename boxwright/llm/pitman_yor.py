@@ -8,7 +8,8 @@ counted over all training texts by grouped aggregation.
 Seating is sampled by Gibbs sweeps: the customers of one dish leave a restaurant and come back one after another, each joining
 one of the dish's k customers at t tables with weight k - d t or opening a table with weight (strength + d T) P, where T counts
 all of the restaurant's tables and P is the parent's probability of the dish in the current sample. Past 32 customers
-they come in blocks of a sixteenth of those seated. After burn-in, predictive probabilities are averaged over the samples.
+they come in blocks of a sixteenth of those seated. All dishes are reseated at once, so T has the tables of the other dishes as the sweep
+before left them. After burn-in, predictive probabilities are averaged over the samples.
 
 Restaurants are rows of tables dealt out by n-gram and by context: a sweep is a join with the parents' probabilities and with the
 context's totals, and a grouped sum of tables for the level below. A dish with a single customer has one table in every sample, so
@@ -63,13 +64,14 @@ class Level:
         return np.bincount(self.of, x, len(self.ctx))
 
 
-def seat(c: np.ndarray, weight: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of dishes with c customers each who come to an empty corner; weight: that of a new table."""
+def seat(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
+    """Tables of dishes with c customers each who come back one by one; others: the restaurant's tables of other dishes."""
     t = np.ones(len(c))
     k = np.ones(len(c))
     live = np.flatnonzero(c > 1)
     while len(live):
-        kk, tt, ww = k[live], t[live], weight[live]
+        kk, tt = k[live], t[live]
+        ww = (STRENGTH + d * (others[live] + tt)) * parent[live]
         m = np.minimum(np.where(kk < 32, 1, np.floor(kk / 16)), c[live] - kk)
         p = ww / (kk - d * tt + ww)
         t[live] = np.minimum(tt + rng.binomial(m.astype(np.int64), p), kk + m)
@@ -96,7 +98,7 @@ def sample_model(key: np.ndarray, count: np.ndarray, order: int, seed: int = 7)
         for i, x in enumerate(levels):
             parent = prob[i + 1][up[i]] if i + 1 < n else np.full(len(x.key), 1 / 256)
             others = np.maximum(x.totals(t[i])[x.of] - t[i], 0)
-            t[i] = seat(c[i], (STRENGTH + DISCOUNT * others) * parent, DISCOUNT, rng)
+            t[i] = seat(c[i], others, parent, DISCOUNT, rng)
             if i + 1 < n:
                 c[i + 1] = np.bincount(up[i], t[i], len(levels[i + 1].key))
         for i in range(n - 1, -1, -1):
@@ -142,7 +144,7 @@ def _seated(seed: int) -> Callable:
         rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
         for b in batches:
             c, others, parent = (b.column(k).to_numpy() for k in ("c", "others", "parent"))
-            t = seat(c, (STRENGTH + DISCOUNT * others) * parent, DISCOUNT, rng)
+            t = seat(c, others, parent, DISCOUNT, rng)
             yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(t)], names=[*b.schema.names[:-2], "t"])
 
     return run

@@ -245,6 +245,20 @@ def test_pitman_yor_predicts_words_in_order(spark, order):
     assert score[41] > score[42] + 1
 
 
+@pytest.mark.parametrize("others, parent", [(0.0, 1.0), (3.0, 0.4)])
+def test_seating_follows_the_restaurant_rule(others, parent):
+    """Tables of 20 customers against seating them one by one, with all tables of the restaurant in the weight of a new one."""
+    n, rng, d, tables = 4000, random.Random(8), pitman_yor.DISCOUNT, []
+    for _ in range(n):
+        t = 1
+        for k in range(1, 20):
+            new = (pitman_yor.STRENGTH + d * (others + t)) * parent
+            t += rng.random() * (k - d * t + new) < new
+        tables.append(t)
+    got = pitman_yor.seat(np.full(n, 20.0), np.full(n, others), np.full(n, parent), d, np.random.default_rng(8))
+    assert got.mean() == pytest.approx(np.mean(tables), abs=5 * np.std(tables) * (2 / n) ** 0.5)
+
+
 def test_alignment_and_leaks(spark):
     item = [f"k{i}" for i in range(40)]
     rng = random.Random(6)
