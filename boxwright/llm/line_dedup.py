@@ -6,11 +6,16 @@ substrings that could be a segment of a line as long as itself or up to `thresho
 beginnings and ends go (they don't change the distance), and the rest runs through a banded bit-parallel automaton, whose
 masks of 2 * threshold + 1 bits (one for each number of errors) hold the diagonals that are still alive.
 
+Long lines are also held against each other word by word: the same join over arrays of words, with a threshold in words that grows
+with the line. Each kind of comparison has its own range of lengths; a pair is compared under the range of its shorter line.
+
 Lines of one class (components of verified links) keep their first occurrence by (document, line number).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .components import components
@@ -21,6 +26,10 @@ THRESHOLD = 2
 MIN_CHARS = 10
 #: Shorter lines are held against equal ones only: two edits are a large part of them.
 MIN_EDIT_CHARS = 24
+#: (least number of words, edits of whole words that link): long lines with inserted, replaced, left out or moved words.
+WORD_CLASSES = ((12, 1), (24, 2), (64, 4))
+#: How queries and the pipeline compare lines.
+WHOLE: dict = {"word_classes": WORD_CLASSES}
 #: Letters whose counts must nearly agree before a pair is verified.
 LETTERS = "enatiorshdlucmgb"
 #: Copies of one line that may probe each by itself.
@@ -37,8 +46,9 @@ def _segment(length: Column, i: int, threshold: int) -> tuple[Column, Column]:
     return start, base + F.when(F.lit(i) > k - rest, 1).otherwise(0)
 
 
-def segment_keys(line: Column, length: Column, threshold: int = THRESHOLD) -> Column:
-    """Array of (key, own): hashes of all probed substrings; `own` marks the line's own segments, under which it is indexed."""
+def segment_keys(line: Column, length: Column, threshold: int = THRESHOLD, kind: int = 0, words: bool = False) -> Column:
+    """Array of (key, own): hashes of all probed substrings; `own` marks the line's own segments, under which it is indexed.
+    With words, line is an array of words and length their number. Kinds have keys of their own."""
     out = []
     for delta in range(threshold + 1):
         for i in range(1, threshold + 2):
@@ -46,7 +56,8 @@ def segment_keys(line: Column, length: Column, threshold: int = THRESHOLD) -> Co
             low, high = max(-(i - 1), delta - (threshold + 1 - i)), min(i - 1, delta + threshold + 1 - i)
             for shift in range(low, high + 1):
                 at = start + shift
-                key = F.xxhash64(F.lit(i), length - delta, F.substring(line, at, size))
+                piece = F.array_join(F.slice(line, F.greatest(at, F.lit(1)), F.greatest(size, F.lit(0))), " ") if words else F.substring(line, at, size)
+                key = F.xxhash64(F.lit(i + 1000 * kind), length - delta, piece)
                 ok = (at >= 1) & (at + size - 1 <= length)
                 out.append(F.struct(F.when(ok, key).alias("key"), F.lit(delta == 0 and shift == 0).alias("own")))
     return F.array(*out)
@@ -60,7 +71,7 @@ def letter_counts(line: Column, length: Column) -> Column:
     return out
 
 
-def may_be_near(a: Column, b: Column, threshold: int) -> Column:
+def may_be_near(a: Column, b: Column, threshold: int | Column) -> Column:
     """Whether letter counts allow so few edits: each edit changes two of them by one at most."""
     total = F.lit(0)
     for i in range(len(LETTERS)):
@@ -104,6 +115,18 @@ def verified(pairs: DataFrame, a: str, b: str, threshold: int = THRESHOLD) -> Da
             possible = possible | F.contains(other, F.substring(F.col(a), F.col("_head") + 2 + k * size, size))
     x = x.where(possible)
     x = _once(x, **{name: F.split(F.substring(F.col(of), F.col("_head") + 1, F.col(n)), "") for name, of, n in (("_p", a, "_m"), ("_t", b, "_n"))})
+    return x.where(_alive(threshold)).select(*pairs.columns)
+
+
+def verified_words(pairs: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
+    """Rows of pairs whose strings a and b are at most `threshold` insertions, deletions or substitutions of words apart."""
+    x = _once(pairs, _p=F.split(a, " "), _t=F.split(b, " "))
+    x = _once(x, _m=F.size("_p"), _n=F.size("_t")).where(F.abs(F.col("_m") - F.col("_n")) <= threshold)
+    return x.where(_alive(threshold)).select(*pairs.columns)
+
+
+def _alive(threshold: int) -> Column:
+    """Whether at most `threshold` edits turn array _p (of size _m) into _t (of size _n); sizes differ by so many at most."""
     full = (1 << (2 * threshold + 1)) - 1
     begin = F.struct(*(F.lit(sum(1 << (threshold + d) for d in range(e + 1))).alias(f"r{e}") for e in range(threshold + 1)))
 
@@ -122,8 +145,7 @@ def verified(pairs: DataFrame, a: str, b: str, threshold: int = THRESHOLD) -> Da
         return F.struct(*(r.alias(f"r{e}") for e, r in enumerate(new)))
 
     end = F.when(F.col("_n") == 0, begin).otherwise(F.aggregate(F.sequence(F.lit(0), F.col("_n") - 1), begin, step))
-    alive = end[f"r{threshold}"].bitwiseAND(F.expr(f"shiftleft(1, {threshold} + _m - _n)"))
-    return x.where(alive != 0).select(*pairs.columns)
+    return end[f"r{threshold}"].bitwiseAND(F.expr(f"shiftleft(1, {threshold} + _m - _n)")) != 0
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -132,14 +154,18 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return src.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line")
 
 
-def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS, word_classes: tuple = ()) -> DataFrame:
     """(doc_id, line_no, n_chars, class_doc, class_line, n_links, kept) for every line of at least min_chars characters.
 
     (class_doc, class_line) is the first occurrence of the line's class, kept marks it; n_links counts different lines that are
-    linked with the line directly. Equal lines are one node, so copies make no links. Documents without id or text have
+    linked with the line directly: by `threshold` edits of characters, or by the edits of words that word_classes allow. Equal lines are one node, so copies make no links. Documents without id or text have
     no lines here, empty lines are too short; rows that repeat an id count as one document. Other columns are ignored.
     """
-    if min_edit_chars <= 3 * threshold:
+    # (threshold, least length, most, whether lengths are in words); the longer of two lines may reach into the next range
+    kinds: list[tuple] = [(threshold, min_edit_chars, None, False)]
+    for i, (low, most) in enumerate(word_classes):
+        kinds.append((most, low, word_classes[i + 1][0] - 1 + most if i + 1 < len(word_classes) else None, True))
+    if any(low <= 3 * t for t, low, _, _ in kinds):
         raise ValueError("lines that are compared must be longer than three times the threshold")
     lines = lines_of(docs, id_col, text_col).withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
     lines = lines.withColumn("id", F.xxhash64("line"))
@@ -148,21 +174,32 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     often = places.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("c")).where(F.col("c") > MANY_COPIES).select("id", "first")
     often = cut(often, "often")
     few = F.broadcast if often.count() <= BROADCAST_ROWS else lambda x: x
-    probing = lines.where(F.col("n") >= min_edit_chars).join(few(often), "id", "left").where(F.col("first").isNull() | (F.struct("doc_id", "line_no") == F.col("first")))
+    compared = lines.withColumn("n_words", F.size(F.split("line", " "))).where((F.col("n") >= min(low for _, low, _, w in kinds if not w)) | (F.col("n_words") >= min([low for _, low, _, w in kinds if w], default=1 << 30)))
+    probing = compared.join(few(often), "id", "left").where(F.col("first").isNull() | (F.struct("doc_id", "line_no") == F.col("first")))
     # counts are taken below the generator, once a line and not once a key
-    probing = probing.select("id", "line", "n", letter_counts(F.col("line"), F.col("n")).alias("f"))
-    keys = probing.select("id", "f", F.explode(segment_keys(F.col("line"), F.col("n"), threshold)).alias("k")).select("id", "f", "k.key", "k.own")
+    probing = _once(probing.select("id", "line", "n", "n_words"), f=letter_counts(F.col("line"), F.col("n")), words=F.split("line", " "))
+    keyed = []
+    for k, (t, low, high, w) in enumerate(kinds):
+        n = F.col("n_words" if w else "n")
+        number = F.lit(k).alias("kind")
+        of_kind = F.transform(segment_keys(F.col("words" if w else "line"), n, t, k, w), lambda x: F.struct(x["key"].alias("key"), x["own"].alias("own"), number))
+        keyed.append(F.when(n >= low if high is None else n.between(low, high), of_kind).otherwise(F.array().cast("array<struct<key:bigint,own:boolean,kind:int>>")))
+    keys = probing.select("id", "f", F.explode(F.concat(*keyed)).alias("k")).select("id", "f", "k.key", "k.own", "k.kind")
     # a maximum keeps both filters above it, so that index and probe share one exchange
-    keys = keys.where("key is not null").repartition("key").groupBy("key", "id", "f").agg(F.max("own").alias("own"))
-    probe = keys.where("own is not null").select("key", F.col("id").alias("b"), F.col("f").alias("fb"))
+    keys = keys.where("key is not null").repartition("key").groupBy("key", "id", "f", "kind").agg(F.max("own").alias("own"))
+    probe = keys.where("own is not null").select("key", "kind", F.col("id").alias("b"), F.col("f").alias("fb"))
     index = keys.where("own").select("key", F.col("id").alias("a"), F.col("f").alias("fa"))
-    met = probe.join(index.hint("shuffle_hash"), (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & may_be_near(F.col("fa"), F.col("fb"), threshold))
-    pairs = cut(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    near_letters = F.lit(False)  # letter counts bound edits of characters only
+    for k, (t, _, _, w) in enumerate(kinds):
+        near_letters = near_letters | ((F.col("kind") == k) & (F.lit(True) if w else may_be_near(F.col("fa"), F.col("fb"), t)))
+    met = probe.join(index.hint("shuffle_hash"), (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & near_letters)
+    pairs = cut(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "kind").distinct(), "pairs")
     ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     few = F.broadcast if ids.count() <= BROADCAST_ROWS else lambda x: x
     texts = cut(lines.select("id", "line").join(few(ids), "id", "left_semi").groupBy("id").agg(F.any_value("line").alias("line")), "texts")
     full = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("line").alias("tb")), "b")
-    links = cut(verified(full, "ta", "tb", threshold).select("a", "b"), "links")
+    found = [(verified_words if w else verified)(full.where(F.col("kind") == k), "ta", "tb", t).select("a", "b") for k, (t, _, _, w) in enumerate(kinds)]
+    links = cut(reduce(DataFrame.union, found).distinct(), "links")
     comp = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     near = cut(degree.join(comp.withColumnRenamed("node", "id"), "id", "left").select("id", "n_links", F.coalesce("component", "id").alias("component")), "near")
@@ -186,4 +223,4 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_classes(table(spark, sf_dir, "documents"))
+    return line_classes(table(spark, sf_dir, "documents"), **WHOLE)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from boxwright.llm.decontaminate import drop_leaks
-from boxwright.llm.line_dedup import drop_lines
+from boxwright.llm.line_dedup import WHOLE, drop_lines
 from boxwright.llm.near_dedup import near_duplicates
 from boxwright.llm.sentencepieces import decode_documents, encode_documents
 from boxwright.llm.shared import new_path, table
@@ -24,7 +24,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_lines(docs)
+    return drop_lines(docs, **WHOLE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -125,6 +125,29 @@ def test_lines_equal_brute_force(spark):
         assert (left[d].text or "") == "\n".join(kept)
 
 
+def test_long_lines_are_linked_by_edits_of_words(spark):
+    rng = random.Random(9)
+    vocab = [f"word{i}" for i in range(400)]
+    base = [[rng.choice(vocab) for _ in range(n)] for n in (12, 14, 23, 24, 26, 30, 63, 64, 70, 90)]
+    lines = [list(x) for x in base]
+    for _ in range(60):
+        x = list(rng.choice(base))
+        for _ in range(rng.randint(1, 5)):
+            i = rng.randrange(len(x))
+            rng.choice((lambda: x.insert(i, rng.choice(vocab)), lambda: x.pop(i), lambda: x.__setitem__(i, rng.choice(vocab)), lambda: x.append(x.pop(i))))()
+        lines.append(x)
+    lines = sorted({" ".join(x) for x in lines})
+    got = line_dedup.line_classes(docs_of(spark, lines), **line_dedup.WHOLE).collect()
+
+    def near(a, b):
+        x, y = a.split(" "), b.split(" ")
+        most = max((t for n, t in line_dedup.WORD_CLASSES if n <= min(len(x), len(y))), default=0)
+        return distance(x, y) <= most or distance(a, b) <= 2 if abs(len(x) - len(y)) <= 4 else False
+
+    want = {i: sum(a != b and near(a, b) for b in lines) for i, a in enumerate(lines)}
+    assert {r.doc_id: r.n_links for r in got} == want and sum(want.values()) > 20
+
+
 def test_tiff_round_trips():
     rng = random.Random(4)
     datas = [b"", b"a", b"aaaa" * 5000, rng.randbytes(20000), b"abc" * 9000, bytes(range(256)) * 40]
