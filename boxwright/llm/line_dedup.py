@@ -29,7 +29,7 @@ MIN_EDIT_CHARS = 24
 #: (least number of words, edits of whole words that link): long lines with inserted, replaced, left out or moved words.
 WORD_CLASSES = ((12, 1), (24, 2), (64, 4))
 #: How queries and the pipeline compare lines.
-WHOLE: dict = {"word_classes": WORD_CLASSES}
+WHOLE: dict = {"min_chars": 1, "short_edit_chars": 10, "word_classes": WORD_CLASSES}
 #: Letters whose counts must nearly agree before a pair is verified.
 LETTERS = "enatiorshdlucmgb"
 #: Copies of one line that may probe each by itself.
@@ -47,7 +47,7 @@ def _segment(length: Column, i: int, threshold: int) -> tuple[Column, Column]:
 
 
 def segment_keys(line: Column, length: Column, threshold: int = THRESHOLD, kind: int = 0, words: bool = False) -> Column:
-    """Array of (key, own): hashes of all probed substrings; `own` marks the line's own segments, under which it is indexed.
+    """Array of (key, own, kind): hashes of all probed substrings; `own` marks the line's own segments, under which it is indexed.
     With words, line is an array of words and length their number. Kinds have keys of their own."""
     out = []
     for delta in range(threshold + 1):
@@ -59,7 +59,7 @@ def segment_keys(line: Column, length: Column, threshold: int = THRESHOLD, kind:
                 piece = F.array_join(F.slice(line, F.greatest(at, F.lit(1)), F.greatest(size, F.lit(0))), " ") if words else F.substring(line, at, size)
                 key = F.xxhash64(F.lit(i + 1000 * kind), length - delta, piece)
                 ok = (at >= 1) & (at + size - 1 <= length)
-                out.append(F.struct(F.when(ok, key).alias("key"), F.lit(delta == 0 and shift == 0).alias("own")))
+                out.append(F.struct(F.when(ok, key).alias("key"), F.lit(delta == 0 and shift == 0).alias("own"), F.lit(kind).alias("kind")))
     return F.array(*out)
 
 
@@ -154,15 +154,17 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return src.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line")
 
 
-def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS, word_classes: tuple = ()) -> DataFrame:
+def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS, short_edit_chars: int | None = None, word_classes: tuple = ()) -> DataFrame:
     """(doc_id, line_no, n_chars, class_doc, class_line, n_links, kept) for every line of at least min_chars characters.
 
     (class_doc, class_line) is the first occurrence of the line's class, kept marks it; n_links counts different lines that are
-    linked with the line directly: by `threshold` edits of characters, or by the edits of words that word_classes allow. Equal lines are one node, so copies make no links. Documents without id or text have
+    linked with the line directly: by `threshold` edits of characters (one edit from short_edit_chars to below min_edit_chars), or by the edits of words that word_classes allow. Equal lines are one node, so copies make no links. Documents without id or text have
     no lines here, empty lines are too short; rows that repeat an id count as one document. Other columns are ignored.
     """
     # (threshold, least length, most, whether lengths are in words); the longer of two lines may reach into the next range
     kinds: list[tuple] = [(threshold, min_edit_chars, None, False)]
+    if short_edit_chars is not None:
+        kinds.append((1, short_edit_chars, min_edit_chars, False))
     for i, (low, most) in enumerate(word_classes):
         kinds.append((most, low, word_classes[i + 1][0] - 1 + most if i + 1 < len(word_classes) else None, True))
     if any(low <= 3 * t for t, low, _, _ in kinds):
@@ -181,8 +183,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = []
     for k, (t, low, high, w) in enumerate(kinds):
         n = F.col("n_words" if w else "n")
-        number = F.lit(k).alias("kind")
-        of_kind = F.transform(segment_keys(F.col("words" if w else "line"), n, t, k, w), lambda x: F.struct(x["key"].alias("key"), x["own"].alias("own"), number))
+        of_kind = segment_keys(F.col("words" if w else "line"), n, t, k, w)
         keyed.append(F.when(n >= low if high is None else n.between(low, high), of_kind).otherwise(F.array().cast("array<struct<key:bigint,own:boolean,kind:int>>")))
     keys = probing.select("id", "f", F.explode(F.concat(*keyed)).alias("k")).select("id", "f", "k.key", "k.own", "k.kind")
     # a maximum keeps both filters above it, so that index and probe share one exchange

@@ -148,6 +148,16 @@ def test_long_lines_are_linked_by_edits_of_words(spark):
     assert {r.doc_id: r.n_links for r in got} == want and sum(want.values()) > 20
 
 
+def test_short_lines_have_rows_and_links(spark):
+    lines = ["Les.", "Des.", "Les.", "x", "x", "The, anhely eran.", "The anhely eran.", "The anhely eran", "abcdefghijklmnopqrstuvw", "abcdefghijklmnopqrstuvwx", "nine char", "nine chat", ""]
+    got = {r.doc_id: r for r in line_dedup.line_classes(docs_of(spark, lines), **line_dedup.WHOLE).collect()}
+    assert set(got) == {i for i, x in enumerate(lines) if x}
+    for i, r in got.items():
+        near = {b for b in lines if b != lines[i] and min(len(b), len(lines[i])) >= 10 and distance(b, lines[i]) <= 1}
+        assert r.n_links == len(near), lines[i]
+    assert {i: r.class_doc for i, r in got.items()} == {0: 0, 1: 1, 2: 0, 3: 3, 4: 3, 5: 5, 6: 5, 7: 5, 8: 8, 9: 8, 10: 10, 11: 11}
+
+
 def test_tiff_round_trips():
     rng = random.Random(4)
     datas = [b"", b"a", b"aaaa" * 5000, rng.randbytes(20000), b"abc" * 9000, bytes(range(256)) * 40]
