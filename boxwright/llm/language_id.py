@@ -21,8 +21,8 @@ from .words import blocks, text_buffers
 
 #: Trigrams are counted in so many hashed cells.
 CELLS = 1 << 14
-#: Most languages that the model tells apart: those with most text.
-MOST_LANGUAGES = 64
+#: Languages that a text is scored under at once.
+LANGUAGE_BLOCK = 64
 #: Neighbouring trigrams repeat each other's evidence: a text counts with this share of its log likelihood, up to MOST_NATS.
 TEMPER, MOST_NATS = 0.3, 30.0
 STRENGTH = 4.0
@@ -63,12 +63,11 @@ def train_text_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     """(languages, log probabilities by cell) over all documents with a language. A row for each language and cell is collected."""
     known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     counts = cut(known.mapInArrow(_counts, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")), "trigrams")
-    langs = sorted(r[0] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect())
+    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
     table_ = np.full((len(langs), CELLS), 0.5)
     at = {x: i for i, x in enumerate(langs)}
     for lang, cell, n in counts.collect():
-        if lang in at:
-            table_[at[lang], cell] += n
+        table_[at[lang], cell] += n
     return langs, np.log(table_ / table_.sum(axis=1, keepdims=True))
 
 
@@ -83,7 +82,8 @@ def _evidence(langs: list[str], logs: np.ndarray):
             for html in batch.column(1).to_pylist():
                 html = html or ""
                 raw = np.frombuffer(visible_text(html).encode(), np.uint8)
-                ll = logs[:, _cells(raw)].sum(axis=1) if len(raw) > 2 else np.zeros(len(langs))
+                cell = _cells(raw) if len(raw) > 2 else np.zeros(0, np.uint32)
+                ll = np.concatenate([logs[k : k + LANGUAGE_BLOCK][:, cell].sum(axis=1) for k in range(0, len(langs), LANGUAGE_BLOCK)])
                 ll = np.maximum(TEMPER * (ll - ll.max()), -MOST_NATS)
                 post.append(np.exp(ll) / np.exp(ll).sum())
                 m = DECLARED.search(html)
@@ -123,7 +123,7 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
 
     x = rows
     for key in ("suffix", "domain", "host"):
-        x = x.join(shares(key), key, "left")
+        x = x.join(shares(key), key, "left").withColumn(f"{key}_n", F.aggregate(f"{key}_sum", F.lit(0.0), lambda a, v: a + v))
     kinds = rows.where("declared is not null").groupBy("declared").agg(*_sums(n)).select("declared", F.array(*(f"s{i}" for i in range(n))).alias("declared_sum"))
     x = x.join(kinds, "declared", "left")
 
@@ -132,7 +132,7 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
         p: Column = F.lit(prior[i])
         for key in ("suffix", "domain", "host"):
             own = F.greatest(F.col(f"{key}_sum")[i] - F.col("post")[i], F.lit(0.0))
-            count = F.greatest(sum((F.col(f"{key}_sum")[k] for k in range(n)), F.lit(0.0)) - 1, F.lit(0.0))
+            count = F.greatest(F.col(f"{key}_n") - 1, F.lit(0.0))
             p = (own + STRENGTH * p) / (count + STRENGTH)
         return p
 

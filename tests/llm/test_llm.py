@@ -332,6 +332,17 @@ def test_languages(spark):
     assert language_id.identify(pages, docs.where("false")).where("lang is not null").count() == 0
 
 
+def test_every_labelled_language_is_told_apart(spark):
+    """70 languages, the last ones with least text: pages of each are recognised."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rng = random.Random(12)
+    words_of = {f"{a}{b}": ["".join(rng.choice(letters) for _ in range(7)) for _ in range(6)] for a in letters[:7] for b in letters[:10]}
+    docs = spark.createDataFrame([(k, " ".join(w * (80 - i))) for i, (k, w) in enumerate(words_of.items())], "lang string, text string")
+    pages = spark.createDataFrame([(i, None, f"<p>{' '.join(w * 3)}</p>") for i, w in enumerate(words_of.values())], "page_id long, url string, html string")
+    got = {r.page_id: r.lang for r in language_id.identify(pages, docs).collect()}
+    assert got == dict(enumerate(words_of))
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
