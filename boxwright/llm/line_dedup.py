@@ -1,8 +1,13 @@
 """Line dedup by a segment-partition edit join. DataFrame functions only.
 
-A line of length l is cut into threshold + 1 even segments. A line within `threshold` edits leaves one of them whole, at a place
-that the edits before and after it bound. So each distinct line is indexed under its segments, and probes with the
-substrings that could be a segment of a line as long as itself or up to `threshold` shorter. Pairs that meet are verified: common
+Lines fall into classes of length; the segments of a class have one size, the least length of the class over threshold + 1. The
+first half of a line's threshold + 1 segments is counted from its start, the rest from its end. With at most `threshold` edits
+between two lines there is a segment i without any, with i - 1 edits before it, so it stands in the other line at most i - 1
+places off if counted from the start, and at most threshold + 1 - i off if counted from the end. So each distinct line
+is indexed under its segments and probes with its substrings at those places: threshold + 1 own keys, and (threshold + 1)^2 / 2 in all.
+A line that is at most `threshold` longer than the class below belongs to both, so that lines of different length meet.
+
+Keys that two lines share give pairs. Counts of letters (of hashed words) must nearly agree before a pair is verified: common
 beginnings and ends go (they don't change the distance), and the rest runs through a banded bit-parallel automaton, whose
 masks of 2 * threshold + 1 bits (one for each number of errors) hold the diagonals that are still alive.
 
@@ -14,12 +19,13 @@ Lines of one class (components of verified links) keep their first occurrence by
 
 from __future__ import annotations
 
-from functools import reduce
+import math
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .components import components
-from .shared import cut, table
+from .shared import cut, discard, table
 
 THRESHOLD = 2
 #: Shorter lines are left alone.
@@ -34,35 +40,57 @@ WHOLE: dict = {"min_chars": 1, "short_edit_chars": 10, "word_classes": WORD_CLAS
 LETTERS = "enatiorshdlucmgb"
 #: Copies of one line that may probe each by itself.
 MANY_COPIES = 50
+#: How much longer lines of the next class of length are.
+GROWTH = 1.2
 #: Ids that may be broadcast (8 bytes each); beyond, joins deal both sides out.
 BROADCAST_ROWS = 2_000_000
 
 
-def _segment(length: Column, i: int, threshold: int) -> tuple[Column, Column]:
-    """First character (from 1) and size of segment i (from 1): the last `length mod segments` segments are one longer."""
-    k = threshold + 1
-    base, rest = F.floor(length / k).cast("int"), (length % k).cast("int")
-    start = (i - 1) * base + F.greatest(F.lit(0), F.lit(i - 1 - k) + rest) + 1
-    return start, base + F.when(F.lit(i) > k - rest, 1).otherwise(0)
+def _class(length: Column, low: int) -> Column:
+    """Class of length, from 0 at length `low`; null below."""
+    return F.when(length >= low, F.floor(F.log(length / F.lit(low)) / F.lit(math.log(GROWTH)) + 1e-9).cast("int"))
 
 
-def segment_keys(line: Column, length: Column, threshold: int = THRESHOLD, kind: int = 0, words: bool = False) -> Column:
-    """Array of (key, own, kind): hashes of all probed substrings; `own` marks the line's own segments, under which it is indexed.
-    With words, line is an array of words and length their number. Kinds have keys of their own."""
+def _segment_size(c: Column, low: int, threshold: int) -> Column:
+    """Size of the segments of class c: its least length over threshold + 1."""
+    return F.floor(F.ceil(F.pow(F.lit(GROWTH), c) * low - 1e-6) / (threshold + 1)).cast("int")
+
+
+def _places(threshold: int) -> Column:
+    """Array of (segment, shift, from_end): where the segments of a near line may be. Shift 0 is the line's own segment."""
     out = []
-    for delta in range(threshold + 1):
-        for i in range(1, threshold + 2):
-            start, size = _segment(length - delta, i, threshold)
-            low, high = max(-(i - 1), delta - (threshold + 1 - i)), min(i - 1, delta + threshold + 1 - i)
-            for shift in range(low, high + 1):
-                at = start + shift
-                piece = F.array_join(F.slice(line, F.greatest(at, F.lit(1)), F.greatest(size, F.lit(0))), " ") if words else F.substring(line, at, size)
-                key = F.xxhash64(F.lit(i + 1000 * kind), length - delta, piece)
-                ok = (at >= 1) & (at + size - 1 <= length)
-                out.append(F.struct(F.when(ok, key).alias("key"), F.lit(delta == 0 and shift == 0).alias("own"), F.lit(kind).alias("kind")))
+    for i in range(1, threshold + 2):
+        from_end = i > (threshold + 2) // 2
+        most = threshold + 1 - i if from_end else i - 1
+        out += [F.struct(F.lit(i).alias("i"), F.lit(shift).alias("shift"), F.lit(from_end).alias("from_end")) for shift in range(-most, most + 1)]
     return F.array(*out)
 
 
+def keyed(lines: DataFrame, kinds: list[tuple], keep: list[str]) -> DataFrame:
+    """(keep..., kind, key, own): hashes of a line's own segments and of the substrings where near lines may have theirs.
+
+    lines has line, n (characters), words (array), n_words; kinds are those of line_classes().
+    """
+    picked = []
+    for k, (t, low, high, w, implied) in enumerate(kinds):
+        n = F.col("n_words" if w else "n")
+        inside = F.lit(True) if high is None else n <= high
+        if implied is not None:  # every pair that this kind could link is compared word by word
+            inside = inside & (F.col("n_words") < implied)
+        here, below = _class(n, low), _class(n - t, low)
+        for c, ok in ((here, inside), (below, inside & (below != here))):
+            picked.append(F.struct(F.lit(k).alias("k"), n.alias("n"), F.lit(t).alias("t"), F.when(ok, c).alias("c"), _segment_size(c, low, t).alias("size")))
+    x = lines.select(*keep, "line", "words", F.explode(F.array(*picked)).alias("kind")).where("kind.c is not null")
+    places = F.element_at(F.array(*(_places(t) for t, *_ in kinds)), F.col("kind.k") + 1)
+    x = x.select(*keep, "line", "words", "kind", F.explode(places).alias("p"))
+    size = F.col("kind.size")
+    first = F.when(F.col("p.from_end"), F.col("kind.n") - (F.col("kind.t") + 2 - F.col("p.i")) * size).otherwise((F.col("p.i") - 1) * size) + F.col("p.shift") + 1
+    x = x.select(*keep, "line", "words", "kind", "p", first.alias("first")).where((F.col("first") >= 1) & (F.col("first") + size - 1 <= F.col("kind.n")))
+    by_words = F.col("kind.k").isin([k for k, kind in enumerate(kinds) if kind[3]])
+    piece = F.when(by_words, F.xxhash64(F.slice("words", F.greatest("first", F.lit(1)), size))).otherwise(F.xxhash64(F.substring(F.col("line"), F.col("first"), size)))
+    return x.select(*keep, F.col("kind.k").alias("kind"), F.xxhash64(F.col("kind.k") * 1000 + F.col("p.i"), F.col("kind.c"), piece).alias("key"), (F.col("p.shift") == 0).alias("own"))
+
+
 def letter_counts(line: Column, length: Column) -> Column:
     """Counts of sixteen letters, modulo 16, in the half bytes of a long."""
     out = F.lit(0).cast("long")
@@ -71,8 +99,22 @@ def letter_counts(line: Column, length: Column) -> Column:
     return out
 
 
+def _equals(i: int, h: Column) -> Column:
+    return h == i
+
+
+def word_counts(words: Column) -> Column:
+    """Counts of words in sixteen hashed classes, modulo 16, in the half bytes of a long."""
+    kinds = F.transform(words, lambda w: F.pmod(F.hash(w), F.lit(16)))
+    out = F.lit(0).cast("long")
+    for i in range(16):
+        own = F.size(F.filter(kinds, partial(_equals, i)))
+        out = out.bitwiseOR(F.shiftleft((own % 16).cast("long"), 4 * i))
+    return out
+
+
 def may_be_near(a: Column, b: Column, threshold: int | Column) -> Column:
-    """Whether letter counts allow so few edits: each edit changes two of them by one at most."""
+    """Whether counts of letters or words allow so few edits: each edit changes two of them by one at most."""
     total = F.lit(0)
     for i in range(len(LETTERS)):
         d = F.abs(F.shiftright(a, 4 * i).bitwiseAND(F.lit(15)) - F.shiftright(b, 4 * i).bitwiseAND(F.lit(15)))
@@ -130,11 +172,14 @@ def _alive(threshold: int) -> Column:
     full = (1 << (2 * threshold + 1)) - 1
     begin = F.struct(*(F.lit(sum(1 << (threshold + d) for d in range(e + 1))).alias(f"r{e}") for e in range(threshold + 1)))
 
-    def step(s: Column, j: Column) -> Column:
-        c = F.get("_t", j)
-        match = F.lit(0)
+    def mask(c: Column, j: Column) -> Column:
+        """The diagonals on which element c, at place j of _t, equals that of _p."""
+        out = F.lit(0)
         for d in range(-threshold, threshold + 1):
-            match = match + F.when(F.get("_p", j + d) == c, F.lit(1 << (threshold + d))).otherwise(F.lit(0))
+            out = out + F.when(F.get("_p", j + d) == c, F.lit(1 << (threshold + d))).otherwise(F.lit(0))
+        return out
+
+    def step(s: Column, match: Column) -> Column:
         new: list[Column] = []
         for e in range(threshold + 1):
             r = s[f"r{e}"].bitwiseAND(match)
@@ -144,7 +189,7 @@ def _alive(threshold: int) -> Column:
             new.append(r.bitwiseAND(F.lit(full)))
         return F.struct(*(r.alias(f"r{e}") for e, r in enumerate(new)))
 
-    end = F.when(F.col("_n") == 0, begin).otherwise(F.aggregate(F.sequence(F.lit(0), F.col("_n") - 1), begin, step))
+    end = F.when(F.col("_n") == 0, begin).otherwise(F.aggregate(F.transform(F.slice("_t", F.lit(1), F.col("_n")), mask), begin, step))
     return end[f"r{threshold}"].bitwiseAND(F.expr(f"shiftleft(1, {threshold} + _m - _n)")) != 0
 
 
@@ -154,73 +199,103 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return src.select("doc_id", F.col("line_no").cast("long").alias("line_no"), "line")
 
 
+def _kinds(threshold: int, min_edit_chars: int, short_edit_chars: int | None, word_classes: tuple) -> list[tuple]:
+    """(threshold, least length, most, whether lengths are in words, number of words from which a later kind finds the same pairs).
+
+    The longer of two lines may reach into the next range. `threshold` edits of characters are at most twice as many edits of words and
+    change the number of words by `threshold` at most, so word classes that allow so many take in the character edits.
+    """
+    implied = next((low + threshold for i, (low, _) in enumerate(word_classes) if all(most >= 2 * threshold for _, most in word_classes[i:])), None)
+    kinds: list[tuple] = [(threshold, min_edit_chars, None, False, implied)]
+    if short_edit_chars is not None:
+        kinds.append((1, short_edit_chars, min_edit_chars, False, None))
+    for i, (low, most) in enumerate(word_classes):
+        kinds.append((most, low, word_classes[i + 1][0] - 1 + most if i + 1 < len(word_classes) else None, True, None))
+    if any(low <= t for t, low, *_ in kinds):
+        raise ValueError("lines that are compared must be longer than the threshold")
+    return kinds
+
+
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS, short_edit_chars: int | None = None, word_classes: tuple = ()) -> DataFrame:
     """(doc_id, line_no, n_chars, class_doc, class_line, n_links, kept) for every line of at least min_chars characters.
 
     (class_doc, class_line) is the first occurrence of the line's class, kept marks it; n_links counts different lines that are
-    linked with the line directly: by `threshold` edits of characters (one edit from short_edit_chars to below min_edit_chars), or by the edits of words that word_classes allow. Equal lines are one node, so copies make no links. Documents without id or text have
-    no lines here, empty lines are too short; rows that repeat an id count as one document. Other columns are ignored.
+    linked with the line directly: by `threshold` edits of characters (one edit from short_edit_chars to below min_edit_chars), or by the
+    edits of words that word_classes allow. Equal lines are one node, so copies make no links; a line is known by two 64-bit
+    hashes. Documents without id or text have no lines here, empty lines are too short; rows that repeat an id count as one document. A text is
+    split whole, so a line of a very long text costs what other lines cost; one line may be as long as a row's value. An empty
+    table gives an empty one. Other columns are ignored.
     """
-    # (threshold, least length, most, whether lengths are in words); the longer of two lines may reach into the next range
-    kinds: list[tuple] = [(threshold, min_edit_chars, None, False)]
-    if short_edit_chars is not None:
-        kinds.append((1, short_edit_chars, min_edit_chars, False))
-    for i, (low, most) in enumerate(word_classes):
-        kinds.append((most, low, word_classes[i + 1][0] - 1 + most if i + 1 < len(word_classes) else None, True))
-    if any(low <= 3 * t for t, low, _, _ in kinds):
-        raise ValueError("lines that are compared must be longer than three times the threshold")
+    kinds = _kinds(threshold, min_edit_chars, short_edit_chars, word_classes)
     lines = lines_of(docs, id_col, text_col).withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
-    lines = lines.withColumn("id", F.xxhash64("line"))
-    places = cut(lines.select("doc_id", "line_no", "n", "id"), "places")
+    lines = lines.withColumns({"id": F.xxhash64("line"), "id2": F.xxhash64(F.lit(1), "line")})
+    places = cut(lines.select("doc_id", "line_no", "n", "id", "id2"), "places")
     # lines with many copies probe once, from their first place; the copies of the others fall together after the exchange
-    often = places.groupBy("id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("c")).where(F.col("c") > MANY_COPIES).select("id", "first")
-    often = cut(often, "often")
+    firsts = places.groupBy("id", "id2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("c")).where("c > 1")
+    firsts = cut(firsts, "firsts")
+    often = firsts.where(F.col("c") > MANY_COPIES).select("id", "id2", "first")
     few = F.broadcast if often.count() <= BROADCAST_ROWS else lambda x: x
-    compared = lines.withColumn("n_words", F.size(F.split("line", " "))).where((F.col("n") >= min(low for _, low, _, w in kinds if not w)) | (F.col("n_words") >= min([low for _, low, _, w in kinds if w], default=1 << 30)))
-    probing = compared.join(few(often), "id", "left").where(F.col("first").isNull() | (F.struct("doc_id", "line_no") == F.col("first")))
-    # counts are taken below the generator, once a line and not once a key
-    probing = _once(probing.select("id", "line", "n", "n_words"), f=letter_counts(F.col("line"), F.col("n")), words=F.split("line", " "))
-    keyed = []
-    for k, (t, low, high, w) in enumerate(kinds):
-        n = F.col("n_words" if w else "n")
-        of_kind = segment_keys(F.col("words" if w else "line"), n, t, k, w)
-        keyed.append(F.when(n >= low if high is None else n.between(low, high), of_kind).otherwise(F.array().cast("array<struct<key:bigint,own:boolean,kind:int>>")))
-    keys = probing.select("id", "f", F.explode(F.concat(*keyed)).alias("k")).select("id", "f", "k.key", "k.own", "k.kind")
-    # a maximum keeps both filters above it, so that index and probe share one exchange
-    keys = keys.where("key is not null").repartition("key").groupBy("key", "id", "f", "kind").agg(F.max("own").alias("own"))
-    probe = keys.where("own is not null").select("key", "kind", F.col("id").alias("b"), F.col("f").alias("fb"))
-    index = keys.where("own").select("key", F.col("id").alias("a"), F.col("f").alias("fa"))
-    near_letters = F.lit(False)  # letter counts bound edits of characters only
-    for k, (t, _, _, w) in enumerate(kinds):
-        near_letters = near_letters | ((F.col("kind") == k) & (F.lit(True) if w else may_be_near(F.col("fa"), F.col("fb"), t)))
-    met = probe.join(index.hint("shuffle_hash"), (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & near_letters)
-    pairs = cut(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "kind").distinct(), "pairs")
-    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    compared = lines.where(F.col("n") >= min(low for _, low, _, w, _ in kinds if not w)).join(few(often), ["id", "id2"], "left")
+    compared = compared.where(F.col("first").isNull() | (F.struct("doc_id", "line_no") == F.col("first")))
+    compared = _once(compared.select("id", "line", "n"), words=F.split("line", " "))
+    compared = _once(compared, n_words=F.size("words"))
+    # members of keys that several lines have, one of them as its own: one exchange, read twice
+    keys = keyed(compared, kinds, ["id"]).repartition("key")
+    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("own").alias("own")).where("lo < hi and own").select("key")
+    members = cut(keys.join(shared, "key").groupBy("key", "id", "kind").agg(F.max("own").alias("own")), "members")
+    ids = cut(members.select("id").distinct(), "ids")
     few = F.broadcast if ids.count() <= BROADCAST_ROWS else lambda x: x
-    texts = cut(lines.select("id", "line").join(few(ids), "id", "left_semi").groupBy("id").agg(F.any_value("line").alias("line")), "texts")
-    full = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("line").alias("tb")), "b")
-    found = [(verified_words if w else verified)(full.where(F.col("kind") == k), "ta", "tb", t).select("a", "b") for k, (t, _, _, w) in enumerate(kinds)]
+    texts = lines.select("id", "id2", "line", "n").join(few(ids), "id", "left_semi").groupBy("id", "id2").agg(F.any_value("line").alias("line"), F.any_value("n").alias("n"))
+    texts = cut(texts.select("id", "id2", "line", letter_counts(F.col("line"), F.col("n")).alias("letters"), word_counts(F.split("line", " ")).alias("words")), "texts")
+    by_words = F.col("kind").isin([k for k, kind in enumerate(kinds) if kind[3]])
+    counts = texts.groupBy("id").agg(F.max("letters").alias("letters"), F.max("words").alias("words"), F.count("*").alias("n"))
+    known = members.join(counts, "id").select("key", "id", "kind", "own", F.when(F.col("n") == 1, F.when(by_words, F.col("words")).otherwise(F.col("letters"))).alias("f"))
+    known = cut(known, "members")
+    probe = known.select("key", "kind", F.col("id").alias("b"), F.col("f").alias("fb"), F.col("own").alias("ob"))
+    index = known.where("own").select("key", F.col("id").alias("a"), F.col("f").alias("fa"))
+    near_counts = F.lit(False)
+    for k, (t, *_) in enumerate(kinds):
+        near_counts = near_counts | ((F.col("kind") == k) & F.coalesce(may_be_near(F.col("fa"), F.col("fb"), t), F.lit(True)))
+    # two lines that both have the key as their own meet once
+    met = probe.join(index, (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & (~F.col("ob") | (F.col("a") < F.col("b"))) & near_counts)
+    pairs = cut(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "kind").distinct(), "pairs")
+    line = lambda side: F.struct("id", "id2").alias(side)
+    full = pairs.join(texts.select(F.col("id").alias("a"), line("la"), F.col("line").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), line("lb"), F.col("line").alias("tb")), "b")
+    found = [(verified_words if w else verified)(full.where(F.col("kind") == k), "ta", "tb", t).select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")) for k, (t, _, _, w, _) in enumerate(kinds)]
     links = cut(reduce(DataFrame.union, found).distinct(), "links")
-    comp = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
-    near = cut(degree.join(comp.withColumnRenamed("node", "id"), "id", "left").select("id", "n_links", F.coalesce("component", "id").alias("component")), "near")
-    few = F.broadcast if near.count() <= BROADCAST_ROWS else lambda x: x
-    rows = places.select("doc_id", "line_no", F.col("n").cast("long").alias("n_chars"), "id").join(few(near), "id", "left")
-    rows = rows.select("doc_id", "line_no", "n_chars", F.coalesce("component", "id").alias("c"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    first = rows.groupBy("c").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-    out = rows.join(first, "c").select("doc_id", "line_no", "n_chars", F.col("first.doc_id").alias("class_doc"), F.col("first.line_no").alias("class_line"), "n_links")
+    comp = components(links, native=True)
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    near = degree.join(comp, "node", "left").select("node.id", "node.id2", "n_links", F.coalesce("component", "node").alias("component"))
+    # a row for each line that has copies or links: its first place and, with links, the first place of its component
+    linked = near.join(firsts, ["id", "id2"], "left").select("id", "id2", "n_links", "component", "first")
+    alone = places.join(few(near.select("id", "id2")), ["id", "id2"], "left_semi").groupBy("id", "id2").agg(F.min(F.struct("doc_id", "line_no")).alias("own_first"))
+    linked = cut(linked.join(alone, ["id", "id2"]).select("id", "id2", "n_links", "component", "own_first"), "linked")
+    tops = linked.groupBy("component").agg(F.min("own_first").alias("top"))
+    tops = cut(linked.join(tops, "component").select("id", "id2", "n_links", "top"), "tops")
+    named = cut(firsts.select("id", "id2", "first").join(tops, ["id", "id2"], "full").select("id", "id2", F.coalesce("top", "first").alias("top"), "n_links"), "named")
+    rows = places.join(named, ["id", "id2"], "left")
+    top = lambda c: F.coalesce(F.col(f"top.{c}"), F.col(c))
+    out = rows.select("doc_id", "line_no", F.col("n").cast("long").alias("n_chars"), top("doc_id").alias("class_doc"), top("line_no").alias("class_line"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    for x in (members, ids, texts, known, pairs, links, linked, tops, firsts):
+        discard(x)
     return out.withColumn("kept", (F.col("doc_id") == F.col("class_doc")) & (F.col("line_no") == F.col("class_line")))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs with every line taken out that isn't the first of its class; all rows and columns stay, n_chars follows the text."""
-    gone = line_classes(docs, id_col, text_col, **options).where("not kept").select(F.col("doc_id").alias("_doc"), "line_no").distinct()
-    gone = gone.groupBy("_doc").agg(F.collect_list("line_no").alias("_gone"))  # line numbers of one document
-    left = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("_gone", i.cast("long"))), "\n")
-    x = docs.join(gone, F.col(id_col).cast("long") == F.col("_doc"), "left").withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left))
+    """docs with every line taken out that isn't the first of its class; all rows and columns stay, n_chars follows the text.
+
+    Rows without id or text stay as they are. Rows that repeat an id lose the line numbers that any of them loses only where the line itself
+    isn't kept for that document. Columns of any name may stand beside; none is read but the two named and n_chars.
+    """
+    gone = line_classes(docs, id_col, text_col, **options).where("not kept").select("doc_id", "line_no").distinct()
+    gone = gone.groupBy("doc_id").agg(F.collect_list("line_no").alias("lines"))  # line numbers of one document
+    x = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row")).join(gone.select(F.struct("doc_id", "lines").alias("gone")), F.col(f"row.`{id_col}`").cast("long") == F.col("gone.doc_id"), "left")
+    text, lost = F.col(f"row.`{text_col}`"), F.col("gone").isNotNull()
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains("gone.lines", i.cast("long"))), "\n")
+    made = {c: F.col(f"row.`{c}`") for c in docs.columns} | {text_col: F.when(lost, left).otherwise(text)}
     if "n_chars" in docs.columns:
-        x = x.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length(text_col).cast(docs.schema["n_chars"].dataType)))
-    return x.select(*docs.columns)
+        made["n_chars"] = F.when(lost, F.length(left).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return x.select(*(v.alias(c) for c, v in made.items()))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

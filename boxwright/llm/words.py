@@ -15,8 +15,7 @@ import pyarrow as pa
 BLOCK_BYTES = 1 << 20
 PIECE_BYTES = 1 << 17
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_powers = np.ones(1, np.uint64)
+_factors = np.zeros(0, np.uint64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -30,12 +29,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        with np.errstate(over="ignore"):
-            _powers = np.cumprod(np.r_[np.uint64(1), np.full(max(n, 256) - 1, _BASE, np.uint64)], dtype=np.uint64)
-    return _powers
+def factors(idx: np.ndarray) -> np.ndarray:
+    """An odd pseudo-random multiplier for each place in a span: multilinear hashing, which unlike powers of one base has no
+    long words that collide for every base."""
+    global _factors
+    if not len(_factors):
+        _factors = mix64(np.arange(1 << 16, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    if not len(idx) or int(idx.max()) < len(_factors):
+        return _factors[idx]
+    return mix64(idx.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +76,7 @@ def span_hash(raw: np.ndarray, starts: np.ndarray, inside: np.ndarray | None = N
         if inside is not None:
             values *= inside[end - len(piece) : end]
             idx *= inside[end - len(piece) : end]
-        values *= powers(int(idx.max()) + 1)[idx]
+        values *= factors(idx)
         out[i : i + step] = np.add.reduceat(values, at)
     return mix64(out)
 
