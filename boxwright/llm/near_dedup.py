@@ -9,10 +9,10 @@ threshold are confirmed on their full shingle sets, read again from the texts.
 
 Equal sets are one node. In each band bucket every member is first held against one hub: the member that meets the most
 others over all bands, which in a family of edited copies is the text that they were copied from. The components of
-confirmed links follow. What is left are buckets whose members lie in several components. Their members are held against each
-other by registers, block against block in numpy, and a spanning set of the pairs that may reach the threshold ties them
-into families. In a family, every member outside its largest component is confirmed against all members of other
-components, block against block with the texts at hand, so that no row per pair is ever made and members of one
+confirmed links follow. What is left are buckets whose members lie in several components. There, what lies outside the bucket's largest
+component is held against the rest by registers, block against block in numpy, and a spanning set of the pairs of components that may
+reach the threshold ties them into families. In a family, every member outside its largest component is confirmed against all
+members of other components, block against block with the texts at hand, so that no row per pair is ever made and members of one
 component are never compared. So every candidate pair either is tested or joins nodes that are linked already.
 """
 
@@ -108,7 +108,7 @@ def similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) ->
 def _sketch(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
+            ids, texts = batch.column(0), batch.column(2)
             for i, j, w in word_blocks(batch.column(1)):
                 row, h = shingles(w, k)
                 order = np.lexsort((h, row))
@@ -120,8 +120,8 @@ def _sketch(k: int):
                 k1, k2 = (np.r_[np.uint64(0), np.cumsum(mix64(h + np.uint64(s)), dtype=np.uint64)] for s in (1, 2))
                 regs = registers(row, h, j - i)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), pa.array(n.astype(np.int64)), pa.array((k1[edge[1:]] - k1[edge[:-1]]).view(np.int64)), pa.array((k2[edge[1:]] - k2[edge[:-1]]).view(np.int64)), pa.array([x.tobytes() for x in regs], pa.binary())],
-                    names=["doc_id", "n_shingles", "k1", "k2", "sig"],
+                    [ids.slice(i, j - i), texts.slice(i, j - i), pa.array(n.astype(np.int64)), pa.array((k1[edge[1:]] - k1[edge[:-1]]).view(np.int64)), pa.array((k2[edge[1:]] - k2[edge[:-1]]).view(np.int64)), pa.array([x.tobytes() for x in regs], pa.binary())],
+                    names=["doc_id", "h", "n_shingles", "k1", "k2", "sig"],
                 )
 
     return run
@@ -203,16 +203,17 @@ def _close(x: int, y: np.ndarray, n: np.ndarray, sig: np.ndarray, threshold: flo
 
 
 def _across(threshold: float):
-    """Of a block pair's members (side, rep, n, comp, sig): a spanning set of the pairs across components that may be links."""
+    """Of a block pair's members (side, rep, n, comp, sig): a spanning set of the pairs of components that may be linked."""
 
     def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         side, rep, n, comp = (t.column(c).to_numpy() for c in ("side", "rep", "n", "comp"))
         sig = np.stack([np.frombuffer(x, np.uint16) for x in t.column("sig").to_pylist()])
-        left, right, tree, out = np.flatnonzero(side != 1), np.flatnonzero(side != 0), _Sets(len(rep)), []
+        _, node = np.unique(comp, return_inverse=True)
+        left, right, tree, out = np.flatnonzero(side != 1), np.flatnonzero(side != 0), _Sets(int(node.max()) + 1), []
         for x in left:
-            y = right[comp[right] != comp[x]]
-            out += [(rep[x], rep[z]) for z in _close(x, y, n, sig, threshold) if tree.join(int(x), int(z))]
+            y = right[node[right] != node[x]]
+            out += [(rep[x], rep[z]) for z in _close(x, y, n, sig, threshold) if tree.join(int(node[x]), int(node[z]))]
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return run
@@ -246,62 +247,74 @@ def _within(k: int, percent: int):
     return run
 
 
-def _family_links(near: DataFrame, comp1: DataFrame, sigs: DataFrame, src: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links across components inside the families that `near` pairs tie together."""
-    tied = components(near.unionAll(comp1.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-    touched = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(tied, "node").select("component").distinct()
-    fam = tied.unionAll(tied.select(F.col("component").alias("node"), "component")).distinct().join(touched, "component").select(F.col("component").alias("family"), F.col("node").alias("rep"))
-    fam = fam.join(comp1.select(F.col("node").alias("rep"), F.col("component").alias("c")), "rep", "left").join(sigs, "rep").select("family", "rep", "n", F.coalesce("c", "rep").alias("comp"))
-    fam = cut(fam, "families")
-    sizes = fam.groupBy("family", "comp").agg(F.count("*").alias("g"), F.sum("n").alias("w"))
-    sizes = sizes.groupBy("family").agg(F.max(F.struct("g", "comp", "w")).alias("m"), F.sum("g").alias("g"), F.sum("w").alias("w"))
+def _dealt(x: DataFrame, key: str) -> DataFrame:
+    """Members (key, rep, n, comp, ...) of several components a key, dealt into pairs of blocks (i, j) with the side that a member takes.
+
+    Blocks 0 to others - 1 hold what lies outside the key's largest component, the following ones the largest component, which meets
+    the others only.
+    """
+    sizes = x.groupBy(key, "comp").agg(F.count("*").alias("g"), F.sum("n").alias("w"))
+    sizes = sizes.groupBy(key).agg(F.max(F.struct("g", "comp", "w")).alias("m"), F.sum("g").alias("g"), F.sum("w").alias("w"))
     parts = lambda g, w: F.greatest(F.ceil(g / SIDE), F.ceil(w / SIDE_SHINGLES), F.lit(1)).cast("int")
-    sizes = sizes.select("family", F.col("m.comp").alias("main"), parts(F.col("m.g"), F.col("m.w")).alias("mains"), parts(F.col("g") - F.col("m.g"), F.col("w") - F.col("m.w")).alias("others"))
-    x = fam.join(sizes, "family")
-    # blocks 0..others-1 hold what lies outside the largest component, the following ones the largest component
+    sizes = sizes.select(key, F.col("m.comp").alias("main"), parts(F.col("m.g"), F.col("m.w")).alias("mains"), parts(F.col("g") - F.col("m.g"), F.col("w") - F.col("m.w")).alias("others"))
+    x = x.join(sizes, key)
     main = F.col("comp") == F.col("main")
     own = F.pmod(F.xxhash64("rep"), F.when(main, F.col("mains")).otherwise(F.col("others"))).cast("int") + F.when(main, F.col("others")).otherwise(0)
     x = x.withColumn("own", own)
     against = F.when(main, F.sequence(F.lit(0), F.col("others") - 1)).otherwise(F.sequence(F.lit(0), F.col("others") + F.col("mains") - 1))
     x = x.withColumn("other", F.explode(against))
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    x = x.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "rep", "n", "comp")
-    texts = src.join(fam.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
-    full = x.join(sigs.select("rep", "sig").join(cut(texts, "texts"), "rep"), "rep")
-    return cut(full.groupBy("family", "i", "j").applyInArrow(_within(k, percent), "a long, b long"), "links")
+    return x.select(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "rep", "n", "comp")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row with an id.
+def _family_links(near: DataFrame, comp1: DataFrame, sigs: DataFrame, src: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links across components inside the families that `near` pairs tie together."""
+    tied = components(near.unionAll(comp1.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    touched = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    touched = touched.join(tied, "node", "left").select(F.coalesce("component", "node").alias("component")).distinct()
+    fam = tied.unionAll(tied.select(F.col("component").alias("node"), "component")).distinct().join(touched, "component").select(F.col("component").alias("family"), F.col("node").alias("rep"))
+    fam = fam.join(comp1.select(F.col("node").alias("rep"), F.col("component").alias("c")), "rep", "left").join(sigs, "rep").select("family", "rep", "n", "doc", "h", F.coalesce("c", "rep").alias("comp"))
+    fam = cut(fam, "families")
+    x = _dealt(fam.select("family", "rep", "n", "comp"), "family")
+    texts = cut(_texts(src, fam.select("rep", "doc", "h")), "texts")
+    full = x.join(sigs.select("rep", "sig").join(texts, "rep"), "rep")
+    out = cut(full.groupBy("family", "i", "j").applyInArrow(_within(k, percent), "a long, b long"), "links")
+    discard(texts)
+    discard(fam)
+    return out
 
-    component_id is the smallest id that a document reaches by links of at least percent/100 shared shingles; a null or
-    empty text has no shingles, no link and its own id. kept marks the smallest id of each component. Rows without id are
-    left out; repeated rows come out once each. Other columns are ignored.
-    """
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+
+def _texts(src: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rep, text) for (rep, doc, h): of rows that repeat an id, one with that very text."""
+    found = src.withColumnRenamed("doc_id", "doc").join(wanted, ["doc", "h"])
+    return found.groupBy("rep").agg(F.any_value("text").alias("text"))
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """(doc_id, h, n_shingles, component_id) for every row with an id; h is a hash of the row's text."""
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("h")).where("doc_id is not null")
     threshold = percent / 100
-    sketch = cut(src.mapInArrow(_sketch(k), "doc_id long, n_shingles long, k1 long, k2 long, sig binary"), "sketch")
-    same = sketch.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min(F.struct("doc_id", "sig")).alias("m"))
-    reps = cut(same.select("k1", "k2", F.col("m.doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.col("m.sig").alias("sig")), "reps")
+    sketch = src.mapInArrow(_sketch(k), "doc_id long, h long, n_shingles long, k1 long, k2 long, sig binary")
+    sketch = cut(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")  # numbers are fixed once they are written
+    same = sketch.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min(F.struct("row", "doc_id", "h", "sig")).alias("m"), F.min("doc_id").alias("least"))
+    reps = cut(same.select("k1", "k2", F.col("m.row").alias("rep"), F.col("m.doc_id").alias("doc"), F.col("m.h").alias("h"), F.col("n_shingles").alias("n"), F.col("m.sig").alias("sig"), "least"), "reps")
     bands = reps.select("rep", "n", "sig").mapInArrow(_bands, "band long, rep long, n long")
     many = bands.groupBy("band").agg(F.count("*").alias("g")).where("g > 1")
     members = cut(bands.join(many, "band"), "members")  # of buckets with several members: few of all
     meets = members.groupBy("rep").agg(F.sum("g").alias("meets"))
-    members = cut(members.join(meets, "rep"), "members")
-    hubs = members.groupBy("band").agg(F.max(F.struct("meets", (-F.col("rep")).alias("minus"))).alias("h")).select("band", (-F.col("h.minus")).alias("hub"))
+    hubs = members.join(meets, "rep").groupBy("band").agg(F.max(F.struct("meets", (-F.col("rep")).alias("minus"))).alias("h")).select("band", (-F.col("h.minus")).alias("hub"))
+    sigs = reps.select("rep", "n", "doc", "h", "sig")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """pairs: distinct (a, b)."""
-        ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        texts = cut(src.join(ids, "doc_id", "left_semi"), "texts")
-        full = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-        full = full.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
+        ids = pairs.select(F.col("a").alias("rep")).unionAll(pairs.select(F.col("b").alias("rep"))).distinct()
+        texts = cut(_texts(src, ids.join(sigs.select("rep", "doc", "h"), "rep")), "texts")
+        full = pairs.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b")
+        full = full.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a")
         out = cut(full.select("a", "b", "ta", "tb").mapInArrow(_confirm(k, percent), "a long, b long"), "links")
         discard(texts)
         return out
 
-    sigs = reps.select("rep", "n", "sig")
-
     def likely(pairs: DataFrame) -> DataFrame:
         x = pairs.join(sigs.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a")
         x = x.join(sigs.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
@@ -316,24 +329,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # what is left: buckets whose members lie in several components
     named = members.join(comp1.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep", "left")
     named = named.select("band", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
-    mixed = named.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("g")).where("lo < hi").select("band", "g")
-    left = named.join(mixed, "band").join(sigs.select("rep", "sig"), "rep")
-    many = F.ceil(F.col("g") / SIDE).cast("int")
-    own = F.pmod(F.xxhash64("rep"), many).cast("int")
-    left = left.select("band", "rep", "n", "comp", "sig", own.alias("own"), F.explode(F.sequence(F.lit(0), many - 1)).alias("other"))
-    left = left.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"), "rep", "n", "comp", "sig")
+    mixed = named.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
+    left = _dealt(cut(named.join(mixed, "band"), "mixed"), "band").join(sigs.select("rep", "sig"), "rep")
     near = left.groupBy("band", "i", "j").applyInArrow(_across(threshold), "a long, b long")
     near = cut(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near")
     links = links1
     if not near.isEmpty():
         links = links1.unionAll(_family_links(near, comp1, sigs, src, k, percent))
     comp = components(links)
-    of_set = reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
-    out = sketch.drop("sig").join(of_set.withColumnRenamed("n", "n_shingles"), ["k1", "k2", "n_shingles"], "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    known = comp.unionAll(comp.select(F.col("component").alias("node"), "component").distinct()).withColumnRenamed("node", "rep")
+    tops = known.join(reps.select("rep", "least"), "rep")
+    tops = cut(tops.join(tops.groupBy("component").agg(F.min("least").alias("top")), "component").select("rep", "top"), "tops")
+    of_set = reps.join(tops, "rep", "left").select("k1", "k2", F.col("n").alias("n_shingles"), F.coalesce("top", "least").alias("component"))
+    out = sketch.drop("sig", "row").join(of_set, ["k1", "k2", "n_shingles"], "left")
+    for x in (members, pairs1, near):
+        discard(x)
+    return out.select("doc_id", "h", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row with an id.
+
+    component_id is the smallest id that a document reaches by links of at least percent/100 shared shingles; a null or
+    empty text has no shingles, no link and its own id. kept marks the smallest id of each component. Rows without id are
+    left out; rows that repeat an id come out once each, judged by their own texts. A text is worked on whole, in memory of some
+    twenty times its bytes. An empty table gives an empty one. Other columns are ignored.
+    """
+    out = _decided(docs, id_col, text_col, k, percent).drop("h")
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
+    """One row of each component of near-duplicates, all columns as they were: the one with the smallest id.
+
+    Rows are dropped by id and text, so another text under the same id stays. Of rows that repeat both, one stays. Rows without id, or
+    without words, stay.
+    """
+    rows = cut(_decided(docs, id_col, text_col, k, percent).where("n_shingles > 0"), "decided")
+    gone = rows.where("doc_id <> component_id").select("doc_id", "h").distinct()
+    row = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[id_col].cast("long").alias("doc_id"), F.xxhash64(docs[text_col]).alias("h"))
+    left = row.join(gone, ["doc_id", "h"], "left_anti")
+    again = cut(rows.where("doc_id = component_id").groupBy("doc_id", "h").count().where("count > 1").select("doc_id", "h"), "again")
+    if not again.isEmpty():
+        left = left.join(again, ["doc_id", "h"], "left_anti").unionByName(left.join(again, ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]))
+    return left.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 

@@ -67,6 +67,41 @@ def test_near_duplicates_equal_brute_force(spark):
     assert near_dedup.near_duplicates(docs_of(spark, [])).count() == 0
 
 
+def test_rows_that_repeat_an_id_are_judged_by_their_own_text(spark):
+    text, other = "a b c d e f g", "h i j k l m n o"
+    rows = [(3, text), (5, text), (5, other), (5, other), (None, text), (None, text), (7, None), (7, None), (8, ""), (9, text + " x"), (1, "p q r s t u")]
+    docs = spark.createDataFrame([(a, b, "_", 1, 2) for a, b in rows], "doc_id long, text string, h string, row int, component_id int")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs).collect())
+    assert got == [(1, 2, 1), (3, 3, 3), (5, 3, 3), (5, 4, 5), (5, 4, 5), (7, 0, 7), (7, 0, 7), (8, 0, 8), (9, 4, 3)]
+    left = near_dedup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in left.collect()) == [(-1, text), (-1, text), (1, "p q r s t u"), (3, text), (5, other), (7, ""), (7, ""), (8, "")]
+
+
+def test_words_that_collide_under_every_polynomial_hash():
+    a = b = ""
+    for n in range(13):  # Thue-Morse words over two letters
+        a, b = (a + b, b + a) if n else ("a", "b")
+        if len(a) >= 1024:
+            raw = np.frombuffer((a + b).encode(), np.uint8)
+            h = words.span_hash(raw, np.array([0, len(a)]))
+            assert h[0] != h[1]
+
+
+def test_chunks_with_one_hash_keep_their_own_ids(monkeypatch):
+    class Lengths(chunks.ChunkTable):
+        def encode_new(self, found):
+            return [[ord(x) for x in c] for c in found]
+
+    monkeypatch.setattr(chunks, "span_hash", lambda raw, start: np.full(len(start), 7, np.uint64))
+    t = Lengths("<u4")
+    for texts in (["ab", "abc", "zz", "ab"], ["zz", "q", "abc"]):
+        raw = np.frombuffer("".join(texts).encode(), np.uint8)
+        offs = np.r_[0, np.cumsum([len(x) for x in texts])]
+        ids, bounds = t.encode_chunks(raw, offs[:-1], offs)
+        assert [bytes(ids[i:j].tolist()).decode() for i, j in zip(bounds, bounds[1:])] == texts
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(180)] + [(i, i + 1) for i in range(400, 440)]
@@ -343,7 +378,7 @@ def test_every_labelled_language_is_told_apart(spark):
     assert got == dict(enumerate(words_of))
 
 
-def test_pipeline(spark):
+def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
     sf = "/root/testdata/sf0.001"
@@ -352,7 +387,7 @@ def test_pipeline(spark):
     for name, f in corpus_pipeline.STAGES[:-1]:
         out = f(spark, docs, sf)
         assert out.columns == docs.columns, name
-        path = f"/tmp/boxwright-test-{name}-{random.random()}"
+        path = str(tmp_path / name)
         out.write.parquet(path)
         docs = spark.read.parquet(path)
         assert 0 < docs.count() <= n
