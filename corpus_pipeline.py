@@ -5,6 +5,10 @@
 3. near_dedup: of documents tied by links of a similarity of 0.75 or more, the one with the smallest id stays.
 4. decontamination: documents that hold a benchmark item go.
 5. sentencepiece: what is left becomes token ids, decoded again for the record.
+
+A null or empty text passes every stage (it has no words, lines or passages) and comes out without tokens; a row without id passes too and
+is never taken for a copy. Rows that repeat an id are judged each by its own text; of rows that repeat id and text one stays. Columns
+beside doc_id and text pass through. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -13,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from boxwright.llm.decontaminate import drop_leaks
 from boxwright.llm.line_dedup import WHOLE, drop_lines
-from boxwright.llm.near_dedup import near_duplicates
+from boxwright.llm.near_dedup import drop_near_duplicates
 from boxwright.llm.sentencepieces import decode_documents, encode_documents
-from boxwright.llm.shared import new_path, table
+from boxwright.llm.shared import new_path, remove, table
 from boxwright.llm.toxicity import drop_toxic, fit, label_categories
 
 
@@ -28,8 +32,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +54,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)  # nothing reads the stage before any more
+        docs, before = spark.read.parquet(path), path
     return docs
