@@ -17,9 +17,9 @@ def is_box(b: Column) -> Column:
 
 
 def clamp(x: Column, lo, hi) -> Column:
-    """NaN stays NaN."""
+    """NaN stays NaN, null stays null."""
     lo, hi = (v if isinstance(v, Column) else F.lit(float(v)) for v in (lo, hi))
-    return F.when(F.isnan(x), x).otherwise(F.least(F.greatest(x, lo), hi))
+    return F.when(x.isNull() | F.isnan(x), x).otherwise(F.least(F.greatest(x, lo), hi))
 
 
 def _once(x: Column, f) -> Column:
@@ -127,3 +127,39 @@ def draw_box(b: Column, width: Column, height: Column) -> Column:
     x = lambda v: F.rint(clamp(v / 1000.0 * width, 0, width - 1.0))
     y = lambda v: F.rint(clamp(v / 1000.0 * height, 0, height - 1.0))
     return _made(b, x(F.least(x1, x2)), y(F.least(y1, y2)), x(F.greatest(x1, x2)), y(F.greatest(y1, y2)))
+
+
+def draw_pixel_box(b: Column, width: Column, height: Column, drawn_width: Column | None = None, drawn_height: Column | None = None) -> Column:
+    """Pixel box to whole pixels inside the image as it is drawn, rescaled where that has another size; null where nothing is left of it."""
+    x1, y1, x2, y2 = _four(b)
+    w, h = (width if drawn_width is None else drawn_width).cast("double"), (height if drawn_height is None else drawn_height).cast("double")
+    x = lambda v: F.rint(clamp(v * w / width, 0, w - 1.0))
+    y = lambda v: F.rint(clamp(v * h / height, 0, h - 1.0))
+    made = _made(b, x(F.least(x1, x2)), y(F.least(y1, y2)), x(F.greatest(x1, x2)), y(F.greatest(y1, y2)))
+    return _once(made, lambda m: F.when((F.get(m, F.lit(2)) > F.get(m, F.lit(0))) & (F.get(m, F.lit(3)) > F.get(m, F.lit(1))), m))
+
+
+def norm1_to_pixel(b: Column, width: Column, height: Column) -> Column:
+    """(x1, y1, x2, y2) in 0..1 to whole pixels; ties go to the even number."""
+    x1, y1, x2, y2 = _four(b)
+    w, h = width.cast("double"), height.cast("double")
+    return _made(b, F.rint(x1 * w), F.rint(y1 * h), F.rint(x2 * w), F.rint(y2 * h))
+
+
+def round_box(b: Column, digits: int = 2) -> Column:
+    """Half-even on the decimal value of each number."""
+    return F.when(is_box(b), F.transform(b, lambda v: F.bround(v, digits)))
+
+
+def detected_format(b: Column, width: Column, height: Column) -> Column:
+    """norm1000 or pixel, of one box."""
+    large = F.coalesce((width > 1200) | (height > 1200), F.lit(False)) & width.isNotNull() & height.isNotNull()
+    return F.when(large & (F.array_max(b) <= 1000), "norm1000").otherwise("pixel")
+
+
+def norm1000_out(b: Column, width: Column, height: Column, whole: bool = True) -> Column:
+    """norm1000 to a pixel box inside the image."""
+    w, h = width.cast("double"), height.cast("double")
+    y1, x1, y2, x2 = _four(b)
+    to = lambda v, size: (F.rint if whole else lambda z: z)(clamp(v / 1000.0 * size, 0, size))
+    return F.when((w > 0) & (h > 0), _made(b, to(x1, w), to(y1, h), to(x2, w), to(y2, h)))

@@ -75,20 +75,22 @@ def anchor_score(tok: Column) -> Column:
 
 
 def anchors(toks: Column, most: int = 5) -> Column:
-    """The best tokens to look for, by score, then place; stopwords and tokens without letters and digits never are."""
-    ok = F.filter(F.array_distinct(toks), lambda t: ~t.isin(STOPWORDS) & (alnum_skeleton(t) != ""))
+    """The best tokens to look for, by score, then place; stopwords and tokens without letters and digits never are. A token that
+    repeats takes up as many places."""
+    ok = F.filter(toks, lambda t: ~t.isin(STOPWORDS) & (alnum_skeleton(t) != ""))
     ranked = F.array_sort(F.transform(ok, lambda t, i: F.struct((-anchor_score(t)).alias("s"), i.alias("i"), t.alias("t"))))
     return F.transform(F.slice(ranked, 1, most), lambda x: x["t"])
 
 
 def first_number(candidates: Column) -> Column:
-    """First whole number in a list of answers, or the value of the first number word; answers in order."""
+    """First whole number (up to 38 digits) in a list of answers, or the value of the first token that is a number word; answers in order, blank
+    ones left out. Answers are normalised without NFKC (compose with norm_basic for other scripts)."""
     words = F.create_map(*(F.lit(v) for kv in NUMBER_WORDS.items() for v in kv))
 
     def one(s: Column) -> Column:
         digits = F.regexp_extract(s, r"(\d+)", 1)
-        named = F.filter(F.transform(tokens(F.lower(s)), lambda t: F.try_element_at(words, F.regexp_replace(t, "[^a-z]", ""))), lambda v: v.isNotNull())
-        return F.coalesce(F.try_to_number(F.nullif(digits, F.lit("")), F.lit("999999999")).cast("int"), F.get(named, F.lit(0)))
+        named = F.filter(F.transform(tokens(strip(F.lower(s))), lambda t: F.try_element_at(words, t)), lambda v: v.isNotNull())
+        return F.when(digits != "", digits.try_cast("decimal(38,0)")).otherwise(F.get(named, F.lit(0)).cast("decimal(38,0)"))
 
     return F.get(F.filter(F.transform(candidates, one), lambda v: v.isNotNull()), F.lit(0))
 
@@ -133,7 +135,88 @@ def page_numbers(s: Column) -> Column:
 
 
 def safe_stem(s: Column) -> Column:
-    return F.regexp_replace(s, r"[^A-Za-z0-9_\-.]+", "_")
+    """Runs of what is neither a letter, digit or underscore of any script nor - or . become one underscore."""
+    return F.regexp_replace(s, r"(?U)[^\w\-.]+", "_")
+
+
+def safe_ascii_stem(s: Column) -> Column:
+    return F.regexp_replace(s, r"[^a-zA-Z0-9_\-]+", "_")
+
+
+def number_if_possible(v: Column) -> Column:
+    """A VARIANT or string as a VARIANT: whole numbers in strings and whole doubles as integers, other numbers in strings as doubles, the rest
+    as it is."""
+    text = F.try_variant_get(v, "$", "string")
+    kind = F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
+    whole = F.trim(text).rlike(r"^[+-]?\d+$")
+    number = F.trim(text).try_cast("double")
+    integral = number.isNotNull() & (number == F.floor(number)) & (F.abs(number) < 9e15)
+    as_json = F.when(whole, F.trim(text).try_cast("decimal(38,0)").cast("string")).when(integral, number.cast("long").cast("string")).when(number.isNotNull() & ~F.isnan(number) & (F.abs(number) != float("inf")), number.cast("string"))
+    numeric = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|STRING)")
+    return F.coalesce(F.when(numeric, F.try_parse_json(as_json)), v)
+
+
+def whole_number(s: Column) -> Column:
+    """A value read as a long; null where it can't be (booleans count as 0 and 1, doubles lose their fraction)."""
+    return F.when(F.lower(s.cast("string")) == "true", 1).when(F.lower(s.cast("string")) == "false", 0).otherwise(s.try_cast("long")).cast("long")
+
+
+def digits_only(s: Column) -> Column:
+    """A string of digits as a long, else null."""
+    return F.when(s.rlike(r"^\d+$"), s.try_cast("long"))
+
+
+def octal(field: Column) -> Column:
+    """A tar header's octal field up to its first NUL; 0 where it is blank or no octal number."""
+    x = F.trim(F.substring_index(field, "\0", 1))
+    return F.when(x.rlike("^[0-7]+$"), F.conv(x, 8, 10).cast("long")).otherwise(F.lit(0).cast("long"))
+
+
+def round_up_512(n: Column) -> Column:
+    return (F.ceil(n / 512.0) * 512).cast("long")
+
+
+def truncated(s: Column, most: int) -> Column:
+    """One line of at most `most` characters, the last one an ellipsis where something is left out."""
+    x = F.replace(strip(s), F.lit("\n"), F.lit(" "))
+    return F.when(F.length(x) > most, F.concat(F.left(x, F.lit(most - 1)), F.lit("…"))).otherwise(x)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def wrapped(s: pd.Series, width: pd.Series) -> pd.Series:
+    """Lines of at most `width` characters; long words are broken, an empty text is one empty line."""
+    import textwrap
+
+    return pd.Series([textwrap.wrap((x or "").strip(), width=int(w), break_long_words=True, replace_whitespace=False) or [""] for x, w in zip(s, width, strict=True)], dtype=object)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def norm_list(s: pd.Series) -> pd.Series:
+    """norm_basic of each string of a list."""
+    return s.map(lambda xs: None if xs is None else [None if x is None else unicodedata.normalize("NFKC", x).lower().strip() for x in xs])
+
+
+def distinct_by(items: Column, keys: Column) -> Column:
+    """Items without those whose key (at the same place of keys) an earlier one has; order stays."""
+    keyed = F.transform(items, lambda x, i: F.struct(F.get(keys, i).alias("k"), i.alias("i"), x.alias("x")))
+    first = F.filter(keyed, lambda x: F.array_position(keys, x["k"]) == x["i"] + 1)
+    return F.transform(first, lambda x: x["x"])
+
+
+def label_texts(fallback: Column, more: Column) -> Column:
+    """The answer and the possible answers, stripped, without blanks."""
+    every = F.concat(F.array(fallback), F.coalesce(more, F.array().cast("array<string>")))
+    return F.filter(F.transform(every, strip), lambda s: s.isNotNull() & (s != ""))
+
+
+def label_candidates(labels: Column, keys: Column | None = None, most: int = 8) -> Column:
+    """Labels to look for: distinct by their normalised forms (keys: norm_list of them; without, lower case), the first eight."""
+    return F.slice(distinct_by(labels, F.transform(labels, lambda s: strip(F.lower(s))) if keys is None else keys), 1, most)
+
+
+def deck_id(deck: Column, qid: Column, position: Column) -> Column:
+    """The deck's own id, else one made from the question's id, else from the row's position (eight digits)."""
+    return F.coalesce(deck.cast("string"), F.concat(F.lit("deck_unknown_from_"), qid.cast("string")), F.format_string("deck_unknown_%08d", position.cast("long")))
 
 
 def mime_type(p: Column) -> Column:

@@ -53,10 +53,13 @@ def number(s: str) -> str:
     return head + dot + tail.replace(".", "")
 
 
-def equivalent(a: str, b: str) -> bool:
-    if re.search("[0-9]", a) and re.search("[0-9]", b) and number(a) == number(b):
-        return True
-    return skeleton(a) == skeleton(b)
+def form(t: str) -> tuple[str, str | None]:
+    """What tokens are compared by: the skeleton, and the number of a token with digits."""
+    return skeleton(t), number(t) if re.search("[0-9]", t) else None
+
+
+def equivalent(a: tuple, b: tuple) -> bool:
+    return a[0] == b[0] or (a[1] is not None and a[1] == b[1])
 
 
 def overlap(p: list[float], q: list[float]) -> float:
@@ -88,9 +91,10 @@ class Document:
                 self.word.append(i)
             first.append(len(self.token))
         self.first = first  # tokens of word i: first[i]:first[i + 1]
+        self.form = [form(x) for x in self.token]
         self.places: dict[str, list[int]] = {}
-        for p, x in enumerate(self.token):
-            self.places.setdefault(skeleton(x), []).append(p)
+        for p, (x, _) in enumerate(self.form):
+            self.places.setdefault(x, []).append(p)
         self.span: dict[int, tuple[int, int]] = {}
         for i, n in enumerate(self.line):
             if n is not None:
@@ -136,24 +140,26 @@ def match(doc: Document, label: str, pred: list[float] | None, o: Options) -> di
     toks = [t for t in toks if t not in STOPWORDS] or toks
     if not toks:
         return failed("empty_label_tokens")
-    wanted = [t for t in dict.fromkeys(toks) if t not in STOPWORDS and skeleton(t)]
+    wanted = [t for t in toks if t not in STOPWORDS and skeleton(t)]
     value = lambda t: (10.0 if re.search("[0-9]", t) else 0.0) + min(len(skeleton(t)), 12) / 12.0 * 2.0
     hits = sorted({p for t in sorted(wanted, key=lambda t: -value(t))[:5] for p in doc.places.get(skeleton(t), ())})
     if not hits:
         return failed("no_anchor_hits")
-    hits = hits[:: max(1, len(hits) // o.max_candidates)][: o.max_candidates]
+    if len(hits) > o.max_candidates:
+        hits = hits[:: len(hits) // o.max_candidates][: o.max_candidates]
     digits, best = any(re.search("[0-9]", t) for t in toks), None
+    forms = [form(t) for t in toks]
     for place in hits:
         lo, hi = doc.window(place, o)
         for back in BACK:
             start = max(lo, place - back)
             stop = start + min(hi - start, o.max_scan_mult * len(toks) + 50)
-            got, at = [], start
-            for t in toks:  # in order, greedily
-                at2 = next((p for p in range(at, stop) if equivalent(t, doc.token[p])), None)
-                if at2 is not None:
-                    got.append(at2)
-                    at = at2 + 1
+            got: list[int] = []
+            for p in range(start, stop):  # the scan waits for one token after the other and never passes one over
+                if equivalent(forms[len(got)], doc.form[p]):
+                    got.append(p)
+                    if len(got) == len(toks):
+                        break
             if not got:
                 continue
             coverage = len(got) / len(toks)
@@ -162,7 +168,7 @@ def match(doc: Document, label: str, pred: list[float] | None, o: Options) -> di
             words = sorted({doc.word[p] for p in got})
             a, b = skeleton(label), skeleton(" ".join(doc.text[w] for w in words))
             ratio = difflib.SequenceMatcher(None, a, b).ratio() if a and b else 0.0
-            box = doc.cluster_box(words, pred, o)
+            box = [min(max(v, 0.0), 1000.0) for v in doc.cluster_box(words, pred, o)]
             share, dist = (overlap(pred, box), distance(pred, box)) if pred else (0.0, 1.0)
             score = 0.7 * coverage + 0.3 * ratio + o.lambda_iou * share - o.lambda_dist * dist
             if best is None or score > best["score"]:
@@ -199,50 +205,68 @@ def gate_columns(n: Column, coverage: Column, ratio: Column, iou: Column, dist:
     return F.when((coverage >= cov) | (ratio >= cr), "ok").when(saved, "ok_relaxed").otherwise("below_threshold")
 
 
-def match_labels(rows: DataFrame, words: DataFrame, options: Options | None = None) -> DataFrame:
+#: Boxes of one document that one group of the matcher takes.
+GROUP_BOXES = 2000
+
+
+def match_labels(rows: DataFrame, words: DataFrame, options: Options | None = None, group_boxes: int = GROUP_BOXES) -> DataFrame:
     """rows (doc_id, row_id, box_no, labels array, pred_box) and words (doc_id, word_idx, text, bbox, line_idx) -> rows with `used_label` and `m`.
 
-    Of several labels of a box the best passing one counts, else the best of all. Documents without words give null. Words of a
-    document become one array (bounded by the document), joined once per document."""
+    Of several labels of a box the best passing one counts, else the best of all. Boxes of documents without words, or without document, get
+    null. Only words of documents that rows name are moved; they meet their boxes in groups of at most about group_boxes, so a
+    document with very many boxes is dealt over several groups, each with the document's words."""
     o = options or Options()
-    packed = words.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("word_idx", "text", "bbox", "line_idx"))).alias("_words"))
-    x = rows.join(packed, "doc_id", "left")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            known: dict = {}
-            used, out = [], []
-            for doc_id, labels, pred, ws in zip(pdf["doc_id"], pdf["labels"], pdf["pred_box"], pdf["_words"], strict=True):
-                if ws is None:
-                    used.append(None)
-                    out.append(None)
-                    continue
-                if doc_id not in known:
-                    known = {doc_id: Document([w["text"] for w in ws], [w["bbox"] for w in ws], [w["line_idx"] for w in ws])}
-                p = None if pred is None else [float(v) for v in pred]
-                tried = [(m["ok"], m["score"], -i, s, m) for i, s in enumerate(labels if labels is not None else []) for m in [match(known[doc_id], s, p, o)]]
-                best = max(tried, key=lambda t: t[:3], default=None)
-                used.append(best and best[3])
-                out.append(best and best[4])
-            yield pdf.drop(columns=["_words"]).assign(used_label=used, m=out)
-
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    cols = rows.columns
+    parts = rows.where("doc_id is not null").groupBy("doc_id").agg(F.ceil(F.count("*") / group_boxes).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("row_id", "box_no"), F.coalesce("parts", F.lit(1))).cast("int")
+    left = rows.join(parts, "doc_id", "left").withColumn("_part", own).select(*rows.columns, "_part")
+    right = words.select("doc_id", "word_idx", "text", "bbox", "line_idx").join(parts, "doc_id")
+    right = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+    def run(boxes: pd.DataFrame, ws: pd.DataFrame) -> pd.DataFrame:
+        boxes = boxes.drop(columns=["_part"])
+        if ws.empty:
+            return boxes.assign(used_label=None, m=None)
+        ws = ws.sort_values("word_idx")
+        doc = Document(list(ws["text"]), list(ws["bbox"]), [None if pd.isna(v) else v for v in ws["line_idx"]])
+        used, out = [], []
+        for labels, pred in zip(boxes["labels"], boxes["pred_box"], strict=True):
+            p = None if pred is None else [float(v) for v in pred]
+            tried = [(m["ok"], m["score"], -i, x, m) for i, x in enumerate(labels if labels is not None else []) for m in [match(doc, x, p, o)]]
+            best = max(tried, key=lambda t: t[:3], default=None)
+            used.append(best and best[3])
+            out.append(best and best[4])
+        return boxes.assign(used_label=used, m=out)
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     nested = ", ".join(p.strip().replace(" ", ":", 1) for p in MATCH.split(", "))
-    return x.select(*cols, "_words").mapInPandas(run, f"{fields}, used_label string, m struct<{nested}>")
+    return left.groupBy("doc_id", "_part").cogroup(right.groupBy("doc_id", "_part")).applyInPandas(run, f"{fields}, used_label string, m struct<{nested}>")
+
+
+def subsequence_count(label: Column, toks: Column) -> Column:
+    """How many tokens of a label a scan over toks meets in order, waiting for one after the other."""
+    return F.aggregate(toks, F.lit(0), lambda i, t: F.when((i < F.size(label)) & (F.get(label, i) == t), i + 1).otherwise(i))
+
+
+def subsequence_coverage(label: Column, toks: Column) -> Column:
+    """The greedy match's coverage over skeletons: the native half of the matcher."""
+    return F.when(F.size(label) > 0, subsequence_count(label, toks) / F.size(label)).otherwise(F.lit(0.0))
 
 
 def verify_boxes(matched: DataFrame) -> DataFrame:
     """Extractive verification: adds `status` to matched boxes (role, is_semantic): verified where the new box mostly agrees, corrected,
-    failed (answers stay as they were), dropped (others), passed for boxes that aren't extractive."""
-    same = iou(F.col("pred_box"), F.col("m.box")) >= 0.6
-    status = F.when(~F.coalesce(F.col("is_semantic") == F.lit(False), F.lit(False)), "passed").when(F.col("m.ok") & same, "verified").when(F.col("m.ok"), "corrected").when(F.col("role") == "answer", "failed").otherwise("dropped")
+    failed (answers stay as they were), dropped (others), passed for boxes that aren't extractive, have a blank label, or
+    whose document has no words."""
+    label = F.get("labels", F.lit(0))
+    skip = ~F.coalesce(F.col("is_semantic") == F.lit(False), F.lit(False)) | F.coalesce(F.trim(label) == "", F.lit(True)) | F.col("m").isNull()
+    same = F.coalesce(iou(F.col("pred_box"), F.col("m.box")) >= 0.6, F.lit(False))
+    status = F.when(skip, "passed").when(F.col("m.ok") & same, "verified").when(F.col("m.ok"), "corrected").when(F.col("role") == "answer", "failed").otherwise("dropped")
     return matched.withColumn("status", status).withColumn("new_box", F.when(F.col("status").isin("verified", "corrected"), F.col("m.box")).otherwise(F.col("pred_box")))
 
 
 def verified_rows(boxes: DataFrame, how_many: Column | None = None) -> DataFrame:
-    """One row per row_id: boxes that stay, and `_route` bad where an answer failed (unless how_many holds: the number of answer boxes is
-    the number asked for)."""
+    """One row per row_id: boxes that stay, and `_route` bad where an answer failed. Where how_many (the number that a question asks for; null
+    for other questions, negative where it can't be read) is the number of answer boxes left, the row stays ok."""
     fails = F.bool_or(F.col("status") == "failed")
-    saved = F.coalesce(F.bool_or(how_many), F.lit(False)) if how_many is not None else F.lit(False)
+    answers = F.count_if((F.col("role") == "answer") & (F.col("status") != "dropped"))
+    saved = F.coalesce(F.max(how_many) == answers, F.lit(False)) if how_many is not None else F.lit(False)
     return boxes.groupBy("row_id").agg(F.count_if(F.col("status") != "dropped").alias("n_boxes"), F.count_if(F.col("status").isin("verified", "corrected")).alias("n_matched"), F.when(fails & ~saved, "bad").otherwise("ok").alias("_route"))

@@ -115,6 +115,13 @@ def annotation_success(answer_type: Column, boxes_json: Column) -> Column:
     return F.coalesce(answer_type.isin("extractive", "semantic") & F.schema_of_variant(v).startswith("ARRAY") & F.forall(items, good), F.lit(False))
 
 
+def annotation_failed(boxes_json: Column) -> Column:
+    """Whether a row's boxes are no list or an empty one."""
+    v = F.try_parse_json(boxes_json)
+    listed = F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+    return ~listed | (F.size(F.try_variant_get(v, "$", "array<variant>")) == 0)
+
+
 def ocr_failed(boxes_json: Column) -> Column:
     """Whether any box object has the status failed, in any case. What isn't a list has no failed box."""
     items = F.try_variant_get(F.try_parse_json(boxes_json), "$", "array<variant>")

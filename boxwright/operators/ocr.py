@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from boxwright.functions import geom
 
@@ -48,3 +48,26 @@ def page_words(docs: DataFrame, digits: int = 2, line_text: bool = False, skip_n
     n = F.row_number().over(Window.partitionBy("doc_id").orderBy("_p", "line_idx", "word_in_line")) - 1
     cols = ["doc_id", "page", "line_idx", n.alias("word_idx"), "word_in_line", F.coalesce("w.text", F.lit("")).alias("text"), "bbox", "unit", "_src_level", F.col("w.confidence").alias("confidence")]
     return w.select(*cols, *(["line_text"] if line_text else []))
+
+
+def line_blocks(ocr: Column) -> Column:
+    """Lines of an OCR document (JSON) as structs (id, text, confidence): the list LINE, or else all blocks of that type, of Blocks, of a bare
+    list, or of any list in the object."""
+    v = F.try_parse_json(ocr)
+    listed = lambda x: F.coalesce(F.schema_of_variant(x).startswith("ARRAY"), F.lit(False))
+    items = lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array().cast("array<variant>"))
+    at = lambda k: F.try_variant_get(v, f"$.{k}", "variant")
+    every = F.flatten(F.transform(F.map_values(F.coalesce(F.try_variant_get(v, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))), lambda x: F.when(listed(x), items(x)).otherwise(F.array().cast("array<variant>"))))
+    blocks = F.when(listed(v), items(v)).when(listed(at("Blocks")), items(at("Blocks"))).otherwise(every)
+    typed = F.filter(blocks, lambda x: F.coalesce(F.try_variant_get(x, "$.BlockType", "string") == "LINE", F.lit(False)))
+    own = F.filter(items(at("LINE")), lambda x: F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False)))
+    lines = F.when(listed(at("LINE")), own).otherwise(typed)
+    return F.transform(lines, lambda x: F.struct(F.try_variant_get(x, "$.Id", "string").alias("id"), F.coalesce(F.try_variant_get(x, "$.Text", "string"), F.lit("")).alias("text"), F.try_variant_get(x, "$.Confidence", "double").alias("confidence")))
+
+
+def skipped_words(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_words, n_blank, n_without_box) of LINE and WORD blocks: what block_words() leaves out, counted."""
+    x = docs.select("doc_id", F.from_json("ocr", BLOCKS)["WORD"].alias("w"))
+    box = lambda w: geom.ltwh_to_norm1000(w["Geometry"]["BoundingBox"]["Left"], w["Geometry"]["BoundingBox"]["Top"], w["Geometry"]["BoundingBox"]["Width"], w["Geometry"]["BoundingBox"]["Height"])
+    n = lambda f: F.coalesce(F.size(F.filter("w", f)), F.lit(0)).cast("long")
+    return x.select("doc_id", n(lambda w: F.lit(True)).alias("n_words"), n(lambda w: F.trim(F.coalesce(w["Text"], F.lit(""))) == "").alias("n_blank"), n(lambda w: box(w).isNull()).alias("n_without_box"))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from boxwright.functions import geom
-from boxwright.functions.text import json_object_in, page_numbers, stem, strip, strip_label
+from boxwright.functions.text import deck_id, json_object_in, page_numbers, stem, strip, strip_label
 
 
 def structure_clips(df: DataFrame, strip_prefix: bool = True, sort: bool = True, clips: str = "clips") -> DataFrame:
@@ -28,7 +28,7 @@ def structure_clips(df: DataFrame, strip_prefix: bool = True, sort: bool = True,
 def slide_rows(df: DataFrame, qid: str = "qid", evidence: str = "evidence", pages: str = "num_pages", deck: str = "deck_id", prefix: str = "page_", ext: str = "jpg") -> DataFrame:
     """Question rows with evidence pages as numbers, a deck id (made from the question where missing) and a path for each page."""
     x = df.withColumn("evidence_pages", page_numbers(F.col(evidence)))
-    x = x.withColumn("deck_id", F.coalesce(F.nullif(strip(F.col(deck).cast("string")), F.lit("")), F.format_string("%08d", F.col(qid).cast("long"))))
+    x = x.withColumn("deck_id", deck_id(F.nullif(strip(F.col(deck).cast("string")), F.lit("")), F.col(qid), F.lit(0)))
     n = F.coalesce(F.col(pages), F.lit(0)).cast("int")
     paths = F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda j: F.concat(F.col("deck_id"), F.format_string(f"/{prefix}%02d.{ext}", j)))).otherwise(F.array().cast("array<string>"))
     return x.withColumn("pages", paths)
@@ -47,6 +47,43 @@ def cot_rows(df: DataFrame, images: str = "image", turns: str = "conversations")
     return df.select("*", F.substring_index(F.get(images, F.lit(0)), "###", 1).alias("path"), boxes.alias("boxes"), asked.alias("question"), F.try_element_at(words, F.lit(-1)).alias("answer"), F.get(lists, F.lit(0)).alias("norm_box"))
 
 
+def unified_rows(df: DataFrame, image: str = "image", boxes: str = "bboxs", images: str = "images", turns: str = "conversations", width: str = "width", height: str = "height") -> DataFrame:
+    """Rows of both shapes as (path, boxes, question, answer) in pixels: a row with a question and boxes as it is; one with turns by cot_rows(),
+    where the normalised box that the model names stands in if no image path has a box."""
+    made = cot_rows(df.drop("boxes", "path").withColumnsRenamed({"question": "_q", "answer": "_a"}), images, turns)
+    plain = F.col("_q").isNotNull() & F.col(boxes).isNotNull()
+    fallback = geom.norm1_to_pixel(F.col("norm_box"), F.col(width), F.col(height))
+    own = F.when(F.size("boxes") > 0, F.col("boxes")).when(fallback.isNotNull(), F.array(fallback)).otherwise(F.array().cast("array<array<double>>"))
+    out = made.withColumns({"path": F.when(plain, F.col(image)).otherwise(F.col("path")), "boxes": F.when(plain, F.col(boxes)).otherwise(own), "question": F.when(plain, F.col("_q")).otherwise(F.col("question")), "answer": F.when(plain, F.col("_a")).otherwise(F.col("answer"))})
+    return out.drop("_q", "_a")
+
+
+# The figures of a model's usage report.
+USAGE = ["prompt_token_count", "candidates_token_count", "total_token_count", "thoughts_token_count", "cached_content_token_count", "tool_use_prompt_token_count"]
+
+
+def token_usage(usage: Column) -> Column:
+    """Known figures of a usage report (JSON) that aren't null, as a map; null where there are none."""
+    v = F.try_parse_json(usage)
+    every = F.create_map(*(x for k in USAGE for x in (F.lit(k), F.try_variant_get(v, f"$.{k}", "bigint"))))
+    some = F.map_filter(every, lambda k, n: n.isNotNull())
+    return F.when(F.size(some) > 0, some)
+
+
+def payload(df: DataFrame) -> DataFrame:
+    """The five fields that a model call gets; texts that are missing are empty."""
+    text = [F.coalesce(F.col(c), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in ("question", "answer", "image")]
+    size = [F.col(c) if c in df.columns else F.lit(None).cast("double").alias(c) for c in ("width", "height")]
+    return df.select(*text, *size)
+
+
+def numbered(raw: Column, line_no: Column) -> Column:
+    """A row's own line_no where its JSON has the key (also as null), else its place in the file."""
+    v = F.try_parse_json(raw)
+    has = F.coalesce(F.array_contains(F.json_object_keys(raw), "line_no"), F.lit(False))
+    return F.when(has, F.try_variant_get(v, "$.line_no", "bigint")).otherwise(line_no.cast("long"))
+
+
 def draw_plan(df: DataFrame, row_no: str, image: str, boxes: str = "bboxes", width: str = "width", height: str = "height") -> DataFrame:
     """A row for each box to draw: file name, number, corners in whole pixels, colour by role, legend. boxes: structs (role, label, bbox)."""
     x = df.select(F.format_string("%06d__%s.png", F.col(row_no).cast("long"), stem(F.col(image))).alias("out_name"), F.col(width).alias("_w"), F.col(height).alias("_h"), F.posexplode(boxes).alias("box_no", "b"))
@@ -108,10 +145,10 @@ def annotate(df: DataFrame, key: str, text: str, annotator: Callable[[str], str]
     return df.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInPandas(run, f"key {kind}, reply string, error string").withColumnRenamed("key", key)
 
 
-def merge_replies(df: DataFrame, replies: DataFrame, key: str, seeds: str = "seed_boxes") -> DataFrame:
-    """Rows with the reply's boxes, or without a readable reply their seeds as context boxes; answer_type, `_route`."""
+def merge_replies(df: DataFrame, replies: DataFrame, key: str, seeds: str = "seed_boxes", keep_seeds: bool = True) -> DataFrame:
+    """Rows with the reply's boxes; without a readable reply their seeds as context boxes (or, without keep_seeds, none); answer_type, `_route`."""
     x = df.join(replies, key, "left")
     made = refined_boxes(F.col("reply"))
     own = F.transform(seeds, lambda b: F.struct(F.lit("context").alias("role"), F.lit("").alias("label"), b.alias("bbox"), F.lit(False).alias("is_semantic")))
     kind = F.try_variant_get(F.try_parse_json(json_object_in(F.col("reply"))), "$.answer_type", "string")
-    return x.withColumn("bboxes", F.coalesce(made, own)).withColumn("answer_type", kind).withColumn("_route", F.when(made.isNull(), "bad").otherwise("ok")).drop("reply", "error")
+    return x.withColumn("bboxes", F.coalesce(made, own if keep_seeds else F.slice(own, 1, 0))).withColumn("answer_type", kind).withColumn("_route", F.when(made.isNull(), "bad").otherwise("ok")).drop("reply", "error")

@@ -8,7 +8,27 @@ from boxwright.functions import geom
 
 
 def box_count(df: DataFrame, boxes: str = "bboxs") -> DataFrame:
-    return df.withColumn("n_boxes", F.when(F.col(boxes).isNull(), 0).otherwise(F.size(boxes)))
+    """Adds n_boxes: items of four; a null list has none."""
+    return df.withColumn("n_boxes", F.coalesce(F.size(F.filter(boxes, lambda b: F.coalesce(F.size(b) == 4, F.lit(False)))), F.lit(0)))
+
+
+def boxes_per_row(raw: Column) -> Column:
+    """Number of boxes of a row in JSON: bboxs counts if it is a list; else bboxes, of objects with a bbox or of lists; items of four count."""
+    v = F.try_parse_json(raw)
+    listed = lambda x: F.coalesce(F.schema_of_variant(x).startswith("ARRAY"), F.lit(False))
+    items = lambda k: F.try_variant_get(v, f"$.{k}", "array<variant>")
+    four = lambda x: listed(x) & F.coalesce(F.size(F.try_variant_get(x, "$", "array<variant>")) == 4, F.lit(False))
+    of = lambda xs, f: F.size(F.filter(xs, lambda x: F.coalesce(f(x), F.lit(False))))
+    objects = F.forall(items("bboxes"), lambda x: F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False)))
+    own, other = F.try_variant_get(v, "$.bboxs", "variant"), F.try_variant_get(v, "$.bboxes", "variant")
+    dicts = of(items("bboxes"), lambda x: four(F.try_variant_get(x, "$.bbox", "variant")))
+    return F.when(listed(own), of(items("bboxs"), four)).when(listed(other) & objects, dicts).when(listed(other), of(items("bboxes"), four)).otherwise(0)
+
+
+def best_first(df: DataFrame, key: str, score: str, order: str) -> DataFrame:
+    """Of each key the row with the highest score, of equal ones the first by order; aggregated before rows move."""
+    best = F.max_by(F.struct(*df.columns), F.struct(F.col(score), (-F.col(order)).alias("o")))
+    return df.groupBy(F.col(key).alias("_key")).agg(best.alias("b")).select("b.*")
 
 
 def count_summary(df: DataFrame, count: str = "n_boxes") -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from boxwright.functions import geom, text as tx
-from boxwright.operators import align, filters, joins, ocr, records, stats
+from boxwright.operators import align, filters, joins, ocr, policies, records, stats
 from boxwright.plans.adapters import BOXES_SQL, FILES_SQL, WORDS_SQL, ocr_words, pixel_boxes, table, url_files, vqa_pixel
 
 QUERIES: dict = {}
@@ -250,18 +250,21 @@ def image_lookup_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return joins.image_lookup(o, there, "image", [".jpg", ".webp"]).select("o_orderkey", "found")
 
 
-ASCII = "regexp_full_match(text, '[\\x00-\\x7F]*')"
-
-
 @query(f"with {WORDS_SQL} select doc_id, count(*)::bigint as n_words, sum(word_idx)::bigint as sum_idx, max(line_idx)::bigint as last_line from w group by 1")
 def tokens(spark: SparkSession, sf: str) -> DataFrame:
     return ocr_words(spark, sf).groupBy("doc_id").agg(F.count("*").alias("n_words"), F.sum("word_idx").alias("sum_idx"), F.max("line_idx").cast("long").alias("last_line"))
 
 
-@query(f"with {WORDS_SQL} select regexp_replace(lower(text), '[^a-z0-9]+', '', 'g') as skeleton, count(*)::bigint as n from w where {ASCII} group by 1")
+@query(f"with {WORDS_SQL} select regexp_replace(lower(text), '[^a-z0-9]+', '', 'g') as skeleton, count(*)::bigint as n from w group by 1")
 def skeletons(spark: SparkSession, sf: str) -> DataFrame:
-    w = ocr_words(spark, sf).where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    return w.select(tx.alnum_skeleton(tx.norm_basic(F.col("text"), ascii_only=True)).alias("skeleton")).groupBy("skeleton").agg(F.count("*").alias("n"))
+    return word_forms(spark, sf).groupBy("skeleton").agg(F.sum("n").alias("n"))
+
+
+def word_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """(text, n, norm, skeleton) of the distinct words: NFKC runs once a word and not once an occurrence."""
+    w = ocr_words(spark, sf).groupBy("text").agg(F.count("*").alias("n"))
+    w = w.withColumn("norm", tx.norm_basic(F.col("text")))
+    return w.withColumn("skeleton", tx.alnum_skeleton(F.col("norm")))
 
 
 @query("""with s as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, printf('%d,%03d.%d.%d', l_partkey % 50, l_suppkey % 1000, l_linenumber, l_partkey % 10) as t from lineitem)
@@ -271,22 +274,21 @@ def numeric_skeletons(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").withColumn("t", t).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "t", tx.numeric_skeleton(F.col("t")).alias("num"))
 
 
-@query(f"with {WORDS_SQL} select doc_id, count(*) filter (regexp_matches(text, '[0-9]'))::bigint as n_numeric from w where {ASCII} group by 1")
+@query(f"with {WORDS_SQL} select doc_id, count(*) filter (regexp_matches(text, '[0-9]'))::bigint as n_numeric from w group by 1")
 def numericish(spark: SparkSession, sf: str) -> DataFrame:
-    w = ocr_words(spark, sf).where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    return w.groupBy("doc_id").agg(F.count_if(tx.numericish(F.col("text"))).alias("n_numeric"))
+    return ocr_words(spark, sf).groupBy("doc_id").agg(F.count_if(tx.numericish(F.col("text"))).alias("n_numeric"))
 
 
 STOP = ", ".join(f"'{w}'" for w in tx.STOPWORDS)
-LABELS = f"""lb as (select item_id, regexp_split_to_array(lower(trim(regexp_replace(text, '[ \\n\\t]+', ' ', 'g'))), ' ') as ts from benchmark where {ASCII}),
+LABELS = f"""lb as (select item_id, regexp_split_to_array(lower(trim(regexp_replace(text, '[ \\n\\t]+', ' ', 'g'))), ' ') as ts from benchmark),
 tk as (select item_id, unnest(ts) as t, unnest(range(len(ts))) as i from lb),
-fk as (select item_id, t, min(i) as i from tk where t not in ({STOP}) and regexp_replace(t, '[^a-z0-9]+', '', 'g') <> '' group by 1, 2),
+fk as (select item_id, t, i from tk where t not in ({STOP}) and regexp_replace(t, '[^a-z0-9]+', '', 'g') <> ''),
 an as (select item_id, t, regexp_replace(t, '[^a-z0-9]+', '', 'g') as skel, row_number() over (partition by item_id order by (case when regexp_matches(t, '[0-9]') then 10 else 0 end + least(length(regexp_replace(t, '[^a-z0-9]+', '', 'g')), 12) / 12.0::double * 2) desc, dense) as rank from (select *, row_number() over (partition by item_id order by i) as dense from fk))"""
 
 
 def label_anchors(spark: SparkSession, sf: str) -> DataFrame:
-    b = table(spark, sf, "benchmark").where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    return b.select("item_id", F.posexplode(tx.anchors(tx.tokens(tx.norm_basic(F.col("text"), ascii_only=True)))).alias("i", "t")).select("item_id", (F.col("i") + 1).cast("long").alias("rank"), "t")
+    b = table(spark, sf, "benchmark").withColumn("norm", tx.norm_basic(F.col("text")))
+    return b.select("item_id", F.posexplode(tx.anchors(tx.tokens(F.col("norm")))).alias("i", "t")).select("item_id", (F.col("i") + 1).cast("long").alias("rank"), "t")
 
 
 @query(f"with {LABELS} select item_id, rank::bigint as rank, t from an where rank <= 5")
@@ -294,11 +296,11 @@ def anchor_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return label_anchors(spark, sf)
 
 
-@query(f"with {LABELS}, {WORDS_SQL} select item_id, doc_id, count(distinct word_idx)::bigint as n_hits from an join w on skel = regexp_replace(lower(text), '[^a-z0-9]+', '', 'g') where rank <= 5 and {ASCII.replace('text', 'w.text')} group by 1, 2")
+@query(f"with {LABELS}, {WORDS_SQL} select item_id, doc_id, count(distinct word_idx)::bigint as n_hits from an join w on skel = regexp_replace(lower(text), '[^a-z0-9]+', '', 'g') where rank <= 5 group by 1, 2")
 def anchor_hits(spark: SparkSession, sf: str) -> DataFrame:
-    w = ocr_words(spark, sf).where(F.col("text").rlike(r"^[\x00-\x7F]*$")).select("doc_id", "word_idx", tx.alnum_skeleton(F.lower("text")).alias("skel"))
-    a = label_anchors(spark, sf).select("item_id", tx.alnum_skeleton(F.col("t")).alias("skel"))
-    return a.join(w, "skel").groupBy("item_id", "doc_id").agg(F.countDistinct("word_idx").alias("n_hits"))
+    a = label_anchors(spark, sf).select("item_id", tx.alnum_skeleton(F.col("t")).alias("skeleton")).distinct()
+    forms = word_forms(spark, sf).join(a, "skeleton").select("item_id", "text")
+    return ocr_words(spark, sf).join(forms, "text").groupBy("item_id", "doc_id").agg(F.countDistinct("word_idx").alias("n_hits"))
 
 
 @query(f"with {WORDS_SQL}, l as (select doc_id, line_idx, min(word_idx) as a, max(word_idx) as b from w group by 1, 2) select doc_id, line_idx, min(a) over (partition by doc_id order by line_idx range between 2 preceding and 2 following) as lo, max(b) over (partition by doc_id order by line_idx range between 2 preceding and 2 following) as hi from l")
@@ -331,26 +333,62 @@ def match_gate(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", reason.alias("reason"))
 
 
-def _label_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Every benchmark item against the documents that share its rarest words' skeleton: through the anchors' join."""
-    hits = anchor_hits(spark, sf).where("n_hits >= 4").select("item_id", "doc_id")
-    b = table(spark, sf, "benchmark").select("item_id", "text")
-    x = hits.join(b, "item_id")
-    role = F.when(F.col("item_id") % 3 == 0, "context").otherwise("answer")
-    return x.select("doc_id", F.concat_ws("-", "item_id", "doc_id").alias("row_id"), F.lit(0).alias("box_no"), F.array("text").alias("labels"), F.array(*(F.lit(v) for v in (0.0, 0.0, 80.0, 900.0))).alias("pred_box"), role.alias("role"), F.lit(False).alias("is_semantic"))
+def _ocr_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A row for each document with an image name and boxes: six words from its middle (one of them changed for some) as answer, a benchmark item
+    as context, a blank label and a semantic box. Some rows have no image, no boxes, or an image without words."""
+    items = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("item"), (F.row_number().over(Window.orderBy("item_id")) - 1).alias("k"))
+    n = table(spark, sf, "benchmark").select(F.count("*").alias("n_items"))
+    d = table(spark, sf, "documents").withColumn("ws", F.filter(F.split("text", "[ \\n\\t]+"), lambda w: w != ""))
+    d = d.crossJoin(F.broadcast(n)).withColumn("k", F.col("doc_id") % F.col("n_items")).join(F.broadcast(items), "k")  # the items table is a query set of its own, one row meets each document
+    mid = F.floor(F.size("ws") / 2).cast("int")
+    own = F.array_join(F.transform(F.slice("ws", F.greatest(mid, F.lit(1)), F.lit(6)), lambda w, i: F.when((F.col("doc_id") % 3 == 0) & (i == 1), F.lit("changed")).otherwise(w)), " ")
+    y = (F.floor(mid / 8) % 100) * 10.0
+    box = lambda role, label, sem, *b: F.struct(F.lit(role).alias("role"), label.alias("label"), F.array(*(F.lit(v).cast("double") if not hasattr(v, "cast") else v.cast("double") for v in b)).alias("bbox"), F.lit(sem).alias("is_semantic"))
+    boxes = F.array(box("answer", own, False, y, 0.0, y + 10.0, 990.0), box("context", F.col("item"), False, 0.0, 0.0, 80.0, 900.0), box("context", F.lit(" "), False, 1, 2, 3, 4), box("answer", F.lit("x"), True, 5, 6, 7, 8))
+    name = F.when(F.col("doc_id") % 50 == 7, F.lit(None)).when(F.col("doc_id") % 50 == 8, F.concat(F.lit("img/none"), F.col("doc_id"), F.lit(".png"))).otherwise(F.concat(F.lit("img/"), F.col("doc_id"), F.lit(".png")))
+    asked = F.when(F.col("doc_id") % 5 == 0, "How many?").otherwise("Which?")
+    return d.select(F.col("doc_id").alias("row_id"), name.alias("image"), asked.alias("question"), (F.col("doc_id") % 3).cast("string").alias("answer"), F.array(own).alias("possible_answers"), F.when(F.col("doc_id") % 50 != 9, boxes).alias("bboxes"), (600.0 + F.col("doc_id") % 7 * 200).alias("width"), (400.0 + F.col("doc_id") % 11 * 300).alias("height"))
+
+
+def _doc_words(spark: SparkSession, sf: str) -> DataFrame:
+    return ocr_words(spark, sf).withColumn("doc_id", F.col("doc_id").cast("string"))
 
 
 @query()
 def verify_boxes_infovqa(spark: SparkSession, sf: str) -> DataFrame:
-    m = align.match_labels(_label_rows(spark, sf), ocr_words(spark, sf))
-    v = align.verify_boxes(m)
-    return v.select("row_id", "status", F.round("m.coverage", 6).alias("coverage"), F.round("m.char_ratio", 6).alias("char_ratio"), F.round("m.score", 6).alias("score"), "m.reason")
+    _, report = policies.verify_infovqa(_ocr_rows(spark, sf), _doc_words(spark, sf))
+    return report.select("row_id", "bbox_idx", "role", "ok", "reason", "score", "coverage", "char_ratio", "iou", "dist", "action")
+
+
+@query()
+def verify_rows_infovqa(spark: SparkSession, sf: str) -> DataFrame:
+    rows, _ = policies.verify_infovqa(_ocr_rows(spark, sf), _doc_words(spark, sf))
+    return policies.sinks(rows, policies.INFOVQA_SINKS).select("row_id", "_route", "_reason", "_sink", F.size("new_boxes").alias("n_boxes"))
 
 
 @query()
 def correct_boxes_docvqa(spark: SparkSession, sf: str) -> DataFrame:
-    m = align.match_labels(_label_rows(spark, sf), ocr_words(spark, sf), align.Options(by_line_cluster=False))
-    return align.verified_rows(align.verify_boxes(m)).withColumnRenamed("_route", "route")
+    x = _ocr_rows(spark, sf).withColumn("boxes", F.transform("bboxes", lambda b: F.struct(F.nullif(F.trim(b["label"]), F.lit("")).alias("label"), b["bbox"].alias("bbox"))))
+    rows, _ = policies.correct_docvqa(x, _doc_words(spark, sf), input_format="norm1000")
+    return policies.sinks(rows, policies.DOCVQA_SINKS).select("row_id", "_route", "_reason", "_sink", F.count_if(F.lit(True)).over(Window.partitionBy("row_id")).alias("n_sinks"))
+
+
+TURNS_SQL = """
+u as (select conv_id, turn, list_filter(list_transform(regexp_split_to_array(lower(text), '\\s+'), lambda t: regexp_replace(t, '[^a-z0-9]+', '', 'g')), lambda t: t <> '') as ts from conversations where text is not null)"""
+
+
+@query(f"""with recursive {TURNS_SQL}, p as (select a.conv_id, a.turn, a.ts as label, b.ts as toks from u a join u b on a.conv_id = b.conv_id and b.turn = a.turn + 1),
+r(conv_id, turn, j, i) as (select conv_id, turn, 0, 0 from p union all select r.conv_id, r.turn, j + 1, case when i < len(label) and label[i + 1] = toks[j + 1] then i + 1 else i end from r join p on r.conv_id = p.conv_id and r.turn = p.turn where j < len(toks)),
+z as (select conv_id, turn, max(i) as i from r group by 1, 2)
+select p.conv_id, p.turn, z.i::bigint as met, round(case when len(label) > 0 then z.i / len(label)::double else 0 end, 6) as coverage from p join z on p.conv_id = z.conv_id and p.turn = z.turn""")
+def subseq_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Each turn of a conversation as label against the turn after it."""
+    c = table(spark, sf, "conversations").where("text is not null")
+    ts = F.filter(F.transform(F.split(F.lower("text"), r"\s+"), tx.alnum_skeleton), lambda t: t != "")
+    u = c.select("conv_id", "turn", ts.alias("ts"))
+    p = u.select("conv_id", "turn", F.col("ts").alias("label")).join(u.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("ts").alias("toks")), ["conv_id", "turn"])
+    met = align.subsequence_count(F.col("label"), F.col("toks"))
+    return p.select("conv_id", "turn", met.cast("long").alias("met"), F.round(align.subsequence_coverage(F.col("label"), F.col("toks")), 6).alias("coverage"))
 
 
 @query()
@@ -377,7 +415,7 @@ def clips_structured(spark: SparkSession, sf: str) -> DataFrame:
     return x.select("conv_id", F.col("num_clips").cast("long").alias("num_clips"), F.array_join(one, "|").alias("clips"))
 
 
-@query("""select event_id, case when event_id % 5 = 0 then printf('%08d', event_id) else 'deck' || user_id end as deck_id, case when event_id % 3 = 0 then user_id || ',' || (user_id + 2) end as evidence_pages, (user_id % 4)::bigint as n_pages from events""")
+@query("""select event_id, case when event_id % 5 = 0 then 'deck_unknown_from_' || event_id else 'deck' || user_id end as deck_id, case when event_id % 3 = 0 then user_id || ',' || (user_id + 2) end as evidence_pages, (user_id % 4)::bigint as n_pages from events""")
 def slide_rows(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select(F.col("event_id").alias("qid"), F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("pages "), F.col("user_id").cast("string"), F.lit(" and "), (F.col("user_id") + 2).cast("string"))).otherwise("none").alias("evidence"), (F.col("user_id") % 4).alias("num_pages"), F.when(F.col("event_id") % 5 == 0, " ").otherwise(F.concat(F.lit("deck"), F.col("user_id").cast("string"))).alias("deck_id"))
     return records.slide_rows(e).select(F.col("qid").alias("event_id"), "deck_id", F.array_join(F.col("evidence_pages").cast("array<string>"), ",").alias("evidence_pages"), F.size("pages").cast("long").alias("n_pages"))
