@@ -20,7 +20,7 @@ from .shared import table
 from .words import Words, mix64, word_blocks
 
 SEED = 3
-#: Items with fewer words are no passages; they are not searched for.
+#: Items with fewer words have no copies with edits: documents that hold their very sequence of words are found.
 MIN_WORDS = 5
 SIMILARITY = 0.5
 MATCH, OTHER, GAP = 2, -1, -1
@@ -44,6 +44,8 @@ class Items:
 
     def __init__(self, ids: list[int], texts: list[str]):
         words = [np.concatenate([w.hash for _, _, w in word_blocks(pa.array([t]))]) for t in texts]
+        short = sorted((len(w), int(_grams(w, len(w))[0]), i) for i, w in enumerate(words) if 0 < len(w) < MIN_WORDS)
+        self.short = {n: (np.array([g for m, g, _ in short if m == n], np.uint64), [ids[i] for m, _, i in short if m == n]) for n in {m for m, _, _ in short}}
         keep = [i for i, w in enumerate(words) if len(w) >= MIN_WORDS]
         self.ids, self.words = [ids[i] for i in keep], [words[i] for i in keep]
         grams = [_grams(w, SEED) for w in self.words]
@@ -80,34 +82,37 @@ class Items:
 
 
 def align(item: np.ndarray, doc: np.ndarray) -> tuple[int, int, int, int]:
-    """Best local alignment of two word sequences: (score, first word of doc, word after the last, equal words)."""
-    m, n = len(item), len(doc)
-    h = np.zeros((m + 1, n + 1), np.int32)
-    climb = np.arange(n, dtype=np.int32) * -GAP
-    for i in range(1, m + 1):
-        x = np.maximum(h[i - 1, :-1] + np.where(doc == item[i - 1], MATCH, OTHER), h[i - 1, 1:] + GAP)
-        x = np.maximum(x, 0)
-        h[i, 1:] = np.maximum.accumulate(x + climb) - climb  # gaps along the row
-    end = int(np.argmax(h))
-    i, j = divmod(end, n + 1)
-    best, stop, equal = int(h[i, j]), j, 0
-    while i and j and h[i, j] > 0:
-        same = doc[j - 1] == item[i - 1]
-        if h[i, j] == h[i - 1, j - 1] + (MATCH if same else OTHER):
-            equal += bool(same)
-            i, j = i - 1, j - 1
-        elif h[i, j] == h[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return best, j, stop, equal
+    """Best local alignment of two word sequences: (score, first word of doc, word after the last, equal words).
+
+    Two rows of scores are held, each with where its alignment begins and how many words are equal, so memory is that of one row
+    however long the item is. Of equal scores a pair of words goes before a gap.
+    """
+    n = len(doc)
+    place, climb = np.arange(n, dtype=np.int64), np.arange(n, dtype=np.int64) * -GAP
+    h, start, equal = np.zeros(n + 1, np.int64), np.arange(n + 1, dtype=np.int64), np.zeros(n + 1, np.int64)
+    best = (0, 0, 0, 0)
+    for word in item:
+        same = doc == word
+        pair, gap = h[:-1] + np.where(same, MATCH, OTHER), h[1:] + GAP
+        x = np.maximum(np.maximum(pair, gap), 0)
+        by_pair, none = pair >= gap, x == 0
+        x_start = np.where(none, place + 1, np.where(by_pair, start[:-1], start[1:]))
+        x_equal = np.where(none, 0, np.where(by_pair, equal[:-1] + same, equal[1:]))
+        source = np.maximum.accumulate((x + climb) * (n + 1) + place) % (n + 1) if n else place  # gaps along the row
+        row = x[source] + GAP * (place - source)
+        h, start, equal = np.r_[0, row], np.r_[0, np.where(row > 0, x_start[source], place + 1)], np.r_[0, np.where(row > 0, x_equal[source], 0)]
+        end = int(np.argmax(h))
+        if h[end] > best[0]:
+            best = (int(h[end]), int(start[end]), end, int(equal[end]))
+    return best
 
 
 def leaks_of_block(w: Words, items: Items) -> list[tuple[int, int, int, float, int, int, int]]:
     """(row, item id, score, similarity, first word, word after the last, equal words): the best passage of each item in each row."""
+    exact = _whole(w, items)
     word, seed = items.hits(w)
     if not len(word):
-        return []
+        return exact
     row, item, place = w.row[word], items.item[seed], items.place[seed]
     order = np.lexsort((word, item, row))
     word, row, item, place = word[order], row[order], item[order], place[order]
@@ -125,7 +130,25 @@ def leaks_of_block(w: Words, items: Items) -> list[tuple[int, int, int, float, i
             base = int(w.bounds[row[a]])
             key, value = (int(row[a]), int(item[a])), (score, -(lo + i - base), lo + j - base, equal)
             best[key] = max(best.get(key, value), value)
-    return [(r, items.ids[t], s, s / (MATCH * len(items.words[t])), -i, j, equal) for (r, t), (s, i, j, equal) in sorted(best.items())]
+    return exact + [(r, items.ids[t], s, s / (MATCH * len(items.words[t])), -i, j, equal) for (r, t), (s, i, j, equal) in sorted(best.items())]
+
+
+def _whole(w: Words, items: Items) -> list[tuple]:
+    """Short items whose words stand in a row, one after another: the first place of each."""
+    out: dict[tuple[int, int, int], tuple] = {}
+    for n, (known, ids) in items.short.items():
+        g = _grams(w.hash, n)
+        if not len(g):
+            continue
+        at = np.searchsorted(known, g)
+        hit = np.flatnonzero((known[np.minimum(at, len(known) - 1)] == g) & (w.row[: len(g)] == w.row[n - 1 :]))
+        for p in hit.tolist():
+            r, k = int(w.row[p]), int(at[p])
+            while k < len(known) and known[k] == g[p]:  # items of the same words
+                first = p - int(w.bounds[r])
+                out.setdefault((r, n, k), (r, ids[k], MATCH * n, 1.0, first, first + n, n))
+                k += 1
+    return sorted(out.values())
 
 
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Items]:
@@ -166,8 +189,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """(doc_id, item_id, score, similarity, first_word, end_word, equal_words) for each item that a document holds.
 
     first_word and end_word count words of the whole text, from 0, the end excluded. Of several passages the best aligned one
-    counts, of equal ones the first. Null and empty texts hold nothing; so do items of fewer than five words. Rows that
-    repeat come out repeatedly. Other columns are ignored.
+    counts, of equal ones the first. Items of fewer than five words count where their very words stand in a row; items without words never.
+    Null and empty texts hold nothing. Rows that repeat come out repeatedly. A text is worked on whole, in memory of some twenty times
+    its bytes. An empty table, of documents or items, gives an empty one. Other columns are ignored.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, item_id long, score long, similarity double, first_word long, end_word long, equal_words long"

@@ -27,7 +27,8 @@ LANGUAGE_BLOCK = 64
 TEMPER, MOST_NATS = 0.3, 30.0
 STRENGTH = 4.0
 
-HIDDEN = re.compile(r"<(script|style|template|noscript)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
+HIDDEN = re.compile(r"<(script|style|template|noscript)\b|<!--", re.I)
+ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "template", "noscript")} | {"": re.compile("-->")}
 TAG = re.compile(r"<[^>]*>")
 DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})\b|<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']\s*([A-Za-z]{2,3})\b", re.I)
 
@@ -60,19 +61,33 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train_text_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[list[str], np.ndarray]:
-    """(languages, log probabilities by cell) over all documents with a language. A row for each language and cell is collected."""
+    """(languages, log probabilities by cell) over all documents with a language. One row of 64 KB is collected for each language."""
     known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     counts = cut(known.mapInArrow(_counts, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")), "trigrams")
-    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
-    table_ = np.full((len(langs), CELLS), 0.5)
-    at = {x: i for i, x in enumerate(langs)}
-    for lang, cell, n in counts.collect():
-        table_[at[lang], cell] += n
-    return langs, np.log(table_ / table_.sum(axis=1, keepdims=True))
+
+    def one(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        n = np.full(CELLS, 0.5)
+        n[t.column("cell").to_numpy()] += t.column("n").to_numpy()
+        return pa.table({"lang": [key[0].as_py()], "logs": pa.array([np.log(n / n.sum()).astype("<f4").tobytes()], pa.binary())})
+
+    found = sorted(counts.groupBy("lang").applyInArrow(one, "lang string, logs binary").collect())
+    return [r[0] for r in found], np.stack([np.frombuffer(r[1], "<f4") for r in found]).astype(np.float64) if found else np.zeros((0, CELLS))
 
 
 def visible_text(html: str) -> str:
-    return TAG.sub(" ", HIDDEN.sub(" ", html))
+    """html without hidden elements, comments and tags. One that is never closed hides nothing, and is looked for once."""
+    out, at, open_for_good = [], 0, set()
+    for m in HIDDEN.finditer(html):
+        name = (m[1] or "").lower()
+        if m.start() < at or name in open_for_good:
+            continue
+        end = ENDS[name].search(html, m.end())
+        if end is None:
+            open_for_good.add(name)
+            continue
+        out += [html[at : m.start()], " "]
+        at = end.end()
+    return TAG.sub(" ", "".join([*out, html[at:]]))
 
 
 def _evidence(langs: list[str], logs: np.ndarray):
@@ -119,12 +134,12 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
     def shares(key: str) -> DataFrame:
         """Sums by key. The tables are as long as there are keys; joins are left to the planner."""
         s = rows.groupBy(key).agg(*_sums(n))
-        return s.select(key, F.array(*(f"s{i}" for i in range(n))).alias(f"{key}_sum"))
+        return cut(s.select(key, F.array(*(f"s{i}" for i in range(n))).alias(f"{key}_sum")), "shares")  # its own exchange: Spark splits a hot key's pages
 
     x = rows
     for key in ("suffix", "domain", "host"):
         x = x.join(shares(key), key, "left").withColumn(f"{key}_n", F.aggregate(f"{key}_sum", F.lit(0.0), lambda a, v: a + v))
-    kinds = rows.where("declared is not null").groupBy("declared").agg(*_sums(n)).select("declared", F.array(*(f"s{i}" for i in range(n))).alias("declared_sum"))
+    kinds = cut(rows.where("declared is not null").groupBy("declared").agg(*_sums(n)).select("declared", F.array(*(f"s{i}" for i in range(n))).alias("declared_sum")), "shares")
     x = x.join(kinds, "declared", "left")
 
     def smoothed(i: int) -> Column:

@@ -1,67 +1,92 @@
 """Language-model scoring with a hierarchical Pitman-Yor model over words.
 
-The model predicts the lower-cased words of a text and one end mark. Each context of up to ORDER - 1 words is a restaurant;
-contexts that agree but for their first word share a parent, down to one without context over a uniform base of the known words
-and one unknown. Customers of a restaurant are the tables of its children; those of the longest contexts are
-counted over all training texts by grouped aggregation.
+The model predicts the lower-cased words of a text and one end mark, each from the word before it. Each such context is a restaurant;
+all of them share a parent, the restaurant without context, whose own base is uniform over the training words and one
+unknown. Customers of a context's restaurant are the training occurrences of a word after it; customers of the parent are the tables that
+serve the word in all contexts.
 
 Seating is sampled by Gibbs sweeps: the customers of one dish leave a restaurant and come back one after another, each joining
 one of the dish's k customers at t tables with weight k - d t or opening a table with weight (strength + d T) P, where T counts
-all of the restaurant's tables and P is the parent's probability of the dish in the current sample. Past 32 customers
-they come in blocks of a sixteenth of those seated. All dishes are reseated at once, so T has the tables of the other dishes as the sweep
-before left them. After burn-in, predictive probabilities are averaged over the samples.
-
-Restaurants are rows of tables dealt out by n-gram and by context: a sweep is a join with the parents' probabilities and with the
-context's totals, and a grouped sum of tables for the level below. A dish with a single customer has one table in every sample, so
-such rows are counted once and stay out of the sweeps. Probabilities and word counts never meet in one place: blocks of documents ask
-for those of their distinct n-grams through a join, and get them back by block.
+all of the restaurant's tables and P is the parent's probability of the dish in the current sample. Dishes of a restaurant come one after another;
+in one of more than ROUNDS dishes with several customers they come in ROUNDS groups. Past 32 customers of a dish, they come in blocks
+of a thirty-second of those seated. After burn-in, predictive probabilities are averaged over the samples. A dish
+with a single customer has one table in every sample.
+
+Blocks of documents keep each document as a bag of the numbers of its distinct word pairs, and send the pairs, coded by a dictionary of
+their own, to parts that are dealt by context. A part joins the pairs of all blocks: whole restaurants stand together, as numpy arrays in one
+row. Only dishes that several customers share take part in sweeps; parts and the parent's words exchange sums of tables for probabilities
+by joins on the word. In the end each part answers every block's pairs in their order, and blocks add up their documents' scores. Parts, blocks and
+words grow in number with the corpus and not in size; nothing is collected but a few totals, and no order or count is cut.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .shared import cut, discard, table
-from .words import Words, word_blocks
+from .words import Words, mix64, word_blocks
 
-#: Words of the longest n-grams.
-ORDER = 2
 #: Stands for the end of a text, and before its first word.
 END = 1
 DISCOUNT, STRENGTH = 0.6, 1.0
-BURN_IN, SAMPLES = 2, 3
-#: Bytes of text in one block of documents that ask for probabilities together.
-BLOCK = 6 << 20
+BURN_IN, SAMPLES = 3, 5
+#: Groups in which the dishes of a large restaurant are reseated.
+ROUNDS = 32
+#: Bytes of text in one block of documents, and behind one part of contexts.
+BLOCK, PART_TEXT = 6 << 20, 16 << 20
 
 
-def stream(w: Words, order: int = ORDER) -> tuple[list[np.ndarray], np.ndarray]:
-    """([each token, the one before it, ...: order arrays], row of each token); a row's words are closed by END and come after ENDs."""
+def pairs(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word before, word, row) of each token; a row's words are closed by END and come after END."""
     total = np.diff(w.bounds) + 1
-    off = np.cumsum(total + order - 1) - total  # first predicted token of each row
-    out = np.full(int((total + order - 1).sum()), END, np.int64)
-    out[off[w.row] + np.arange(len(w.row)) - w.bounds[w.row]] = w.hash.view(np.int64)
-    place = np.repeat(off - (np.cumsum(total) - total), total) + np.arange(int(total.sum()))
-    return [out[place - k] for k in range(order)], np.repeat(np.arange(w.n_rows), total)
+    last = np.cumsum(total) - 1
+    dish = np.full(int(total.sum()), END, np.uint64)
+    dish[np.arange(len(w.row)) + w.row] = w.hash  # each row before has one END
+    before = np.r_[np.uint64(END), dish[:-1]] if len(dish) else dish
+    return before, dish, np.searchsorted(last, np.arange(len(dish)))
 
 
-# --- sampling ---------------------------------------------------------------------------------------------------------
+def is_held_out(ids: pa.Array) -> np.ndarray:
+    return np.array([zlib.crc32(str(i).encode()) % 7 == 2 for i in ids.to_pylist()], bool)
+
+
+# --- coding -----------------------------------------------------------------------------------------------------------
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Non-negative integers, small ones in two bytes."""
+    x = x.astype(np.int64)
+    large = np.flatnonzero(x >= 0xFFFF)
+    return np.r_[len(large)].astype("<i8").tobytes() + x[large].astype("<i8").tobytes() + np.minimum(x, 0xFFFF).astype("<u2").tobytes()
+
+
+def unpacked(b: bytes) -> np.ndarray:
+    n = int(np.frombuffer(b, "<i8", 1)[0])
+    x = np.frombuffer(b, "<u2", offset=8 + 8 * n).astype(np.int64)
+    x[x == 0xFFFF] = np.frombuffer(b, "<i8", n, 8)
+    return x
+
+
+def rising(x: np.ndarray) -> bytes:
+    """Sorted non-negative integers by their differences."""
+    return packed(np.diff(x, prepend=0))
 
 
-class Level:
-    """Restaurants of one context length: sorted n-grams (context << 8 | dish), customers, tables."""
+def risen(b: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(b))
 
-    def __init__(self, key: np.ndarray):
-        self.key = key
-        self.ctx, self.of = np.unique(key >> np.uint64(8), return_inverse=True)
 
-    def totals(self, x: np.ndarray) -> np.ndarray:
-        return np.bincount(self.of, x, len(self.ctx))
+def hashes(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, "<u8")
+
+
+# --- sampling ---------------------------------------------------------------------------------------------------------
 
 
 def seat(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
@@ -72,155 +97,50 @@ def seat(c: np.ndarray, others: np.ndarray, parent: np.ndarray, d: float, rng: n
     while len(live):
         kk, tt = k[live], t[live]
         ww = (STRENGTH + d * (others[live] + tt)) * parent[live]
-        m = np.minimum(np.where(kk < 32, 1, np.floor(kk / 16)), c[live] - kk)
+        m = np.minimum(np.where(kk < 32, 1, np.floor(kk / 32)), c[live] - kk)
         p = ww / (kk - d * tt + ww)
         t[live] = np.minimum(tt + rng.binomial(m.astype(np.int64), p), kk + m)
         k[live] = kk + m
         live = live[k[live] < c[live]]
+    return np.where(c > 0, t, 0)
+
+
+def reseat(of: np.ndarray, n: np.ndarray, t: np.ndarray, fixed: np.ndarray, parent: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """One sweep: new tables of dishes (restaurant `of`, sorted; n customers, t tables); fixed: tables by restaurant that never change."""
+    t = t.astype(float).copy()
+    total = fixed + np.bincount(of, t, len(fixed))
+    first = np.searchsorted(of, np.arange(len(fixed)))
+    size = np.diff(np.r_[first, len(of)])
+    turn = np.arange(len(of)) - first[of]
+    turn = np.where(size[of] > ROUNDS, turn % ROUNDS, turn)
+    order = np.argsort(turn, kind="stable")
+    edges = np.searchsorted(turn[order], np.arange(int(turn.max()) + 2 if len(turn) else 1))
+    for a, b in zip(edges, edges[1:]):
+        at = order[a:b]
+        new = seat(n[at], total[of[at]] - t[at], parent[at], DISCOUNT, rng)
+        total += np.bincount(of[at], new - t[at], len(fixed))
+        t[at] = new
     return t
 
 
-def sample_model(key: np.ndarray, count: np.ndarray, order: int, seed: int = 7) -> dict:
-    """Levels from the longest context down, with per-sample shares: of n-grams (own) and of contexts (left to the parent)."""
-    rng = np.random.default_rng(seed)
-    levels, up = [Level(key)], []
-    for _ in range(order - 1):
-        low = levels[-1].key & np.uint64((1 << 8 * (order - len(levels))) - 1)
-        keys, to = np.unique(low, return_inverse=True)
-        up.append(to)
-        levels.append(Level(keys))
-    n = len(levels)
-    c = [count.astype(float)] + [np.zeros(len(x.key)) for x in levels[1:]]
-    t = [np.zeros(len(x.key)) for x in levels]
-    prob = [np.full(len(x.key), 1 / 256) for x in levels]  # of the current sample
-    kept: list[list[tuple]] = [[] for _ in levels]
-    for sweep in range(BURN_IN + SAMPLES):
-        for i, x in enumerate(levels):
-            parent = prob[i + 1][up[i]] if i + 1 < n else np.full(len(x.key), 1 / 256)
-            others = np.maximum(x.totals(t[i])[x.of] - t[i], 0)
-            t[i] = seat(c[i], others, parent, DISCOUNT, rng)
-            if i + 1 < n:
-                c[i + 1] = np.bincount(up[i], t[i], len(levels[i + 1].key))
-        for i in range(n - 1, -1, -1):
-            x = levels[i]
-            parent = prob[i + 1][up[i]] if i + 1 < n else np.full(len(x.key), 1 / 256)
-            whole = STRENGTH + x.totals(c[i])
-            own = (c[i] - DISCOUNT * t[i]) / whole[x.of]
-            left = (STRENGTH + DISCOUNT * x.totals(t[i])) / whole
-            prob[i] = own + left[x.of] * parent
-            if sweep >= BURN_IN:
-                kept[i].append((own.astype(np.float32), left.astype(np.float32)))
-    return {"order": order, "levels": [{"key": x.key, "ctx": x.ctx, "own": np.stack([a for a, _ in k]), "left": np.stack([b for _, b in k])} for x, k in zip(levels, kept, strict=True)]}
-
-
-def log_prob(model: dict, gram: np.ndarray) -> np.ndarray:
-    """log10 of the averaged predictive probability of n-grams of the model's order."""
-    p = np.full((SAMPLES, len(gram)), 1 / 256)
-    for i in range(model["order"] - 1, -1, -1):  # from no context to the longest
-        x = model["levels"][i]
-        g = gram & np.uint64((1 << 8 * (model["order"] - i)) - 1)
-        at = np.minimum(np.searchsorted(x["key"], g), len(x["key"]) - 1)
-        own = np.where(x["key"][at] == g, x["own"][:, at], 0)
-        at = np.minimum(np.searchsorted(x["ctx"], g >> np.uint64(8)), len(x["ctx"]) - 1)
-        left = np.where(x["ctx"][at] == g >> np.uint64(8), x["left"][:, at], 1)
-        p = own + left * p
-    return np.log10(p.mean(axis=0))
-
-
-# --- sampling over tables ---------------------------------------------------------------------------------------------
-
-
-def _gram(k: int) -> list[str]:
-    """Columns of an n-gram of k words: the predicted one, then its context from near to far."""
-    return [f"w{i}" for i in range(k)]
-
-
-def _with(df: DataFrame, other: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    return df.join(other, on, how) if on else df.crossJoin(F.broadcast(other))  # without context: a single row
-
-
-def _seated(seed: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng([seed, TaskContext.get().partitionId()])
-        for b in batches:
-            c, others, parent = (b.column(k).to_numpy() for k in ("c", "others", "parent"))
-            t = seat(c, others, parent, DISCOUNT, rng)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(t)], names=[*b.schema.names[:-2], "t"])
+# --- blocks and parts -------------------------------------------------------------------------------------------------
 
-    return run
+WALK = [("kind", pa.string()), ("block", pa.int64()), ("part", pa.int32()), ("ctx", pa.binary()), ("size", pa.binary()), ("words", pa.binary()), ("dish", pa.binary()), ("n", pa.binary()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("bag", pa.binary())]
+MERGED = [("kind", pa.string()), ("part", pa.int32()), ("ctx", pa.binary()), ("of", pa.binary()), ("words", pa.binary()), ("dish", pa.binary()), ("n", pa.binary()), ("t", pa.binary()), ("fixed", pa.binary()), ("blocks", pa.binary()), ("lists", pa.list_(pa.binary())), ("at", pa.int32()), ("w", pa.int64()), ("count", pa.int64()), ("tables", pa.int64())]
+TYPES = {pa.string(): "string", pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary", pa.bool_(): "boolean", pa.list_(pa.binary()): "array<binary>"}
 
 
-def _probabilities(state: dict[int, DataFrame], k: int, floor: float) -> DataFrame:
-    """(n-gram of k words, p) of the current sample for the dishes whose seating is sampled."""
-    x = state[k]
-    x = _with(x, x.groupBy(*_gram(k)[1:]).agg(F.sum("c").alias("cs"), F.sum("t").alias("ts")), _gram(k)[1:])
-    x = _with(x, _probabilities(state, k - 1, floor).withColumnRenamed("p", "parent"), _gram(k - 1)) if k > 1 else x.withColumn("parent", F.lit(floor))
-    p = (F.col("c") - DISCOUNT * F.col("t") + (STRENGTH + DISCOUNT * (F.col("f") + F.col("ts"))) * F.col("parent")) / (STRENGTH + F.col("f") + F.col("cs"))
-    return x.select(*_gram(k), p.alias("p"))
+def ddl(fields: list[tuple]) -> str:
+    return ", ".join(f"{c} {TYPES[t]}" for c, t in fields)
 
 
-def log_probabilities(counts: DataFrame, order: int, floor: float, seed: int = 7) -> DataFrame:
-    """(w0, w1, ..., lp): log10 of the averaged predictive probability of all n-grams in counts (w0, w1, ..., s: training occurrences).
+def rows(fields: list[tuple], size: int, **cols) -> pa.RecordBatch:
+    schema = pa.schema(fields)
+    return pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else pa.nulls(size, f.type) for f in schema], schema=schema)
 
-    N-grams that occur 0 times are asked for only. floor is the base's probability of a word.
-    """
-    every, state = {order: counts.withColumn("m", F.lit(0).cast("long"))}, {}
-    fixed = (F.col("m") == 0) & (F.col("s") <= 1)  # as many tables as customers in every sample
-    alone = F.sum(F.when(fixed, F.col("s")).otherwise(0))
-    for k in range(order, 0, -1):
-        x = every[k]
-        f = x.groupBy(*_gram(k)[1:]).agg(alone.alias("f"))
-        few = _with(x.where(~fixed), f, _gram(k)[1:])
-        state[k] = cut(few.select(*_gram(k), "s", "f", F.lit(0.0).alias("c"), F.array().cast("array<double>").alias("kept_c"), F.array().cast("array<double>").alias("kept_t"), F.lit(0.0).alias("t")), "dishes")
-        if k > 1:
-            every[k - 1] = cut(x.groupBy(*_gram(k - 1)).agg(alone.alias("s"), F.count_if(~fixed).alias("m")), "grams")
-    for sweep in range(BURN_IN + SAMPLES):
-        new: dict[int, DataFrame] = {}
-        for k in range(order, 0, -1):
-            x = state[k]
-            x = _with(x, x.groupBy(*_gram(k)[1:]).agg(F.sum("t").alias("ts")), _gram(k)[1:])
-            x = _with(x, _probabilities(state, k - 1, floor).withColumnRenamed("p", "parent"), _gram(k - 1)) if k > 1 and sweep else x.withColumn("parent", F.lit(floor))
-            x = x.join(new[k + 1].groupBy(*_gram(k)).agg(F.sum("t").alias("come")), _gram(k), "left") if k < order else x.withColumn("come", F.lit(0.0))
-            cols = [*_gram(k), "s", "f", (F.col("s") + F.coalesce("come", F.lit(0.0))).alias("c"), "kept_c", "kept_t", (F.col("f") + F.col("ts") - F.col("t")).alias("others"), "parent"]
-            x = x.select(*cols).mapInArrow(_seated(seed + 100 * sweep + k), ", ".join([*(f"{c} long" for c in _gram(k)), "s long, f long, c double, kept_c array<double>, kept_t array<double>, t double"]))
-            if sweep >= BURN_IN:
-                x = x.withColumns({"kept_c": F.array_append("kept_c", F.col("c")), "kept_t": F.array_append("kept_t", F.col("t"))})
-            new[k] = cut(x, "dishes")
-        for x in state.values():
-            discard(x)
-        state = new
-    below: DataFrame | None = None
-    for k in range(1, order + 1):  # all n-grams, from no context to the longest
-        x = every[k].join(state[k].select(*_gram(k), "kept_c", "kept_t"), _gram(k), "left")
-        kept = {f"{c}{i}": F.coalesce(F.col(f"kept_{c}")[i], F.col("s").cast("double")) for c in "ct" for i in range(SAMPLES)}
-        x = x.select(*_gram(k), *(v.alias(c) for c, v in kept.items()))
-        x = _with(x, x.groupBy(*_gram(k)[1:]).agg(*(F.sum(c).alias(f"all_{c}") for c in kept)), _gram(k)[1:])
-        x = x.join(below, _gram(k - 1)) if below is not None else x.withColumn("p", F.array_repeat(F.lit(floor), SAMPLES))
-
-        def mixed(i: int) -> Column:
-            own, left = F.col(f"c{i}") - DISCOUNT * F.col(f"t{i}"), STRENGTH + DISCOUNT * F.col(f"all_t{i}")
-            return (own + left * F.col("p")[i]) / (STRENGTH + F.col(f"all_c{i}"))
-
-        below = x.select(*_gram(k), F.array(*(mixed(i) for i in range(SAMPLES))).alias("p"))
-    mean = F.aggregate("p", F.lit(0.0), lambda a, v: a + v) / SAMPLES
-    return below.select(*_gram(order), F.log10(mean).alias("lp"))
-
-
-# --- passes -----------------------------------------------------------------------------------------------------------
 
-
-def is_held_out(ids: pa.Array) -> np.ndarray:
-    return np.array([zlib.crc32(str(i).encode()) % 7 == 2 for i in ids.to_pylist()], bool)
-
-
-def _first(order: int) -> tuple[Callable, str]:
-    """One walk over the texts. By block: its distinct n-grams with their training counts, numbered; its documents as bags of the
-    numbers of their n-grams."""
-    kinds = {"block": pa.int64(), "at": pa.int32(), **{c: pa.int64() for c in _gram(order)}, "n": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "bag": pa.binary()}
-    schema = pa.schema(list(kinds.items()))
-
-    def rows(size: int, **cols) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else pa.nulls(size, f.type) for f in schema], schema=schema)
+def _walk(parts: int):
+    """Texts -> by block: its distinct pairs with training counts, sorted by part, context and word; its documents as sorted numbers of pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, block = TaskContext.get().partitionId(), 0
@@ -230,52 +150,189 @@ def _first(order: int) -> tuple[Callable, str]:
                 block += 1
                 ids = batch.column(0).slice(i, j - i)
                 held = is_held_out(ids)
-                cols, row = stream(w, order)
-                key = np.zeros(len(row), np.int64)
-                for c in cols:
-                    word = np.unique(c, return_inverse=True)[1]
-                    first, key = np.unique(key << 32 | word, return_index=True, return_inverse=True)[1:]
-                train = np.bincount(key[~held[row]], minlength=len(first))
-                yield rows(len(first), block=pa.array(np.full(len(first), own)), at=pa.array(np.arange(len(first), dtype=np.int32)), n=pa.array(train), **{f"w{k}": pa.array(c[first]) for k, c in enumerate(cols)})
+                before, dish, row = pairs(w)
+                word, code = np.unique(np.r_[dish, np.uint64(END)], return_inverse=True)
+                code_before, code = np.r_[code[-1], code[:-2]], code[:-1]
+                part_of = (mix64(word) % np.uint64(parts)).astype(np.int64)
+                rank = np.empty(len(word), np.int64)  # contexts by part, then hash
+                by_part = np.lexsort((word, part_of))
+                rank[by_part] = np.arange(len(word))
+                key, number = np.unique(rank[code_before] << 32 | code, return_inverse=True)
+                ctx, what = by_part[key >> 32], key & 0xFFFFFFFF
+                train = np.bincount(number[~held[row]], minlength=len(key))
+                edges = np.searchsorted(part_of[ctx], np.arange(parts + 1))
+                for p in np.flatnonzero(np.diff(edges)):
+                    a, b = edges[p], edges[p + 1]
+                    c, size = np.unique(rank[ctx[a:b]], return_counts=True)
+                    own_words, at = np.unique(what[a:b], return_inverse=True)
+                    yield rows(WALK, 1, kind=pa.array(["gram"]), block=pa.array([own]), part=pa.array([int(p)], pa.int32()), ctx=pa.array([word[by_part[c]].tobytes()], pa.binary()), size=pa.array([packed(size)], pa.binary()), words=pa.array([word[own_words].tobytes()], pa.binary()), dish=pa.array([packed(at)], pa.binary()), n=pa.array([packed(train[a:b])], pa.binary()))
                 edge = np.searchsorted(row, np.arange(j - i + 1))
-                flat = key.astype("<u4")
-                yield rows(j - i, block=pa.array(np.full(j - i, own)), doc_id=ids, held_out=pa.array(held), n_tokens=pa.array(np.diff(edge)), bag=pa.array([flat[a:b].tobytes() for a, b in zip(edge, edge[1:])], pa.binary()))
+                bags = [rising(np.sort(number[a:b])) for a, b in zip(edge, edge[1:])]
+                yield rows(WALK, j - i, kind=pa.array(["doc"] * (j - i)), block=pa.array([own] * (j - i), pa.int64()), doc_id=ids, held_out=pa.array(held), n_tokens=pa.array(np.diff(edge)), bag=pa.array(bags, pa.binary()))
+
+    return run
+
+
+def _merge(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+    """A part's pairs of all blocks -> one row with its distinct pairs and where each block's are among them (kind part), its dishes with several
+    customers (live), and its words with their counts (word)."""
+    part, blobs = key[0].as_py(), t.sort_by("block").to_pydict()
+    ctxs, sizes, words, dishes, ns = ([f(x) for x in blobs[k]] for k, f in (("ctx", hashes), ("size", unpacked), ("words", hashes), ("dish", unpacked), ("n", unpacked)))
+    ctx, at_ctx = np.unique(np.concatenate(ctxs), return_inverse=True)
+    word, at_word = np.unique(np.concatenate(words), return_inverse=True)
+    c_off, w_off = np.cumsum([0, *map(len, ctxs)]), np.cumsum([0, *map(len, words)])
+    keys = [np.repeat(at_ctx[c_off[i] : c_off[i + 1]], sizes[i]) << 32 | at_word[w_off[i] : w_off[i + 1]][dishes[i]] for i in range(len(ctxs))]
+    pair, back = np.unique(np.concatenate(keys), return_inverse=True)
+    n = np.bincount(back, np.concatenate(ns), len(pair)).astype(np.int64)
+    of, dish = pair >> 32, pair & 0xFFFFFFFF
+    lists, off = [], np.cumsum([0, *map(len, keys)])
+    for i in range(len(keys)):  # sorted but for contexts of equal part, which blocks and parts order alike by hash
+        lists.append(rising(back[off[i] : off[i + 1]]))
+    one = lambda x: pa.array([x], pa.binary())
+    out = [rows(MERGED, 1, kind=pa.array(["part"]), part=pa.array([part], pa.int32()), of=one(packed(np.bincount(of, minlength=len(ctx)))), words=one(word.tobytes()), dish=one(packed(dish)), n=one(packed(n)), blocks=one(np.array(blobs["block"], "<i8").tobytes()), lists=pa.array([lists], pa.list_(pa.binary())))]
+    live = np.flatnonzero(n > 1)
+    fixed = np.bincount(of, n == 1, len(ctx)).astype(np.int64)
+    if len(live):
+        some, own = np.unique(of[live], return_inverse=True)
+        out.append(rows(MERGED, 1, kind=pa.array(["live"]), part=pa.array([part], pa.int32()), ctx=one(packed(some)), of=one(packed(own)), dish=one(packed(dish[live])), words=one(word[np.unique(dish[live])].tobytes()), n=one(packed(n[live])), t=one(packed(np.ones(len(live)))), fixed=one(packed(fixed[some]))))
+    count, tables = np.bincount(dish, n, len(word)).astype(np.int64), np.bincount(dish, n == 1, len(word)).astype(np.int64)
+    sampled = np.zeros(len(word), bool)
+    sampled[dish[live]] = True
+    out.append(rows(MERGED, len(word), kind=pa.array(np.where(sampled, "live word", "word")), part=pa.array(np.full(len(word), part, np.int32)), at=pa.array(np.arange(len(word), dtype=np.int32)), w=pa.array(word.view(np.int64)), count=pa.array(count), tables=pa.array(tables)))
+    return pa.Table.from_batches(out)
+
+
+LIVE = "part int, ctx binary, of binary, dish binary, words binary, n binary, fixed binary, t binary, kept array<binary>"
+
+
+def _sweep(number: int):
+    """A part's live dishes, reseated under the parent's probabilities (at, p)."""
+
+    def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return left
+        r = left.to_pylist()[0]
+        of, dish, n, t, fixed = (unpacked(r[k]) for k in ("of", "dish", "n", "t", "fixed"))
+        p = np.zeros(int(dish.max()) + 1)
+        p[right.column("at").to_numpy()] = right.column("p").to_numpy()
+        new = packed(reseat(of, n.astype(float), t, fixed.astype(float), p[dish], np.random.default_rng([number, r["part"]])))
+        out = r | {"t": new, "kept": [*r["kept"], *([new] if number >= BURN_IN else [])]}
+        return pa.Table.from_pylist([out], left.schema)
+
+    return run
+
+
+def _served(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Live parts -> (w, come): tables that serve each word."""
+    for batch in batches:
+        for r in batch.select(["dish", "words", "t"]).to_pylist():
+            word, dish = hashes(r["words"]), unpacked(r["dish"])
+            at = np.unique(dish, return_inverse=True)[1]
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(np.bincount(at, unpacked(r["t"]), len(word)).astype(np.int64))], names=["w", "come"])
+
+
+def _parent(number: int):
+    """Words (w, count, tables, come, t, T of the sweep before) -> their tables in the restaurant without context."""
 
-    names = {pa.int64(): "long", pa.int32(): "int", pa.bool_(): "boolean", pa.binary(): "binary"}
-    return run, ", ".join(f"{c} {names[t]}" for c, t in kinds.items())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng([number, 1, TaskContext.get().partitionId()])
+        for b in batches:
+            c = (b.column(2).to_numpy() + b.column(3).to_numpy()).astype(float)
+            others, floor = b.column(5).to_numpy() - b.column(4).to_numpy(), b.column(6).to_numpy()
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(c), pa.array(seat(c, np.maximum(others, 0), floor, DISCOUNT, rng)), b.column(7)], names=["w", "count", "tables", "c", "t", "kept"])
 
+    return run
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER) -> DataFrame:
+
+def _answers(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+    """A part, its live dishes and its words' (at, count, kept probabilities) -> for each block, log10 probability and word count of its pairs."""
+    kinds = [("block", pa.int64()), ("part", pa.int32()), ("lp", pa.binary()), ("c", pa.binary())]
+    r = next((x for x in left.to_pylist() if x["lists"] is not None), None)
+    if r is None:
+        return pa.schema(kinds).empty_table()
+    live = next((x for x in left.to_pylist() if x["lists"] is None), None)
+    dish, n = unpacked(r["dish"]), unpacked(r["n"]).astype(float)
+    size = unpacked(r["of"])
+    of = np.repeat(np.arange(len(size)), size)
+    words = len(hashes(r["words"]))
+    parent, count = np.zeros((SAMPLES, words)), np.zeros(words, np.int64)
+    at = right.column("at").to_numpy()
+    if len(at):
+        parent[:, at] = right.column("kept").combine_chunks().flatten().to_numpy().reshape(-1, SAMPLES).T
+    count[at] = right.column("count").to_numpy()
+    customers = np.bincount(of, n, len(size))
+    mean = np.zeros(len(dish))
+    for s in range(SAMPLES):
+        t = (n > 0).astype(float)
+        if live is not None:
+            t[n > 1] = unpacked(live["kept"][s])
+        total = np.bincount(of, t, len(size))
+        mean += (n - DISCOUNT * t + (STRENGTH + DISCOUNT * total[of]) * parent[s][dish]) / (STRENGTH + customers[of]) / SAMPLES
+    lp, c = np.log10(mean).astype("<f4"), count[dish]
+    blocks, lists = np.frombuffer(r["blocks"], "<i8"), [risen(x) for x in r["lists"]]
+    return pa.table({"block": pa.array(blocks), "part": pa.array([r["part"]] * len(blocks), pa.int32()), "lp": pa.array([lp[x].tobytes() for x in lists], pa.binary()), "c": pa.array([packed(c[x]) for x in lists], pa.binary())}, schema=pa.schema(kinds))
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity) for every row with an id.
 
     Tokens are lower-cased words and one end. Rows whose crc32(id) mod 7 is 2 are held out, the others train. A null or empty text is
-    its end alone. Without training rows, counts are 0 and scores those of the uniform base. Repeated rows come out, and count in
-    training, repeatedly. Other columns are ignored.
+    its end alone. Without training rows, counts are 0 and scores those of the uniform base. Rows that repeat an id come out, and count in
+    training, each with its own text. A text is worked on whole, in memory of some forty times its bytes. Other columns are ignored.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    walk, kinds = _first(order)
-    first = cut(src.mapInArrow(walk, kinds), "counts")
-    asked = first.where("at is not null").select("block", "at", *_gram(order), "n")
-    counts = cut(asked.groupBy(*_gram(order)).agg(F.sum("n").alias("s")), "grams")
-    words = cut(counts.groupBy("w0").agg(F.sum("s").alias("c")), "words")
-    known = words.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    n_train, distinct = known[0] or 0, known[1]
-    lp = log_probabilities(counts, order, 1 / (distinct + 1))
-    back = asked.drop("n").join(lp.join(words, "w0"), _gram(order)).select((F.col("block") + 0).alias("block"), "at", "lp", "c")
-    bags = first.where("bag is not null").select("block", "doc_id", "held_out", "n_tokens", "bag")
+    spark, size = docs.sparkSession, src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = 1 + size // PART_TEXT
+    walked = cut(src.mapInArrow(_walk(parts), ddl(WALK)), "walked", ["kind"])
+    grams = walked.where("kind = 'gram'").select("block", "part", "ctx", "size", "words", "dish", "n")
+    merged = cut(grams.groupBy("part").applyInArrow(_merge, ddl(MERGED)), "parts", ["kind"])
+    discard(walked, "kind=gram")
+    names = merged.where("kind in ('word', 'live word')").select("kind", "part", "at", "w", "count", "tables")
+    words = names.groupBy("w").agg(F.sum("count").alias("count"), F.sum("tables").alias("tables"))
+    words = cut(words.select("w", "count", "tables", F.lit(0.0).alias("c"), F.lit(0.0).alias("t"), F.array().cast("array<float>").alias("kept")), "words")
+    n_train, distinct = words.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if("count > 0")).first()
+    floor = 1 / (distinct + 1)
+    wanted = names.where("kind = 'live word'").select("part", "at", "w")
+    live = merged.where("kind = 'live'").select("part", "ctx", "of", "dish", "words", "n", "fixed", "t", F.array().cast("array<binary>").alias("kept"))
+    probability = F.lit(floor)
+    for sweep in range(BURN_IN + SAMPLES):
+        asked = wanted.join(words.where("count > 0").select("w", probability.alias("p")), "w").select("part", "at", "p")
+        new = cut(live.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_sweep(sweep), LIVE), "live")
+        discard(live)
+        live = new
+        come = live.mapInArrow(_served, "w long, come long").groupBy("w").agg(F.sum("come").alias("come"))
+        tables = words.agg(F.coalesce(F.sum("t"), F.lit(0.0))).first()[0]
+        x = words.join(come, "w", "left").select("w", "count", "tables", F.coalesce("come", F.lit(0)).alias("come"), "t", F.lit(tables).alias("all"), F.lit(floor).alias("floor"), "kept")
+        new = x.mapInArrow(_parent(sweep), "w long, count long, tables long, c double, t double, kept array<float>")
+        new = cut(new, "words")
+        discard(words)
+        words = new
+        customers, tables = words.agg(F.coalesce(F.sum("c"), F.lit(0.0)), F.coalesce(F.sum("t"), F.lit(0.0))).first()
+        probability = (F.col("c") - DISCOUNT * F.col("t") + (STRENGTH + DISCOUNT * tables) * floor) / (STRENGTH + customers)
+        if sweep >= BURN_IN:
+            words = words.withColumn("kept", F.array_append("kept", probability.cast("float")))
+            words._boxwright_path = new._boxwright_path
+    known = names.join(words.select("w", "kept", F.col("count").alias("c")), "w").select("part", "at", "kept", F.col("c").alias("count"))
+    columns = ["part", "of", "words", "dish", "n", "blocks", "lists", "kept"]
+    whole = merged.where("kind = 'part'").withColumn("kept", F.lit(None).cast("array<binary>")).select(*columns)
+    state = live.withColumns({"blocks": F.lit(None).cast("binary"), "lists": F.lit(None).cast("array<binary>")}).select(*columns)
+    answers = whole.unionByName(state).groupBy("part").cogroup(known.groupBy("part")).applyInArrow(_answers, "block long, part int, lp binary, c binary")
 
     def score(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
-        by = np.argsort(right.column("at").to_numpy())
-        p, c = right.column("lp").to_numpy()[by], right.column("c").to_numpy()[by]
+        right = right.sort_by("part")
+        lp = np.concatenate([np.frombuffer(x, "<f4") for x in right.column("lp").to_pylist()]).astype(float)
+        c = np.concatenate([unpacked(x) for x in right.column("c").to_pylist()])
         base = np.log10((c + 1.0) / (n_train + distinct + 1.0))
-        bags = [np.frombuffer(x, "<u4") for x in left.column("bag").to_pylist()]
-        out = {"base_score": [base[x].sum() for x in bags], "score": [p[x].sum() for x in bags]}
+        bags = [risen(x) for x in left.column("bag").to_pylist()]
         seen = pa.array([int((c[x] > 0).sum()) for x in bags], pa.int64())
+        out = {"base_score": [base[x].sum() for x in bags], "score": [lp[x].sum() for x in bags]}
         return pa.table({k: left.column(k) for k in ("doc_id", "held_out", "n_tokens")} | {"n_known": seen} | {k: pa.array(v, pa.float64()) for k, v in out.items()})
 
-    out = bags.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    bags = walked.where("kind = 'doc'").select("block", "doc_id", "held_out", "n_tokens", "bag")
+    out = bags.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
 
 
 def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of documents under a model of those that train."""
     return score_documents(table(spark, sf_dir, "documents"))

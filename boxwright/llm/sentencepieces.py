@@ -8,12 +8,13 @@ a word starts where it leaves the word before.
 For a unigram model the forward state is the best score and its last piece: plain Viterbi. For a BPE model, whose pieces are
 those that merging by priority gives, a sum of scores would choose other pieces. There the forward state is the last piece
 of the prefix's encoding: a piece can follow another only if merging the two strings by priority gives just these two, and
-exactly one piece that ends at a place fits the state where it begins. Prefixes of an encoding are encodings of prefixes, which
+exactly one piece that ends at a place fits the state where it begins; the forward score is the sum of its pieces' scores. Prefixes of an encoding are encodings of prefixes, which
 is what makes the state shareable. Words that start with several marks are merged directly, because marks' pieces share one priority.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -63,18 +64,33 @@ class PieceEncoder(ChunkTable):
     # --- encoding
 
     def merge(self, s: str) -> list[str]:
-        """Pieces by merging neighbours by priority: the best score first, of equal ones the leftmost."""
-        x, score = list(s), self.score
-        while len(x) > 1:
-            best, at = None, -1
-            for i in range(len(x) - 1):
-                v = score.get(x[i] + x[i + 1])
-                if v is not None and (best is None or v > best):
-                    best, at = v, i
-            if best is None:
-                break
-            x[at : at + 2] = [x[at] + x[at + 1]]
-        return x
+        """Pieces by merging neighbours by priority: the best score first, of equal ones the leftmost. A heap of possible merges keeps long
+        runs from being scanned again for each."""
+        score, piece = self.score, list(s)
+        before, after = list(range(-1, len(s) - 1)), list(range(1, len(s) + 1))
+        heap: list[tuple[float, int, str]] = []
+
+        def offer(i: int) -> None:
+            if i >= 0 and after[i] < len(s):
+                both = piece[i] + piece[after[i]]
+                v = score.get(both)
+                if v is not None:
+                    heapq.heappush(heap, (-v, i, both))
+
+        for i in range(len(s)):
+            offer(i)
+        while heap:
+            _, i, both = heapq.heappop(heap)
+            j = after[i]
+            if not piece[i] or j >= len(s) or len(piece[i]) + len(piece[j]) != len(both) or piece[i] + piece[j] != both:
+                continue  # one of the two is part of another piece by now
+            piece[i], piece[j] = both, ""
+            after[i] = after[j]
+            if after[j] < len(s):
+                before[after[j]] = i
+            offer(before[i])
+            offer(i)
+        return [x for x in piece if x]
 
     def follows(self, a: str, b: str) -> bool:
         ok = self.fits.get((a, b))
@@ -98,7 +114,7 @@ class PieceEncoder(ChunkTable):
             for i in range(depth + 1, len(w) + 1):
                 if self.bpe:
                     last.append(self._bpe_state(w, i, last))
-                    best.append(0.0)
+                    best.append(best[i - len(last[i])] + known.get(last[i], -1e6))
                 else:
                     piece, top = w[i - 1], best[i - 1] - 1e6  # a character that is no piece
                     for j in range(max(0, i - longest), i):

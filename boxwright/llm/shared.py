@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,11 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see. Set here only where the session has none."""
+    """The folder that the driver and all executors see. A session on one machine may do without the setting."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         java = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = java.get() if java.isDefined() else OWN_DIR
+        found = java.get() if java.isDefined() else None
+    if not found:
+        if not re.match(r"local(\[.*\])?$", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        found = OWN_DIR  # one machine
     return found.rstrip("/")
 
 
@@ -31,17 +38,30 @@ def cut(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Data
     spark = df.sparkSession
     path = new_path(spark, name)
     w = df.write.option("compression", "zstd")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    with shuffles_removed(spark):
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._boxwright_path = path
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table that cut() made and nothing reads any more."""
+def discard(df: DataFrame, part: str = "") -> None:
+    """Delete a table that cut() made and nothing reads any more, or one partition of it."""
     path = getattr(df, "_boxwright_path", None)
     if path:
-        remove(df.sparkSession, path)
+        remove(df.sparkSession, f"{path}/{part}" if part else path)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """While a table is written, exchanges are for that table only: their files go as soon as it is whole."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def remove(spark: SparkSession, path: str) -> None:

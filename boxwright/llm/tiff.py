@@ -1,7 +1,8 @@
 """TIFF media columns: a writer, and a reader that walks image directories and gives one row per page.
 
 The reader takes both byte orders; strips and tiles; 8-bit samples of 1 to 4 channels in chunky order; compression none (1),
-LZW (5), deflate (8, 32946) and PackBits (32773); predictors none (1) and horizontal (2).
+LZW (5), deflate (8, 32946) and PackBits (32773); predictors none (1) and horizontal (2). Other predictors, planar samples, reversed bits and
+sizes that a file's bytes can't hold are refused.
 """
 
 from __future__ import annotations
@@ -20,10 +21,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .shared import cut, table
 
 # TIFF tag numbers, value sizes by type, and compression codes.
-WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279, 317, 322, 323, 324, 325
+WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS, FILL_ORDER, PLANAR = 256, 257, 258, 259, 262, 273, 277, 278, 279, 317, 322, 323, 324, 325, 266, 284
 TYPE_SIZE = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 
+#: Most bytes that one stored byte can stand for.
+EXPANSION = {NONE: 1, LZW: 4096, DEFLATE: 1040, OLD_DEFLATE: 1040, PACKBITS: 64}
+
 CLEAR, END = 256, 257
 
 
@@ -164,7 +168,7 @@ def _encode(block: np.ndarray, compression: int, predictor: int) -> bytes:
 
 def _decode(data: bytes, compression: int, predictor: int, rows: int, cols: int, channels: int) -> np.ndarray:
     if compression in (DEFLATE, OLD_DEFLATE):
-        data = zlib.decompress(data)
+        data = zlib.decompressobj().decompress(data, rows * cols * channels)
     elif compression == LZW:
         data = lzw_decode(data)
     elif compression == PACKBITS:
@@ -255,6 +259,22 @@ def _page(data: bytes, tags: dict[int, list]) -> np.ndarray:
     if not w or not h or any(b != 8 for b in tags.get(BITS, [1])):
         raise ValueError("only pages of 8-bit samples can be read")
     compression, predictor = one(COMPRESSION, NONE), one(PREDICTOR, 1)
+    if compression not in EXPANSION:
+        raise ValueError(f"compression {compression} isn't supported")
+    if predictor not in (1, 2):
+        raise ValueError(f"predictor {predictor} isn't supported")
+    if one(PLANAR, 1) != 1 and c > 1:
+        raise ValueError("samples in planes of their own aren't supported")
+    if one(FILL_ORDER, 1) != 1:
+        raise ValueError("reversed bits aren't supported")
+    tiled = TILE_OFFSETS in tags
+    if tiled and not (one(TILE_WIDTH) and one(TILE_LENGTH)) or not one(ROWS_PER_STRIP, 1):
+        raise ValueError("strips or tiles without size")
+    held = sum(min(n, len(data)) for n in tags.get(TILE_COUNTS if tiled else STRIP_COUNTS, []))
+    if w * h * c > held * EXPANSION[compression]:
+        raise ValueError("the page is larger than its strips or tiles can hold")
+    if tiled and one(TILE_WIDTH) * one(TILE_LENGTH) * c > len(data) * EXPANSION[compression]:
+        raise ValueError("a tile is larger than the file can hold")
     out = np.empty((h, w, c), np.uint8)
     if TILE_OFFSETS in tags:
         tw, tl = one(TILE_WIDTH), one(TILE_LENGTH)
@@ -316,48 +336,90 @@ def page_features(samples: np.ndarray) -> dict:
     return {"sum": int((hist * value).sum()), "squares": int((hist * value * value).sum()), "low": int(flat.min()), "high": int(flat.max()), "bins": hist.reshape(16, 16).sum(axis=1).tolist()}
 
 
-PAGE_SCHEMA = "id long, page int, width int, height int, channels int, compression int, predictor int, tiled boolean, sum long, squares long, low int, high int, bins array<long>, samples binary, error string"
+PAGE_FIELDS = [("id", pa.int64()), ("page", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("channels", pa.int32()), ("compression", pa.int32()), ("predictor", pa.int32()), ("tiled", pa.bool_()), ("sum", pa.int64()), ("squares", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("bins", pa.list_(pa.int64())), ("samples", pa.binary()), ("error", pa.string()), ("media_bytes", pa.int64()), ("media_sha256", pa.string())]
+PAGE_SCHEMA = "id long, page int, width int, height int, channels int, compression int, predictor int, tiled boolean, sum long, squares long, low int, high int, bins array<long>, samples binary, error string, media_bytes long, media_sha256 string"
+
+
+def tiff_pages(media: DataFrame, id_col: str, media_col: str, carry: str | None = None) -> DataFrame:
+    """One row per page of each file, with its samples, in the order of its directories; a file's rows follow one another. A null, empty or broken file
+    gives its readable pages and one row with page null and the error. carry names a column of longs that each row repeats.
 
+    Rows that repeat an id come out repeatedly. Pages pass in batches of some MB; one page is in memory whole.
+    """
+    schema = pa.schema([*PAGE_FIELDS, ("carried", pa.int64())])
 
-def tiff_pages(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
-    """One row per page of each file, with its samples. A null, empty or broken file gives one row with page null and the error."""
+    def rows_of(key: int | None, data: bytes | None, carried: int | None) -> Iterator[dict]:
+        own = {"id": key, "carried": carried, "media_bytes": None if data is None else len(data), "media_sha256": None if data is None else hashlib.sha256(data).hexdigest(), "error": None}
+        try:
+            for k, (tags, page) in enumerate(read_tiff(data or b"")):
+                yield own | {"page": k, "width": page.shape[1], "height": page.shape[0], "channels": page.shape[2], "compression": tags.get(COMPRESSION, [NONE])[0], "predictor": tags.get(PREDICTOR, [1])[0], "tiled": TILE_OFFSETS in tags, "samples": page.tobytes()} | page_features(page)
+        except (ValueError, struct.error, zlib.error, IndexError, TypeError, KeyError) as e:
+            yield own | {"error": str(e) or type(e).__name__}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("page", pa.int32()), ("width", pa.int32()), ("height", pa.int32()), ("channels", pa.int32()), ("compression", pa.int32()), ("predictor", pa.int32()), ("tiled", pa.bool_()), ("sum", pa.int64()), ("squares", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("bins", pa.list_(pa.int64())), ("samples", pa.binary()), ("error", pa.string())])
+        found, size = [], 0
         for batch in batches:
-            for i in range(batch.num_rows):
-                key, data = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                try:
-                    for k, (tags, page) in enumerate(read_tiff(data or b"")):
-                        row = {"id": key, "page": k, "width": page.shape[1], "height": page.shape[0], "channels": page.shape[2], "compression": tags.get(COMPRESSION, [NONE])[0], "predictor": tags.get(PREDICTOR, [1])[0], "tiled": TILE_OFFSETS in tags, "samples": page.tobytes(), "error": None} | page_features(page)
-                        yield pa.RecordBatch.from_pylist([row], schema)
-                except (ValueError, struct.error, zlib.error, IndexError, TypeError, KeyError) as e:
-                    yield pa.RecordBatch.from_pylist([{"id": key, "error": str(e) or type(e).__name__}], schema)
+            for key, data, carried in zip(*(batch.column(i) for i in range(3)), strict=True):
+                for row in rows_of(key.as_py(), data.as_py(), carried.as_py()):
+                    found.append(row)
+                    size += len(row.get("samples") or b"")
+                    if size > 8 << 20 or len(found) >= 2000:
+                        yield pa.RecordBatch.from_pylist(found, schema)
+                        found, size = [], 0
+        if found:
+            yield pa.RecordBatch.from_pylist(found, schema)
+
+    carried = F.col(carry) if carry else F.lit(None)
+    return media.select(F.col(id_col).cast("long"), F.col(media_col), carried.cast("long")).mapInArrow(run, PAGE_SCHEMA + ", carried long")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Page rows of files, one file after another -> a row for each file: digests of its samples in order of pages."""
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    now: dict | None = None
+    out: list[tuple] = []
 
-    return media.select(F.col(id_col).cast("long"), F.col(media_col)).mapInArrow(run, PAGE_SCHEMA)
+    def closed(f: dict) -> tuple:
+        return f["id"], f["n"], f["size"], f["sha"].hexdigest(), zlib.crc32(f["tail"]), f["media"], f["media_sha"], "|".join(f["feats"])
 
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stored files -> digests of the samples of their pages, in order. The pages of a file are never in memory together."""
     for batch in batches:
-        out = []
-        for i in range(batch.num_rows):
-            media = batch.column(2)[i].as_py()
-            sha, size, tail, feats = hashlib.sha256(), 0, b"", []
-            for _, page in read_tiff(media):
-                part = page.tobytes()
-                sha.update(part)
-                size += len(part)
-                tail = (tail + part)[-16:]
-                f = page_features(page)
-                feats.append(f"{page.shape[1]}x{page.shape[0]}x{page.shape[2]}:{f['sum']}:{f['squares']}:{f['low']}-{f['high']}:" + ",".join(map(str, f["bins"])))
-            out.append((size, sha.hexdigest(), zlib.crc32(tail), len(media), hashlib.sha256(media).hexdigest(), "|".join(feats)))
-        cols = list(zip(*out, strict=True)) or [[]] * 6
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+        for r in batch.to_pylist():
+            if r["error"] is not None:
+                raise ValueError(f"stored file of {r['id']}: {r['error']}")
+            if r["page"] == 0:
+                if now:
+                    out.append(closed(now))
+                now = {"id": r["id"], "n": r["carried"], "size": 0, "sha": hashlib.sha256(), "tail": b"", "media": r["media_bytes"], "media_sha": r["media_sha256"], "feats": []}
+            assert now is not None
+            part = r["samples"]
+            now["sha"].update(part)
+            now["size"] += len(part)
+            now["tail"] = (now["tail"] + part[-16:])[-16:]
+            now["feats"].append(f"{r['width']}x{r['height']}x{r['channels']}:{r['sum']}:{r['squares']}:{r['low']}-{r['high']}:" + ",".join(map(str, r["bins"])))
+        if len(out) >= 2000:
+            yield made(out)
+            out = []
+    if now:
+        out.append(closed(now))
+    if out:
+        yield made(out)
+
+
+def stored_documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_bytes, media): each text as a TIFF file. A null text is empty; rows that repeat an id come out repeatedly."""
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_stored, "doc_id long, n_bytes long, media binary")
+
+
+def digests_of(stored: DataFrame) -> DataFrame:
+    """A row for each stored file, from the rows of its pages. The file is one row of one task, so its pages arrive together and in order."""
+    pages = tiff_pages(stored, "doc_id", "media", carry="n_bytes")
+    return pages.mapInArrow(_digests, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def op7_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
-    stored = cut(docs.mapInArrow(_stored, "doc_id long, n_bytes long, media binary"), "media")
-    return stored.mapInArrow(_read_back, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    """Every text of documents as a TIFF file, and what its pages say when read back."""
+    return digests_of(cut(stored_documents(table(spark, sf_dir, "documents")), "media"))

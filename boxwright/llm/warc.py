@@ -17,9 +17,9 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .shared import new_path, table
+from .shared import cut, new_path, table
 
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -91,29 +91,37 @@ def parse_header(header: bytes) -> tuple[dict[str, str], int]:
     return {k.decode().lower(): v.decode() for k, v in FIELD.findall(header[: end + 1])}, end + 4
 
 
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Payloads of the store -> size and SHA-1 of the bytes as read, each held against the digest that it is stored under."""
+    for batch in batches:
+        body = batch.column(1).to_pylist()
+        for sha, x in zip(batch.column(0).to_pylist(), body, strict=True):
+            if hashlib.sha256(x).digest() != sha:
+                raise ValueError(f"payload {sha.hex()} is altered")
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, body), pa.int64()), pa.array([base64.b32encode(hashlib.sha1(x).digest()).decode() for x in body])], names=["sha256", "n", "sha1"])
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records (header, payload, sha256) -> what they say, each checked against its own bytes. A revisit has no payload."""
+    """Records (header, sha256, n, sha1 of the payload read back) -> what they are, each header held against its payload."""
     for batch in batches:
         out = []
-        for header, payload, sha in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for header, n, sha1 in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             f, body = parse_header(header)
-            revisit = f["warc-type"] == "revisit"
-            if not revisit:
-                if payload is None or hashlib.sha256(payload).digest() != sha:
-                    raise ValueError(f"{f['warc-record-id']}: payload is missing or altered")
-                if base64.b32encode(hashlib.sha1(payload).digest()).decode() != f["warc-payload-digest"][5:]:
-                    raise ValueError(f"{f['warc-record-id']}: digest differs")
-            if len(header) - body + (0 if revisit else len(payload)) != int(f["content-length"]):
-                raise ValueError(f"{f['warc-record-id']}: length differs")
-            refers = int(f["warc-refers-to"][10:-1]) if revisit else None
-            size = int(f["warc-payload-length"]) if revisit else len(payload)
-            out.append((int(f["warc-record-id"][10:-1]), size, f["warc-payload-digest"][5:], f["warc-type"], refers))
+            name, revisit = f["warc-record-id"], f["warc-type"] == "revisit"
+            if n is None:
+                raise ValueError(f"{name}: payload is missing")
+            if sha1 != f["warc-payload-digest"][5:] or n != int(f["warc-payload-length"]):
+                raise ValueError(f"{name}: digest or length of the payload differs")
+            if len(header) - body + (0 if revisit else n) != int(f["content-length"]):
+                raise ValueError(f"{name}: length differs")
+            out.append((int(name[10:-1]), n, sha1, f["warc-type"], int(f["warc-refers-to"][10:-1]) if revisit else None))
         cols = list(zip(*out, strict=True)) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
 
 def read_records(spark: SparkSession, path: str, bodies_of_revisits: bool = False) -> DataFrame:
-    """(page_id, header, payload, sha256) of every record; with bodies_of_revisits, revisits get the payload they refer to."""
+    """(page_id, header, payload, sha256) of every record, put together from headers and payloads by digest: the records as they were written. With
+    bodies_of_revisits, revisits get the payload they refer to."""
     heads, store = (spark.read.parquet(f"{path}/{x}") for x in ("headers", "payloads"))
     if bodies_of_revisits:
         return heads.join(store, "sha256", "left").select("page_id", "header", "payload", "sha256")
@@ -122,19 +130,28 @@ def read_records(spark: SparkSession, path: str, bodies_of_revisits: bool = Fals
     return full.unionByName(heads.where("refers_to is not null").select("page_id", "header", F.lit(None).cast("binary").alias("payload"), "sha256"))
 
 
-def parse_records(records: DataFrame) -> DataFrame:
-    return records.select("header", "payload", "sha256").mapInArrow(_parsed, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+def payload_facts(spark: SparkSession, path: str) -> DataFrame:
+    """(sha256, n, sha1) of every stored payload, taken from its bytes."""
+    return spark.read.parquet(f"{path}/payloads").select("sha256", "payload").mapInArrow(_facts, "sha256 binary, n long, sha1 string").dropDuplicates(["sha256"])
+
+
+def parse_records(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record, responses and revisits alike from the payload that they
+    name. Payloads are read once each; what moves to their records is a digest and a size, so a payload of very many records costs no more."""
+    facts = cut(payload_facts(spark, path), "facts")  # its own exchange: Spark splits the records of one payload
+    full = spark.read.parquet(f"{path}/headers").join(facts, "sha256", "left").select("header", "n", "sha1")
+    return full.mapInArrow(_parsed, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def export_warc(records: DataFrame, path: str) -> None:
-    """Plain .warc files: header, body, blank lines; revisits end after their HTTP header. Written by Spark's text sink."""
+    """Plain .warc files: header, body, blank lines; revisits (without payload) end after their HTTP header. Written by Spark's text sink, byte for byte."""
     body = F.concat(F.col("header"), F.coalesce("payload", F.lit(b"")))
     records.select(body.cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
 
 
 def op9_warc_content_addressed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = write_archive(table(spark, sf_dir, "pages"), min_bytes=0)
-    return parse_records(read_records(spark, path))
+    """Every page as a record of a content-addressed archive, and what the archive says when read back."""
+    return parse_records(spark, write_archive(table(spark, sf_dir, "pages"), min_bytes=0))
 
 
 OP9_SQL = """
