@@ -162,9 +162,19 @@ def verified(pairs: DataFrame, a: str, b: str, threshold: int = THRESHOLD) -> Da
 
 def verified_words(pairs: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
     """Rows of pairs whose strings a and b are at most `threshold` insertions, deletions or substitutions of words apart."""
-    x = _once(pairs, _p=F.split(a, " "), _t=F.split(b, " "))
-    x = _once(x, _m=F.size("_p"), _n=F.size("_t")).where(F.abs(F.col("_m") - F.col("_n")) <= threshold)
-    return x.where(_alive(threshold)).select(*pairs.columns)
+    x = _once(pairs, _u=F.split(a, " "), _v=F.split(b, " "))
+    x = _once(x, _most=F.least(F.size("_u"), F.size("_v"))).where(F.abs(F.size("_u") - F.size("_v")) <= threshold)
+
+    def agree(p: Column, t: Column) -> Column:
+        """How many elements the beginnings share."""
+        other = F.array_position(F.zip_with(p, t, lambda x, y: F.coalesce(x == y, F.lit(False))), F.lit(False))
+        return F.when(other > 0, other - 1).otherwise(F.col("_most")).cast("int")
+
+    x = _once(x, _head=agree(F.col("_u"), F.col("_v")), _back=agree(F.reverse("_u"), F.reverse("_v")))
+    x = _once(x, _tail=F.least(F.col("_back"), F.col("_most") - F.col("_head")))
+    x = _once(x, _m=F.size("_u") - F.col("_head") - F.col("_tail"), _n=F.size("_v") - F.col("_head") - F.col("_tail"))
+    x = _once(x, _p=F.slice("_u", F.col("_head") + 1, F.col("_m")), _t=F.slice("_v", F.col("_head") + 1, F.col("_n")))
+    return x.where((F.greatest("_m", "_n") <= threshold) | _alive(threshold)).select(*pairs.columns)
 
 
 def _alive(threshold: int) -> Column:
@@ -241,7 +251,8 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     compared = _once(compared, n_words=F.size("words"))
     # members of keys that several lines have, one of them as its own: one exchange, read twice
     keys = keyed(compared, kinds, ["id"]).repartition("key")
-    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("own").alias("own")).where("lo < hi and own").select("key")
+    # kind is read by both, so that both read the same exchange
+    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("own").alias("own"), F.max("kind").alias("kind")).where("lo < hi and own and kind >= 0").select("key")
     members = cut(keys.join(shared, "key").groupBy("key", "id", "kind").agg(F.max("own").alias("own")), "members")
     ids = cut(members.select("id").distinct(), "ids")
     few = F.broadcast if ids.count() <= BROADCAST_ROWS else lambda x: x
@@ -249,15 +260,18 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = cut(texts.select("id", "id2", "line", letter_counts(F.col("line"), F.col("n")).alias("letters"), word_counts(F.split("line", " ")).alias("words")), "texts")
     by_words = F.col("kind").isin([k for k, kind in enumerate(kinds) if kind[3]])
     counts = texts.groupBy("id").agg(F.max("letters").alias("letters"), F.max("words").alias("words"), F.count("*").alias("n"))
-    known = members.join(counts, "id").select("key", "id", "kind", "own", F.when(F.col("n") == 1, F.when(by_words, F.col("words")).otherwise(F.col("letters"))).alias("f"))
+    owned = members.where("own").groupBy("id", "kind").agg(F.collect_list("key").alias("keys"))  # a few for each class of a line
+    known = members.join(counts, "id").join(owned, ["id", "kind"], "left")
+    known = known.select("key", "id", "kind", "own", F.coalesce("keys", F.array().cast("array<bigint>")).alias("keys"), F.when(F.col("n") == 1, F.when(by_words, F.col("words")).otherwise(F.col("letters"))).alias("f"))
     known = cut(known, "members")
-    probe = known.select("key", "kind", F.col("id").alias("b"), F.col("f").alias("fb"), F.col("own").alias("ob"))
-    index = known.where("own").select("key", F.col("id").alias("a"), F.col("f").alias("fa"))
+    probe = known.select("key", "kind", F.col("id").alias("b"), F.col("f").alias("fb"), F.col("own").alias("ob"), F.col("keys").alias("kb"))
+    index = known.where("own").select("key", F.col("id").alias("a"), F.col("f").alias("fa"), F.col("keys").alias("ka"))
     near_counts = F.lit(False)
     for k, (t, *_) in enumerate(kinds):
         near_counts = near_counts | ((F.col("kind") == k) & F.coalesce(may_be_near(F.col("fa"), F.col("fb"), t), F.lit(True)))
-    # two lines that both have the key as their own meet once
-    met = probe.join(index, (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & (~F.col("ob") | (F.col("a") < F.col("b"))) & near_counts)
+    # lines with keys of their own in common meet under the least of these, others under the keys that one has and the other probes
+    once = F.when(F.col("ob"), (F.col("a") < F.col("b")) & (probe["key"] == F.array_min(F.array_intersect("ka", "kb")))).otherwise(~F.arrays_overlap("ka", "kb"))
+    met = probe.join(index, (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & near_counts & once)
     pairs = cut(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "kind").distinct(), "pairs")
     line = lambda side: F.struct("id", "id2").alias(side)
     full = pairs.join(texts.select(F.col("id").alias("a"), line("la"), F.col("line").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), line("lb"), F.col("line").alias("tb")), "b")
