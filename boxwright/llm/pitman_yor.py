@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .shared import cut, discard, table
+from .shared import cut, discard, reread, table
 from .words import Words, mix64, word_blocks
 
 #: Stands for the end of a text, and before its first word.
@@ -134,7 +134,7 @@ def ddl(fields: list[tuple]) -> str:
     return ", ".join(f"{c} {TYPES[t]}" for c, t in fields)
 
 
-def rows(fields: list[tuple], size: int, **cols) -> pa.RecordBatch:
+def rows(fields: list[tuple], size: int, /, **cols) -> pa.RecordBatch:
     schema = pa.schema(fields)
     return pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else pa.nulls(size, f.type) for f in schema], schema=schema)
 
@@ -290,10 +290,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names = merged.where("kind in ('word', 'live word')").select("kind", "part", "at", "w", "count", "tables")
     words = names.groupBy("w").agg(F.sum("count").alias("count"), F.sum("tables").alias("tables"))
     words = cut(words.select("w", "count", "tables", F.lit(0.0).alias("c"), F.lit(0.0).alias("t"), F.array().cast("array<float>").alias("kept")), "words")
-    n_train, distinct = words.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if("count > 0")).first()
+    n_train, distinct = words.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count_if(F.col("count") > 0)).first()
     floor = 1 / (distinct + 1)
     wanted = names.where("kind = 'live word'").select("part", "at", "w")
-    live = merged.where("kind = 'live'").select("part", "ctx", "of", "dish", "words", "n", "fixed", "t", F.array().cast("array<binary>").alias("kept"))
+    live = reread(merged).where("kind = 'live'").select("part", "ctx", "of", "dish", "words", "n", "fixed", "t", F.array().cast("array<binary>").alias("kept"))
     probability = F.lit(floor)
     for sweep in range(BURN_IN + SAMPLES):
         asked = wanted.join(words.where("count > 0").select("w", probability.alias("p")), "w").select("part", "at", "p")
@@ -314,7 +314,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             words._boxwright_path = new._boxwright_path
     known = names.join(words.select("w", "kept", F.col("count").alias("c")), "w").select("part", "at", "kept", F.col("c").alias("count"))
     columns = ["part", "of", "words", "dish", "n", "blocks", "lists", "kept"]
-    whole = merged.where("kind = 'part'").withColumn("kept", F.lit(None).cast("array<binary>")).select(*columns)
+    whole = reread(merged).where("kind = 'part'").withColumn("kept", F.lit(None).cast("array<binary>")).select(*columns)
     state = live.withColumns({"blocks": F.lit(None).cast("binary"), "lists": F.lit(None).cast("array<binary>")}).select(*columns)
     answers = whole.unionByName(state).groupBy("part").cogroup(known.groupBy("part")).applyInArrow(_answers, "block long, part int, lp binary, c binary")
 

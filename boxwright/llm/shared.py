@@ -45,6 +45,11 @@ def cut(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Data
     return out
 
 
+def reread(df: DataFrame) -> DataFrame:
+    """A table that cut() made as a table of its own, for joins with itself."""
+    return df.sparkSession.read.schema(df.schema).parquet(df._boxwright_path)
+
+
 def discard(df: DataFrame, part: str = "") -> None:
     """Delete a table that cut() made and nothing reads any more, or one partition of it."""
     path = getattr(df, "_boxwright_path", None)
