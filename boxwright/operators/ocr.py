@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from boxwright.functions import geom
 
 BLOCKS = "struct<LINE:array<struct<Id:string,Text:string,Relationships:array<struct<Type:string,Ids:array<string>>>>>,WORD:array<struct<Id:string,Text:string,Confidence:double,Geometry:struct<BoundingBox:struct<Left:double,Top:double,Width:double,Height:double>>>>>"
+LINES = "array<struct<boundingBox:array<double>,text:string,words:array<struct<boundingBox:array<double>,text:string,confidence:string>>>>"
 PAGES = "struct<status:string,recognitionResults:array<struct<page:int,width:double,height:double,unit:string,lines:array<struct<boundingBox:array<double>,text:string,words:array<struct<boundingBox:array<double>,text:string,confidence:string>>>>>>>"
 
 
@@ -38,16 +39,24 @@ def page_words(docs: DataFrame, digits: int = 2, line_text: bool = False, skip_n
     if skip_non_succeeded:
         status = F.lower(F.trim(F.coalesce("o.status", F.lit(""))))
         x = x.where((status == "succeeded") | (status == ""))
-    p = x.select("doc_id", F.posexplode("o.recognitionResults").alias("_p", "p")).where("p.width > 0 and p.height > 0")
-    lines = p.select("doc_id", "_p", "p.page", "p.width", "p.height", "p.unit", F.posexplode("p.lines").alias("line_idx", "l"))
-    bare = F.coalesce(F.size("l.words"), F.lit(0)) <= 0
-    own = F.array(F.struct(F.col("l.boundingBox").alias("boundingBox"), F.col("l.text").alias("text"), F.lit(None).cast("string").alias("confidence")))
-    w = lines.select("doc_id", "_p", "page", "width", "height", "unit", "line_idx", F.col("l.text").alias("line_text"), F.when(bare, "LINE_FALLBACK").otherwise("WORD").alias("_src_level"), F.posexplode(F.when(bare, own).otherwise(F.col("l.words"))).alias("word_in_line", "w"))
-    w = w.withColumn("_pixel", geom.poly_to_box(F.col("w.boundingBox")))
-    w = w.withColumn("bbox", geom.pixel_to_norm1000(F.col("_pixel"), F.col("width"), F.col("height"), digits)).where("bbox is not null")
-    n = F.row_number().over(Window.partitionBy("doc_id").orderBy("_p", "line_idx", "word_in_line")) - 1
-    cols = ["doc_id", "page", "line_idx", n.alias("word_idx"), "word_in_line", F.coalesce("w.text", F.lit("")).alias("text"), "bbox", "unit", "_src_level", F.col("w.confidence").alias("confidence")]
-    return w.select(*cols, *(["line_text"] if line_text else []))
+    level = lambda bare: F.when(bare, "LINE_FALLBACK").otherwise("WORD")
+
+    def words_of(p: Column, at: Column, line: Column, i: Column) -> Column:
+        bare = F.coalesce(F.size(line["words"]), F.lit(0)) <= 0
+        own = F.array(F.struct(line["boundingBox"].alias("boundingBox"), line["text"].alias("text"), F.lit(None).cast("string").alias("confidence")))
+
+        def word(w: Column, k: Column) -> Column:
+            box = geom.pixel_to_norm1000(geom.poly_to_box(w["boundingBox"]), p["width"], p["height"], digits)
+            return F.struct(p["page"].alias("page"), i.alias("line_idx"), k.alias("word_in_line"), F.coalesce(w["text"], F.lit("")).alias("text"), box.alias("bbox"), p["unit"].alias("unit"), level(bare).alias("_src_level"), w["confidence"].alias("confidence"), line["text"].alias("line_text"))
+
+        return F.transform(F.when(bare, own).otherwise(line["words"]), word)
+
+    # words are numbered in the document's own array: nothing is sorted or exchanged
+    pages = F.filter("o.recognitionResults", lambda p: (p["width"] > 0) & (p["height"] > 0))
+    every = F.flatten(F.flatten(F.transform(pages, lambda p, at: F.transform(F.coalesce(p["lines"], F.array().cast(LINES)), lambda line, i: words_of(p, at, line, i)))))
+    w = x.select("doc_id", F.posexplode(F.filter(every, lambda v: v["bbox"].isNotNull())).alias("word_idx", "w"))
+    cols = ["doc_id", "w.page", "w.line_idx", "word_idx", "w.word_in_line", "w.text", "w.bbox", "w.unit", "w._src_level", "w.confidence"]
+    return w.select(*cols, *(["w.line_text"] if line_text else []))
 
 
 def line_blocks(ocr: Column) -> Column:

@@ -119,9 +119,11 @@ def offline_annotator(text: str) -> str:
     return json.dumps({"answer_type": "extractive", "bboxes": [{"role": "context", "label": "", "bbox": b} for b in boxes]})
 
 
-def annotate(df: DataFrame, key: str, text: str, annotator: Callable[[str], str] = offline_annotator, threads: int = 8, max_retries: int = 5, base_sleep: float = 0.8) -> DataFrame:
+def annotate(df: DataFrame, key: str, text: str, annotator: Callable[[str], str] = offline_annotator, threads: int = 8, max_retries: int = 5, base_sleep: float = 0.8, path: str | None = None) -> DataFrame:
     """(key, reply, error): one call for each row, in a pool of threads for each task; failed calls are repeated with growing waits.
 
+    With a path, replies are written there and read back, so that whatever uses them later never calls again, also if an executor is lost.
+
     A reply that can't be parsed is not asked for again; that is left to the caller."""
 
     def call(prompt_: str) -> tuple[str | None, str | None]:
@@ -142,7 +144,11 @@ def annotate(df: DataFrame, key: str, text: str, annotator: Callable[[str], str]
                 yield pd.DataFrame({"key": pdf["key"], "reply": [a for a, _ in got], "error": [b for _, b in got]})
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInPandas(run, f"key {kind}, reply string, error string").withColumnRenamed("key", key)
+    out = df.select(F.col(key).alias("key"), F.col(text).alias("t")).mapInPandas(run, f"key {kind}, reply string, error string").withColumnRenamed("key", key)
+    if path is None:
+        return out
+    out.write.mode("append").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def merge_replies(df: DataFrame, replies: DataFrame, key: str, seeds: str = "seed_boxes", keep_seeds: bool = True) -> DataFrame:
