@@ -297,7 +297,11 @@ def build_index(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
 
 
 def read_shuffled(spark: SparkSession, path: str, index: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, ids) of the index rows given, taken from the shards by offset and length; order is that of no shard."""
+    """(doc_id, ids) of the index rows given, taken by offset and length, without walking the shards' other records; order is that of no shard.
+
+    Spark's reader hands over a shard as one value, so each shard that holds a wanted record is read once, whole; shards hold at most about
+    SHARD_TEXT_BYTES of text, or one text. A reader with seeks takes the same offsets.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(F.regexp_extract("path", "([^/]*)$", 1).alias("shard"), "content")
     wanted = index.select("shard", "doc_id", "offset", "length").groupBy("shard").agg(F.collect_list(F.struct("doc_id", "offset", "length")).alias("w"))
     dtype = encoder(tokenizer).dtype

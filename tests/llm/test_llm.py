@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from boxwright.llm import chunks, components, decontaminate, language_id, line_dedup, near_dedup, pitman_yor, sentencepieces, tiff, token_records, toxicity, warc, words
+from boxwright.llm import chunks, components, decontaminate, language_id, line_dedup, near_dedup, pitman_yor, registry, sentencepieces, tiff, token_records, toxicity, warc, words
 
 SPLIT = re.compile(rb"[\x20\x09-\x0d]+")
 ODD = [None, "", " \n\t ", "one", "a b c d", "A B C D", "x" * 5000, "é ü ß 日本 😀", "line\n\nline\n"]
@@ -598,6 +598,21 @@ def test_tables_without_rows_and_with_odd_columns(spark):
     assert token_records.build_index(spark, path, bytes_).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(registry.SQL))
+def test_same_as_sql(spark, name):
+    import duckdb
+
+    con, sf = duckdb.connect(), "/root/testdata/sf0.001"
+    for t in ("documents", "pages"):
+        con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
+    want = con.sql(registry.SQL[name])
+    cols = sorted(want.columns)
+    got = registry.QUERIES[name](spark, sf)
+    assert sorted(got.columns) == cols
+    at = [want.columns.index(c) for c in cols]
+    assert sorted((tuple(r[c] for c in cols) for r in got.collect()), key=repr) == sorted((tuple(r[i] for i in at) for r in want.fetchall()), key=repr)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
