@@ -25,7 +25,7 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .components import components
-from .shared import cut, discard, table
+from .shared import cut, discard, reread, table
 
 THRESHOLD = 2
 #: Shorter lines are left alone.
@@ -266,24 +266,29 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     known = cut(known, "members")
     probe = known.select("key", "kind", F.col("id").alias("b"), F.col("f").alias("fb"), F.col("own").alias("ob"), F.col("keys").alias("kb"))
     index = known.where("own").select("key", F.col("id").alias("a"), F.col("f").alias("fa"), F.col("keys").alias("ka"))
-    near_counts = F.lit(False)
-    for k, (t, *_) in enumerate(kinds):
-        near_counts = near_counts | ((F.col("kind") == k) & F.coalesce(may_be_near(F.col("fa"), F.col("fb"), t), F.lit(True)))
+    allowed = F.element_at(F.array(*(F.lit(t) for t, *_ in kinds)), F.col("kind") + 1)
+    near_counts = F.coalesce(may_be_near(F.col("fa"), F.col("fb"), allowed), F.lit(True))
     # lines with keys of their own in common meet under the least of these, others under the keys that one has and the other probes
     once = F.when(F.col("ob"), (F.col("a") < F.col("b")) & (probe["key"] == F.array_min(F.array_intersect("ka", "kb")))).otherwise(~F.arrays_overlap("ka", "kb"))
     met = probe.join(index, (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & near_counts & once)
-    pairs = cut(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "kind").distinct(), "pairs")
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "kind").groupBy("a", "b").agg(F.collect_set("kind").alias("kinds"))
+    pairs = cut(pairs, "pairs")
     line = lambda side: F.struct("id", "id2").alias(side)
     full = pairs.join(texts.select(F.col("id").alias("a"), line("la"), F.col("line").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), line("lb"), F.col("line").alias("tb")), "b")
-    found = [(verified_words if w else verified)(full.where(F.col("kind") == k), "ta", "tb", t).select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")) for k, (t, _, _, w, _) in enumerate(kinds)]
-    links = cut(reduce(DataFrame.union, found).distinct(), "links")
+    # by words first, under the largest threshold that a pair has met; what that links isn't compared by characters again
+    of = lambda w: [(k, t) for k, (t, _, _, words, _) in enumerate(kinds) if words == w]
+    by_words = [verified_words(full.where(F.array_max("kinds") == k), "ta", "tb", t).select("la", "lb") for k, t in of(True)]
+    linked = cut(reduce(DataFrame.union, by_words).distinct(), "linked") if by_words else full.select("la", "lb").where("false")
+    left = full.join(linked, ["la", "lb"], "left_anti")
+    found = [verified(left.where(F.array_contains("kinds", k)), "ta", "tb", t).select("la", "lb") for k, t in of(False)]
+    every = reduce(DataFrame.union, [reread(linked) if by_words else linked, *found])
+    links = cut(every.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), "links")
     comp = components(links, native=True)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     near = degree.join(comp, "node", "left").select("node.id", "node.id2", "n_links", F.coalesce("component", "node").alias("component"))
     # a row for each line that has copies or links: its first place and, with links, the first place of its component
-    linked = near.join(firsts, ["id", "id2"], "left").select("id", "id2", "n_links", "component", "first")
     alone = places.join(few(near.select("id", "id2")), ["id", "id2"], "left_semi").groupBy("id", "id2").agg(F.min(F.struct("doc_id", "line_no")).alias("own_first"))
-    linked = cut(linked.join(alone, ["id", "id2"]).select("id", "id2", "n_links", "component", "own_first"), "linked")
+    linked = cut(near.join(alone, ["id", "id2"]).select("id", "id2", "n_links", "component", "own_first"), "linked")
     tops = linked.groupBy("component").agg(F.min("own_first").alias("top"))
     tops = cut(linked.join(tops, "component").select("id", "id2", "n_links", "top"), "tops")
     named = cut(firsts.select("id", "id2", "first").join(tops, ["id", "id2"], "full").select("id", "id2", F.coalesce("top", "first").alias("top"), "n_links"), "named")
