@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .shared import cut, new_path, table
+from .shared import cut, new_path, shuffles_removed, table
 
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -74,11 +74,13 @@ def write_archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     joined = named.join(holder, "sha256")
     share = (F.col("payload_bytes") >= min_bytes) & (F.col("holder") != F.col("page_id"))
     rows = joined.select("page_id", "url", "payload_bytes", "sha1", "sha256", F.when(share, F.col("holder")).alias("refers_to"))
-    rows.mapInArrow(_headers, "page_id long, sha256 binary, refers_to long, header binary").write.option("compression", "zstd").parquet(f"{path}/headers")
+    with shuffles_removed(pages.sparkSession):
+        rows.mapInArrow(_headers, "page_id long, sha256 binary, refers_to long, header binary").write.option("compression", "zstd").parquet(f"{path}/headers")
     held = pages.sparkSession.read.parquet(f"{path}/headers").where("refers_to is null").groupBy("sha256").agg(F.max("page_id").alias("page_id"))
     bodies = src.select("page_id", F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("payload")).join(held, "page_id")
     once = bodies.where(F.unhex(F.sha2("payload", 256)) == F.col("sha256"))  # an id that repeats has bodies of other digests too
-    once.dropDuplicates(["page_id", "sha256"]).select("sha256", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
+    with shuffles_removed(pages.sparkSession):
+        once.dropDuplicates(["page_id", "sha256"]).select("sha256", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
     return path
 
 
