@@ -10,6 +10,8 @@ from .words import span_hash
 
 #: Distinct chunks that a worker remembers before it starts anew.
 MEMORY = 2_000_000
+#: Bytes that are compared at once.
+PIECE = 1 << 17
 
 
 class ChunkTable:
@@ -69,14 +71,20 @@ class ChunkTable:
 
 
 def same_bytes(a: np.ndarray, a_at: np.ndarray, a_n: np.ndarray, b: np.ndarray, b_at: np.ndarray, b_n: np.ndarray) -> np.ndarray:
-    """Whether the span of a (spans in a row that fill it) equals that of b, for each pair of spans."""
+    """Whether the span of a (spans in a row up to its end) equals that of b, for each pair of spans. Works through pieces of a."""
     out = a_n == b_n
-    at = np.repeat(np.where(out, b_at, 0) - a_at, a_n) + np.arange(a_at[0], len(a))
-    if not out.all():  # lengths differ: any bytes will do
-        at = np.minimum(at, len(b) - 1)
-    wrong = np.flatnonzero(b[at] != a[a_at[0] :])
-    if len(wrong):
-        out[np.searchsorted(a_at, wrong + a_at[0], "right") - 1] = False
+    step = max(1, len(a_at) * PIECE // max(1, len(a)))
+    for i in range(0, len(a_at), step):
+        own = slice(i, i + step)
+        start, n, ok = a_at[own], a_n[own], out[own]
+        piece = a[start[0] : start[-1] + n[-1]]
+        at = np.repeat(np.where(ok, b_at[own], 0) - (start - start[0]), n)
+        at += np.arange(len(piece))
+        if not ok.all():  # lengths differ: any bytes will do
+            np.minimum(at, len(b) - 1, out=at)
+        wrong = np.flatnonzero(b[at] != piece)
+        if len(wrong):
+            out[i + np.searchsorted(start - start[0], wrong, "right") - 1] = False
     return out
 
 

@@ -237,7 +237,7 @@ def _framed(path: str, end_id: int):
         for batch in batches:
             raw, offs = text_buffers(batch.column(1))
             docs = batch.column(0).fill_null(NULL_ID).to_numpy().astype("<i8")
-            for i, j in blocks(offs, 8 << 20):
+            for i, j in blocks(offs, 2 << 20):
                 ids, bounds = enc.encode(raw[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 flat, bounds = ids.tobytes(), (bounds * width).tolist()
                 datas = [docs[r].tobytes() + flat[bounds[r - i] : bounds[r - i + 1]] + end for r in range(i, j)]
