@@ -226,13 +226,81 @@ def _kinds(threshold: int, min_edit_chars: int, short_edit_chars: int | None, wo
     return kinds
 
 
-def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS, short_edit_chars: int | None = None, word_classes: tuple = ()) -> DataFrame:
+def _near_counts(a: str, b: str, kinds: list[tuple]) -> Column:
+    """Whether two lines that share a key may be linked by their counts; unknown counts may."""
+    allowed = F.element_at(F.array(*(F.lit(t) for t, *_ in kinds)), F.col("kind") + 1)
+    return F.coalesce(may_be_near(F.col(a), F.col(b), allowed), F.lit(True))
+
+
+def _pairs(known: DataFrame, kinds: list[tuple], apart: bool = False) -> DataFrame:
+    """(a, b, kinds): lines that share a key which one of them has as its own; with apart those of different c."""
+    keys = lambda x: [] if apart else [F.col("keys").alias(x)]
+    probe = known.select("key", "kind", F.col("id").alias("b"), F.col("f").alias("fb"), F.col("own").alias("ob"), F.col("c").alias("cb"), *keys("kb"))
+    index = known.where("own").select("key", F.col("id").alias("a"), F.col("f").alias("fa"), F.col("c").alias("ca"), *keys("ka"))
+    if apart:
+        once = F.coalesce(F.col("ca") != F.col("cb"), F.lit(True)) & (~F.col("ob") | (F.col("a") < F.col("b")))
+    else:  # lines with keys of their own in common meet under the least of these, others under the keys that one has and the other probes
+        once = F.when(F.col("ob"), (F.col("a") < F.col("b")) & (probe["key"] == F.array_min(F.array_intersect("ka", "kb")))).otherwise(~F.arrays_overlap("ka", "kb"))
+    met = probe.join(index, (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & once & _near_counts("fa", "fb", kinds))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "kind").groupBy("a", "b").agg(F.collect_set("kind").alias("kinds"))
+
+
+def _verified_links(pairs: DataFrame, texts: DataFrame, kinds: list[tuple]) -> DataFrame:
+    """(a, b): nodes (id, id2) of the pairs that edits of words or characters link, as a table."""
+    line = lambda side: F.struct("id", "id2").alias(side)
+    full = pairs.join(texts.select(F.col("id").alias("a"), line("la"), F.col("line").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), line("lb"), F.col("line").alias("tb")), "b")
+    # by words first, under the largest threshold that a pair has met; what that links isn't compared by characters again
+    of = lambda w: [(k, t) for k, (t, _, _, words, _) in enumerate(kinds) if words == w]
+    by_words = [verified_words(full.where(F.array_max("kinds") == k), "ta", "tb", t).select("la", "lb") for k, t in of(True)]
+    linked = cut(reduce(DataFrame.union, by_words).distinct(), "linked") if by_words else full.select("la", "lb").where("false")
+    left = full.join(linked, ["la", "lb"], "left_anti")
+    found = [verified(left.where(F.array_contains("kinds", k)), "ta", "tb", t).select("la", "lb") for k, t in of(False)]
+    every = reduce(DataFrame.union, [reread(linked) if by_words else linked, *found])
+    links = cut(every.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), "links")
+    discard(linked)
+    return links
+
+
+def _connected(known: DataFrame, texts: DataFrame, kinds: list[tuple]) -> DataFrame:
+    """(node, component) of all links, without making every link: components().
+
+    First all lines of a key are held against its least line, then those that aren't of its class yet against its greatest; a row for
+    each line and key. At last lines of a key that are of different classes still are held against each other, all of them, so that
+    no link between classes is missed. Ids that stand for two lines belong to no known class and meet all.
+    """
+    comp = None
+    for pick in (F.min, F.max, None):
+        if comp is not None:  # keys whose lines are all of one class have done their part
+            own = comp.select(F.col("node").alias("c"), "component")
+            new = known.join(own, "c", "left").withColumn("c", F.coalesce("component", "c")).drop("component")
+            open_keys = new.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count_if(F.col("c").isNull()).alias("odd")).where("lo < hi or odd > 0").select("key")
+            left = cut(new.join(open_keys, "key", "left_semi"), "members-left")
+        else:
+            left = known
+        if pick is None:
+            pairs = _pairs(left, kinds, apart=True)
+        else:
+            hub = left.where("own").groupBy("key").agg(pick(F.struct("id", "f", "c")).alias("h")).select(F.col("key"), F.col("h.id").alias("hub"), F.col("h.f").alias("fh"), F.col("h.c").alias("ch"))
+            met = left.join(hub, "key").where((F.col("id") != F.col("hub")) & F.coalesce(F.col("c") != F.col("ch"), F.lit(True)) & _near_counts("f", "fh", kinds))
+            pairs = met.groupBy(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).agg(F.collect_set("kind").alias("kinds"))
+        pairs = cut(pairs, "pairs")
+        links = _verified_links(pairs, texts, kinds)
+        edges = links if comp is None else links.unionAll(comp.select(F.col("component").alias("a"), F.col("node").alias("b")))
+        new = components(edges, native=True)
+        for x in (pairs, links, *([left, comp] if comp is not None else [])):
+            discard(x)
+        comp = new
+    return comp
+
+
+def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, min_edit_chars: int = MIN_EDIT_CHARS, short_edit_chars: int | None = None, word_classes: tuple = (), count_links: bool = True) -> DataFrame:
     """(doc_id, line_no, n_chars, class_doc, class_line, n_links, kept) for every line of at least min_chars characters.
 
     (class_doc, class_line) is the first occurrence of the line's class, kept marks it; n_links counts different lines that are
     linked with the line directly: by `threshold` edits of characters (one edit from short_edit_chars to below min_edit_chars), or by the
-    edits of words that word_classes allow. Equal lines are one node, so copies make no links; a line is known by two 64-bit
-    hashes. Documents without id or text have no lines here, empty lines are too short; rows that repeat an id count as one document. A text is
+    edits of words that word_classes allow. Without count_links there is no n_links and the classes are the same: pairs of lines that are
+    known to be of one class aren't compared, so a large class makes no row for each of its links. Equal lines are one node, so copies
+    make no links; a line is known by two 64-bit hashes. Documents without id or text have no lines here, empty lines are too short; rows that repeat an id count as one document. A text is
     split whole, so a line of a very long text costs what other lines cost; one line may be as long as a row's value. An empty
     table gives an empty one. Other columns are ignored.
     """
@@ -259,33 +327,24 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = lines.select("id", "id2", "line", "n").join(few(ids), "id", "left_semi").groupBy("id", "id2").agg(F.any_value("line").alias("line"), F.any_value("n").alias("n"))
     texts = cut(texts.select("id", "id2", "line", letter_counts(F.col("line"), F.col("n")).alias("letters"), word_counts(F.split("line", " ")).alias("words")), "texts")
     by_words = F.col("kind").isin([k for k, kind in enumerate(kinds) if kind[3]])
-    counts = texts.groupBy("id").agg(F.max("letters").alias("letters"), F.max("words").alias("words"), F.count("*").alias("n"))
-    owned = members.where("own").groupBy("id", "kind").agg(F.collect_list("key").alias("keys"))  # a few for each class of a line
-    known = members.join(counts, "id").join(owned, ["id", "kind"], "left")
-    known = known.select("key", "id", "kind", "own", F.coalesce("keys", F.array().cast("array<bigint>")).alias("keys"), F.when(F.col("n") == 1, F.when(by_words, F.col("words")).otherwise(F.col("letters"))).alias("f"))
+    counts = texts.groupBy("id").agg(F.max("letters").alias("letters"), F.max("words").alias("words"), F.count("*").alias("n"), F.max("id2").alias("id2"))
+    known = members.join(counts, "id")
+    if count_links:
+        owned = members.where("own").groupBy("id", "kind").agg(F.collect_list("key").alias("keys"))  # a few for each class of a line
+        known = known.join(owned, ["id", "kind"], "left").withColumn("keys", F.coalesce("keys", F.array().cast("array<bigint>")))
+    known = known.select("key", "id", "kind", "own", *(["keys"] if count_links else []), F.when(F.col("n") == 1, F.when(by_words, F.col("words")).otherwise(F.col("letters"))).alias("f"), F.when(F.col("n") == 1, F.struct("id", "id2")).alias("c"))
     known = cut(known, "members")
-    probe = known.select("key", "kind", F.col("id").alias("b"), F.col("f").alias("fb"), F.col("own").alias("ob"), F.col("keys").alias("kb"))
-    index = known.where("own").select("key", F.col("id").alias("a"), F.col("f").alias("fa"), F.col("keys").alias("ka"))
-    allowed = F.element_at(F.array(*(F.lit(t) for t, *_ in kinds)), F.col("kind") + 1)
-    near_counts = F.coalesce(may_be_near(F.col("fa"), F.col("fb"), allowed), F.lit(True))
-    # lines with keys of their own in common meet under the least of these, others under the keys that one has and the other probes
-    once = F.when(F.col("ob"), (F.col("a") < F.col("b")) & (probe["key"] == F.array_min(F.array_intersect("ka", "kb")))).otherwise(~F.arrays_overlap("ka", "kb"))
-    met = probe.join(index, (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & near_counts & once)
-    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "kind").groupBy("a", "b").agg(F.collect_set("kind").alias("kinds"))
-    pairs = cut(pairs, "pairs")
-    line = lambda side: F.struct("id", "id2").alias(side)
-    full = pairs.join(texts.select(F.col("id").alias("a"), line("la"), F.col("line").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), line("lb"), F.col("line").alias("tb")), "b")
-    # by words first, under the largest threshold that a pair has met; what that links isn't compared by characters again
-    of = lambda w: [(k, t) for k, (t, _, _, words, _) in enumerate(kinds) if words == w]
-    by_words = [verified_words(full.where(F.array_max("kinds") == k), "ta", "tb", t).select("la", "lb") for k, t in of(True)]
-    linked = cut(reduce(DataFrame.union, by_words).distinct(), "linked") if by_words else full.select("la", "lb").where("false")
-    left = full.join(linked, ["la", "lb"], "left_anti")
-    found = [verified(left.where(F.array_contains("kinds", k)), "ta", "tb", t).select("la", "lb") for k, t in of(False)]
-    every = reduce(DataFrame.union, [reread(linked) if by_words else linked, *found])
-    links = cut(every.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), "links")
-    comp = components(links, native=True)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    near = degree.join(comp, "node", "left").select("node.id", "node.id2", "n_links", F.coalesce("component", "node").alias("component"))
+    if count_links:
+        pairs = cut(_pairs(known, kinds), "pairs")
+        links = _verified_links(pairs, texts, kinds)
+        discard(pairs)
+        comp = components(links, native=True)
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+        near = degree.join(comp, "node", "left").select("node.id", "node.id2", "n_links", F.coalesce("component", "node").alias("component"))
+    else:
+        comp = links = _connected(known, texts, kinds)
+        nodes = comp.select("node", "component").unionAll(comp.select(F.col("component").alias("node"), "component").distinct())
+        near = nodes.select("node.id", "node.id2", F.lit(None).cast("long").alias("n_links"), "component")
     # a row for each line that has copies or links: its first place and, with links, the first place of its component
     alone = places.join(few(near.select("id", "id2")), ["id", "id2"], "left_semi").groupBy("id", "id2").agg(F.min(F.struct("doc_id", "line_no")).alias("own_first"))
     linked = cut(near.join(alone, ["id", "id2"]).select("id", "id2", "n_links", "component", "own_first"), "linked")
@@ -295,8 +354,10 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = places.join(named, ["id", "id2"], "left")
     top = lambda c: F.coalesce(F.col(f"top.{c}"), F.col(c))
     out = rows.select("doc_id", "line_no", F.col("n").cast("long").alias("n_chars"), top("doc_id").alias("class_doc"), top("line_no").alias("class_line"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    for x in (members, ids, texts, known, pairs, links, linked, tops, firsts):
+    for x in (members, ids, texts, known, links, linked, tops, firsts):
         discard(x)
+    if not count_links:
+        out = out.drop("n_links")
     return out.withColumn("kept", (F.col("doc_id") == F.col("class_doc")) & (F.col("line_no") == F.col("class_line")))
 
 
@@ -306,7 +367,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows without id or text stay as they are. Rows that repeat an id lose the line numbers that any of them loses only where the line itself
     isn't kept for that document. Columns of any name may stand beside; none is read but the two named and n_chars.
     """
-    gone = line_classes(docs, id_col, text_col, **options).where("not kept").select("doc_id", "line_no").distinct()
+    gone = line_classes(docs, id_col, text_col, count_links=False, **options).where("not kept").select("doc_id", "line_no").distinct()
     gone = gone.groupBy("doc_id").agg(F.collect_list("line_no").alias("lines"))  # line numbers of one document
     x = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row")).join(gone.select(F.struct("doc_id", "lines").alias("gone")), F.col(f"row.`{id_col}`").cast("long") == F.col("gone.doc_id"), "left")
     text, lost = F.col(f"row.`{text_col}`"), F.col("gone").isNotNull()
@@ -318,4 +379,4 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_classes(table(spark, sf_dir, "documents"), **WHOLE)
+    return line_classes(table(spark, sf_dir, "documents"), **WHOLE, count_links=False)

@@ -193,6 +193,31 @@ def test_short_lines_have_rows_and_links(spark):
     assert {i: r.class_doc for i, r in got.items()} == {0: 0, 1: 1, 2: 0, 3: 3, 4: 3, 5: 5, 6: 5, 7: 5, 8: 8, 9: 8, 10: 10, 11: 11}
 
 
+def test_classes_without_links_are_the_same(spark, monkeypatch):
+    rng = random.Random(17)
+    vocab = [f"word{i}" for i in range(300)]
+    base = [rng.choice(vocab) for _ in range(30)]
+    family = [list(base) for _ in range(120)]  # one large class, most of it within a few words of one another
+    for i, x in enumerate(family):
+        for _ in range(1 + i % 3):
+            x[rng.randrange(30)] = rng.choice(vocab)
+    chain = [list(family[0])]
+    for _ in range(12):  # lines that only their neighbours in the chain are near to
+        chain.append(list(chain[-1]))
+        chain[-1][rng.randrange(30)] = rng.choice(vocab)
+    short = ["".join(rng.choice("abc ") for _ in range(rng.randint(10, 26))) for _ in range(60)]
+    lines = [" ".join(x) for x in family + chain] + short + [edited(rng, rng.choice(short), 1) for _ in range(60)]
+    rng.shuffle(lines)
+    docs = docs_of(spark, lines)
+    want = {(r.doc_id, r.line_no): (r.class_doc, r.class_line, r.kept) for r in line_dedup.line_classes(docs, **line_dedup.WHOLE).collect()}
+    made, pairs = [], line_dedup._verified_links
+    monkeypatch.setattr(line_dedup, "_verified_links", lambda p, *a: made.append(p.count()) or pairs(p, *a))
+    got = line_dedup.line_classes(docs, **line_dedup.WHOLE, count_links=False)
+    assert "n_links" not in got.columns
+    assert {(r.doc_id, r.line_no): (r.class_doc, r.class_line, r.kept) for r in got.collect()} == want
+    assert len({v[:2] for v in want.values()}) < len(want) / 2 and sum(made) < 120 * 119 / 4
+
+
 def test_tiff_round_trips():
     rng = random.Random(4)
     datas = [b"", b"a", b"aaaa" * 5000, rng.randbytes(20000), b"abc" * 9000, bytes(range(256)) * 40]
