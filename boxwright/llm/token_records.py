@@ -30,6 +30,8 @@ FRAME = HEADER + 4 + 1
 MASK_DELTA = 0xA282EAD8
 #: Bytes of text for one shard; a longer text has a shard's rest for itself.
 SHARD_TEXT_BYTES = 24 << 20
+#: Bytes of strings whose checksums are computed together; one longer string is by itself.
+CRC_BYTES = 1 << 19
 #: Stands for a null id in a record.
 NULL_ID = -(1 << 63)
 
@@ -87,10 +89,16 @@ def _shift(crc: np.ndarray, n: np.ndarray) -> np.ndarray:
     return crc
 
 
-def crc32c(parts: list[bytes]) -> np.ndarray:
-    """CRC-32C of each string. Works through 256-byte pieces of all strings together, then joins the pieces' remainders."""
+def crc32c(parts: list[bytes] | list[memoryview]) -> np.ndarray:
+    """CRC-32C of each string, CRC_BYTES of them at a time: the work takes some thirty bytes of memory for each byte."""
     if not parts:
         return np.zeros(0, np.uint32)
+    offs = np.cumsum([0, *map(len, parts)])
+    return np.concatenate([_crc32c(parts[i:j]) for i, j in blocks(offs, CRC_BYTES)])
+
+
+def _crc32c(parts: list[bytes] | list[memoryview]) -> np.ndarray:
+    """Works through 256-byte pieces of all strings together, then joins the pieces' remainders."""
     size = np.fromiter(map(len, parts), np.int64, len(parts))
     lanes = 256
     count = np.maximum(1, -(-size // lanes))
@@ -149,9 +157,8 @@ def unframe(buf: memoryview) -> list[tuple[int, memoryview]]:
         at = end + 1
     if (masked(crc32c(heads)) != np.array(want_head, np.uint32)).any():
         raise ValueError("checksum of a length is wrong")
-    for i in range(0, len(out), 4096):
-        if (masked(crc32c([bytes(d) for _, d in out[i : i + 4096]])) != np.array(want_tail[i : i + 4096], np.uint32)).any():
-            raise ValueError("checksum of data is wrong")
+    if (masked(crc32c([d for _, d in out])) != np.array(want_tail, np.uint32)).any():
+        raise ValueError("checksum of data is wrong")
     return out
 
 
@@ -250,6 +257,8 @@ def _walk(dtype: str):
     """Shards (path, content) -> a row for each record, checksums verified."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for e in _encoders.values():  # this worker may have written before; nothing is encoded here
+            e.forget()
         for batch in batches:
             for r in range(batch.num_rows):
                 shard = batch.column(0)[r].as_py()

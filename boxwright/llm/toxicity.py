@@ -115,6 +115,14 @@ def _select(row: np.ndarray, f: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sort(ok[np.argsort(-np.abs(z[ok]), kind="stable")[:MAX_FEATURES]])
 
 
+def _places(chosen: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in chosen, whether it is there) of each feature."""
+    place = np.full(1 << SPACE_BITS, -1, np.int32)
+    place[chosen] = np.arange(len(chosen), dtype=np.int32)
+    at = place[f]
+    return at, at >= 0
+
+
 def fit_chain(rows: np.ndarray, feats: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> dict:
     """labels: rows x categories of 0/1. Returns features, weights by category, the weights of earlier logits and bias, thresholds."""
     n, k = labels.shape
@@ -126,18 +134,20 @@ def fit_chain(rows: np.ndarray, feats: np.ndarray, labels: np.ndarray, fold: np.
             own = fold != part
             if not own.any():
                 continue
-            place = np.cumsum(own) - 1
+            place = (np.cumsum(own) - 1).astype(np.int32)
             keep = own[rows]
             r, f = place[rows[keep]], feats[keep]
             chosen = _select(r, f, y[own])
-            at = np.searchsorted(chosen, f)
-            hit = np.r_[chosen, -1][at] == f
-            w, v = _logistic(r[hit], at[hit], int(own.sum()), len(chosen), dense[own], y[own])
+            at, hit = _places(chosen, f)
+            r, at = r[hit], at[hit]
+            del keep, f, hit
+            w, v = _logistic(r, at, int(own.sum()), len(chosen), dense[own], y[own])
+            del r, at
             if part == FOLDS:
                 models.append((chosen, w, v))
             else:
-                at = np.searchsorted(chosen, feats)
-                hit = (np.r_[chosen, -1][at] == feats) & ~own[rows]
+                at, hit = _places(chosen, feats)
+                hit &= ~own[rows]
                 z = np.bincount(rows[hit], w[at[hit]], n) + dense @ v
                 oof[~own] = z[~own]
         order = np.argsort(-oof, kind="stable")
@@ -169,10 +179,15 @@ def _fit_task(k: int):
         order = np.argsort(key, kind="stable")  # the fit doesn't depend on the order of arrival
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
-        r, f = place[np.concatenate(rows)], np.concatenate(feats).astype(np.int64)
-        by = np.lexsort((f, r))
+        pairs = place[np.concatenate(rows)] << SPACE_BITS
+        pairs |= np.concatenate(feats)
+        rows.clear()
+        feats.clear()
+        pairs.sort()
+        r, f = (pairs >> SPACE_BITS).astype(np.int32), (pairs & ((1 << SPACE_BITS) - 1)).astype(np.int32)
+        del pairs
         fold = (mix64(key[order].astype(np.uint64)) % np.uint64(FOLDS)).astype(int)
-        model = fit_chain(r[by], f[by], np.concatenate(labels)[order], fold)
+        model = fit_chain(r, f, np.concatenate(labels)[order], fold)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
     return run

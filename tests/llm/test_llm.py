@@ -218,6 +218,31 @@ def test_classes_without_links_are_the_same(spark, monkeypatch):
     assert len({v[:2] for v in want.values()}) < len(want) / 2 and sum(made) < 120 * 119 / 4
 
 
+def test_checksums_and_fit_take_bounded_memory():
+    import tracemalloc
+
+    def peak(f):
+        tracemalloc.start()
+        out = f()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most
+
+    rng = random.Random(29)
+    parts = [rng.randbytes(n) for n in [0, 1, 1000, token_records.CRC_BYTES + 5, 3, *[2000] * 6000]]
+    want = [int(token_records._crc32c([x])[0]) for x in parts[:8]]
+    token_records.crc32c(parts[:2])
+    got, most = peak(lambda: token_records.crc32c(parts))
+    assert got[:8].tolist() == want and most < 4 * sum(map(len, parts))
+    words_ = [f"w{i}x{i * i % 977}" for i in range(20000)]
+    texts = [" ".join(rng.choices(words_, k=200)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array(texts), pa.array([i % 2 for i in range(3000)], pa.int32()), pa.array([i % 3 // 2 for i in range(3000)], pa.int32())], names=["doc_id", "text", "y0", "y1"])
+    pairs = sum(len(toxicity._distinct(*toxicity.features(w))[0]) for _, _, w in words.word_blocks(batch.column(1)))
+    _, most = peak(lambda: list(toxicity._fit_task(2)(iter([batch]))))
+    print("fit bytes a pair", most / pairs, most >> 20)
+    assert most < (200 << 20) + 60 * pairs
+
+
 def test_tiff_round_trips():
     rng = random.Random(4)
     datas = [b"", b"a", b"aaaa" * 5000, rng.randbytes(20000), b"abc" * 9000, bytes(range(256)) * 40]
