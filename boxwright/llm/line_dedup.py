@@ -7,7 +7,7 @@ places off if counted from the start, and at most threshold + 1 - i off if count
 is indexed under its segments and probes with its substrings at those places: threshold + 1 own keys, and (threshold + 1)^2 / 2 in all.
 A line that is at most `threshold` longer than the class below belongs to both, so that lines of different length meet.
 
-Keys that two lines share give pairs. Counts of letters (of hashed words) must nearly agree before a pair is verified: common
+Keys that two lines share give pairs. Counts of letters and parities of words must nearly agree before a pair is verified: common
 beginnings and ends go (they don't change the distance), and the rest runs through a banded bit-parallel automaton, whose
 masks of 2 * threshold + 1 bits (one for each number of errors) hold the diagonals that are still alive.
 
@@ -20,7 +20,7 @@ Lines of one class (components of verified links) keep their first occurrence by
 from __future__ import annotations
 
 import math
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -99,22 +99,18 @@ def letter_counts(line: Column, length: Column) -> Column:
     return out
 
 
-def _equals(i: int, h: Column) -> Column:
-    return h == i
+def word_parities(words: Column) -> Column:
+    """Struct of four longs: in each, the parities of the counts of words in 64 classes of a hash of its own."""
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
 
+    def parity(i: int) -> Column:
+        return F.aggregate(hashes, F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 6 * i).bitwiseAND(F.lit(63)).cast("int"))))
 
-def word_counts(words: Column) -> Column:
-    """Counts of words in sixteen hashed classes, modulo 16, in the half bytes of a long."""
-    kinds = F.transform(words, lambda w: F.pmod(F.hash(w), F.lit(16)))
-    out = F.lit(0).cast("long")
-    for i in range(16):
-        own = F.size(F.filter(kinds, partial(_equals, i)))
-        out = out.bitwiseOR(F.shiftleft((own % 16).cast("long"), 4 * i))
-    return out
+    return F.struct(*(parity(i).alias(f"w{i}") for i in range(4)))
 
 
 def may_be_near(a: Column, b: Column, threshold: int | Column) -> Column:
-    """Whether counts of letters or words allow so few edits: each edit changes two of them by one at most."""
+    """Whether counts of letters allow so few edits: each edit changes two of them by one at most."""
     total = F.lit(0)
     for i in range(len(LETTERS)):
         d = F.abs(F.shiftright(a, 4 * i).bitwiseAND(F.lit(15)) - F.shiftright(b, 4 * i).bitwiseAND(F.lit(15)))
@@ -174,7 +170,16 @@ def verified_words(pairs: DataFrame, a: str, b: str, threshold: int) -> DataFram
     x = _once(x, _tail=F.least(F.col("_back"), F.col("_most") - F.col("_head")))
     x = _once(x, _m=F.size("_u") - F.col("_head") - F.col("_tail"), _n=F.size("_v") - F.col("_head") - F.col("_tail"))
     x = _once(x, _p=F.slice("_u", F.col("_head") + 1, F.col("_m")), _t=F.slice("_v", F.col("_head") + 1, F.col("_n")))
-    return x.where((F.greatest("_m", "_n") <= threshold) | _alive(threshold)).select(*pairs.columns)
+    # as in verified(): both ends differ, so the inside takes threshold - 2 edits at most and one of threshold - 1 pieces is whole
+    short, pieces = F.greatest("_m", "_n") <= threshold, threshold - 1
+    if not pieces:
+        return x.where(short).select(*pairs.columns)
+    spaced = lambda w: F.concat(F.lit(" "), F.array_join(w, " "), F.lit(" "))
+    x = _once(x, _other=spaced(F.col("_t")), _size=F.greatest(F.floor((F.col("_m") - 2) / pieces).cast("int"), F.lit(0)))
+    possible = short | (F.col("_m") < 3 + pieces)
+    for k in range(pieces):
+        possible = possible | F.contains("_other", spaced(F.slice("_p", 2 + k * F.col("_size"), F.col("_size"))))
+    return x.where(possible).where(short | _alive(threshold)).select(*pairs.columns)
 
 
 def _alive(threshold: int) -> Column:
@@ -227,9 +232,14 @@ def _kinds(threshold: int, min_edit_chars: int, short_edit_chars: int | None, wo
 
 
 def _near_counts(a: str, b: str, kinds: list[tuple]) -> Column:
-    """Whether two lines that share a key may be linked by their counts; unknown counts may."""
-    allowed = F.element_at(F.array(*(F.lit(t) for t, *_ in kinds)), F.col("kind") + 1)
-    return F.coalesce(may_be_near(F.col(a), F.col(b), allowed), F.lit(True))
+    """Whether two lines that share a key may be linked by their counts (letters, and parities w of words); unknown counts may.
+
+    An edit of a word changes the counts of two words at most, one of a character of three: it may part a word or join two.
+    """
+    of = lambda values: F.element_at(F.array(*(F.lit(x) for x in values)), F.col("kind") + 1)
+    flips = of([(2 if words else 3) * t for t, _, _, words, _ in kinds])
+    near = reduce(Column.__and__, (F.bit_count(F.col(f"{a}.w.w{i}").bitwiseXOR(F.col(f"{b}.w.w{i}"))) <= flips for i in range(4)))
+    return F.coalesce(near & (of([words for _, _, _, words, _ in kinds]) | may_be_near(F.col(f"{a}.letters"), F.col(f"{b}.letters"), of([t for t, *_ in kinds]))), F.lit(True))
 
 
 def _pairs(known: DataFrame, kinds: list[tuple], apart: bool = False) -> DataFrame:
@@ -264,12 +274,11 @@ def _verified_links(pairs: DataFrame, texts: DataFrame, kinds: list[tuple]) -> D
 def _connected(known: DataFrame, texts: DataFrame, kinds: list[tuple]) -> DataFrame:
     """(node, component) of all links, without making every link: components().
 
-    First all lines of a key are held against its least line, then those that aren't of its class yet against its greatest; a row for
-    each line and key. At last lines of a key that are of different classes still are held against each other, all of them, so that
-    no link between classes is missed. Ids that stand for two lines belong to no known class and meet all.
+    First all lines of a key are held against its least and its greatest line: two rows for each line and key. Then lines of a key that
+    are of different classes still are held against each other, all of them, so that no link between classes is missed. Ids that stand for two lines belong to no known class and meet all.
     """
     comp = None
-    for pick in (F.min, F.max, None):
+    for hubs in (True, False):  # each round costs the driver its plans
         if comp is not None:  # keys whose lines are all of one class have done their part
             own = comp.select(F.col("node").alias("c"), "component")
             new = known.join(own, "c", "left").withColumn("c", F.coalesce("component", "c")).drop("component")
@@ -277,10 +286,11 @@ def _connected(known: DataFrame, texts: DataFrame, kinds: list[tuple]) -> DataFr
             left = cut(new.join(open_keys, "key", "left_semi"), "members-left")
         else:
             left = known
-        if pick is None:
+        if not hubs:
             pairs = _pairs(left, kinds, apart=True)
         else:
-            hub = left.where("own").groupBy("key").agg(pick(F.struct("id", "f", "c")).alias("h")).select(F.col("key"), F.col("h.id").alias("hub"), F.col("h.f").alias("fh"), F.col("h.c").alias("ch"))
+            ends = left.where("own").groupBy("key").agg(F.min(F.struct("id", "f", "c")).alias("lo"), F.max(F.struct("id", "f", "c")).alias("hi"))
+            hub = ends.select("key", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("h")).select(F.col("key"), F.col("h.id").alias("hub"), F.col("h.f").alias("fh"), F.col("h.c").alias("ch"))
             met = left.join(hub, "key").where((F.col("id") != F.col("hub")) & F.coalesce(F.col("c") != F.col("ch"), F.lit(True)) & _near_counts("f", "fh", kinds))
             pairs = met.groupBy(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).agg(F.collect_set("kind").alias("kinds"))
         pairs = cut(pairs, "pairs")
@@ -325,14 +335,13 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ids = cut(members.select("id").distinct(), "ids")
     few = F.broadcast if ids.count() <= BROADCAST_ROWS else lambda x: x
     texts = lines.select("id", "id2", "line", "n").join(few(ids), "id", "left_semi").groupBy("id", "id2").agg(F.any_value("line").alias("line"), F.any_value("n").alias("n"))
-    texts = cut(texts.select("id", "id2", "line", letter_counts(F.col("line"), F.col("n")).alias("letters"), word_counts(F.split("line", " ")).alias("words")), "texts")
-    by_words = F.col("kind").isin([k for k, kind in enumerate(kinds) if kind[3]])
-    counts = texts.groupBy("id").agg(F.max("letters").alias("letters"), F.max("words").alias("words"), F.count("*").alias("n"), F.max("id2").alias("id2"))
+    texts = cut(texts.select("id", "id2", "line", letter_counts(F.col("line"), F.col("n")).alias("letters"), word_parities(F.split("line", " ")).alias("w")), "texts")
+    counts = texts.groupBy("id").agg(F.max("letters").alias("letters"), F.max("w").alias("w"), F.count("*").alias("n"), F.max("id2").alias("id2"))
     known = members.join(counts, "id")
     if count_links:
         owned = members.where("own").groupBy("id", "kind").agg(F.collect_list("key").alias("keys"))  # a few for each class of a line
         known = known.join(owned, ["id", "kind"], "left").withColumn("keys", F.coalesce("keys", F.array().cast("array<bigint>")))
-    known = known.select("key", "id", "kind", "own", *(["keys"] if count_links else []), F.when(F.col("n") == 1, F.when(by_words, F.col("words")).otherwise(F.col("letters"))).alias("f"), F.when(F.col("n") == 1, F.struct("id", "id2")).alias("c"))
+    known = known.select("key", "id", "kind", "own", *(["keys"] if count_links else []), F.when(F.col("n") == 1, F.struct("letters", "w")).alias("f"), F.when(F.col("n") == 1, F.struct("id", "id2")).alias("c"))
     known = cut(known, "members")
     if count_links:
         pairs = cut(_pairs(known, kinds), "pairs")
@@ -379,4 +388,4 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_classes(table(spark, sf_dir, "documents"), **WHOLE, count_links=False)
+    return line_classes(table(spark, sf_dir, "documents"), **WHOLE)

@@ -218,6 +218,26 @@ def test_classes_without_links_are_the_same(spark, monkeypatch):
     assert len({v[:2] for v in want.values()}) < len(want) / 2 and sum(made) < 120 * 119 / 4
 
 
+def test_word_parities_part_lines_but_no_links(spark, monkeypatch):
+    rng = random.Random(23)
+    vocab = [f"word{i}" for i in range(900)]
+    base = [rng.choice(vocab) for _ in range(80)]
+    family = [" ".join(x) for x in [[rng.choice(vocab) if i in own else w for i, w in enumerate(base)] for own in (set(rng.sample(range(80), 4)) for _ in range(60))]]
+    chars = [edited(rng, family[0], 2) for _ in range(30)] + [family[0].replace(" ", "", 2), family[0].replace("w", " ", 2)]
+    lines = list(dict.fromkeys(family + chars))
+    made, pairs = [], line_dedup._verified_links
+    monkeypatch.setattr(line_dedup, "_verified_links", lambda p, *a: made.append(p.count()) or pairs(p, *a))
+    got = line_dedup.line_classes(docs_of(spark, lines), **line_dedup.WHOLE).collect()
+    split, want = [x.split(" ") for x in lines], dict.fromkeys(range(len(lines)), 0)
+    for i in range(len(lines)):
+        for j in range(i):
+            if distance(split[i], split[j]) <= 4 or distance(lines[i], lines[j]) <= 2:
+                want[i] += 1
+                want[j] += 1
+    assert {r.doc_id: r.n_links for r in got} == want and sum(want.values()) > 400
+    assert sum(made) < sum(want.values()) / 2 + 150  # most of the family's 1770 pairs, eight words apart, are never compared
+
+
 def test_checksums_and_fit_take_bounded_memory():
     import tracemalloc
 
