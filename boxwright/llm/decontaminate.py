@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .shared import table
 from .words import Words, mix64, word_blocks
+from .workers import lean
 
 SEED = 3
 #: Items with fewer words have no copies with edits: documents that hold their very sequence of words are found.
@@ -179,7 +180,7 @@ def _ready(docs: DataFrame, items: Items):
                     total[int(g)] = total.get(int(g), 0) + int(c)
         yield pa.RecordBatch.from_arrays([pa.array([*total, None], pa.int64()), pa.array([*total.values(), n], pa.int64())], names=["gram", "n"])
 
-    found = docs.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()  # a row for each seed of the block at most
+    found = docs.mapInArrow(lean(count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()  # a row for each seed of the block at most
     counts = {r[0]: r[1] for r in found}
     items.keep_rare(counts, counts.pop(None, 0) or 0)
     return spark.sparkContext.broadcast(items)
@@ -207,7 +208,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                         cols = list(zip(*found, strict=True))
                         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.array(cols[0]) + i)), *(pa.array(c, t) for c, t in zip(cols[1:], (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()), strict=True))], names=["doc_id", "item_id", "score", "similarity", "first_word", "end_word", "equal_words"])
 
-        found = src.mapInArrow(run, schema)
+        found = src.mapInArrow(lean(run), schema)
         out = found if out is None else out.unionByName(found)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -224,7 +225,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") ->
                     keep[[i + x[0] for x in leaks_of_block(w, sent.value)]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(lean(run), docs.schema)
     return docs
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .components import components
 from .shared import cut, discard, table
 from .words import mix64, shingles, word_blocks
+from .workers import lean
 
 BUCKETS, BANDS, ROWS, MANTISSA = 256, 32, 4, 10
 #: Members of a bucket that one block holds when what is left is compared.
@@ -294,7 +295,7 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     """(doc_id, h, n_shingles, component_id) for every row with an id; h is a hash of the row's text."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("h")).where("doc_id is not null")
     threshold = percent / 100
-    sketch = src.mapInArrow(_sketch(k), "doc_id long, h long, n_shingles long, k1 long, k2 long, sig binary")
+    sketch = src.mapInArrow(lean(_sketch(k)), "doc_id long, h long, n_shingles long, k1 long, k2 long, sig binary")
     sketch = cut(sketch.withColumn("row", F.monotonically_increasing_id()), "sketch")  # numbers are fixed once they are written
     same = sketch.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min(F.struct("row", "doc_id", "h", "sig")).alias("m"), F.min("doc_id").alias("least"))
     reps = cut(same.select("k1", "k2", F.col("m.row").alias("rep"), F.col("m.doc_id").alias("doc"), F.col("m.h").alias("h"), F.col("n_shingles").alias("n"), F.col("m.sig").alias("sig"), "least"), "reps")

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .chunks import ChunkTable, gather
 from .shared import table
 from .words import blocks, text_buffers
+from .workers import give_back, kept, lean
 
 MARK = "▁"
 
@@ -218,13 +219,8 @@ def _model_type(proto: bytes) -> int:
     return 1
 
 
-_encoders: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    return kept(("pieces", path), lambda: PieceEncoder(path))
 
 
 def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,11 +230,12 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
         enc = encoder(model)
         for batch in batches:
             raw, offs = text_buffers(batch.column(1))
-            for i, j in blocks(offs, 4 << 20):
+            for i, j in blocks(offs, 1 << 20):
                 ids, b = enc.encode(raw[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(b, pa.int32()), pa.array(ids.astype(np.int32)))], names=["doc_id", "ids"])
+                give_back()  # new chunks leave as much behind as the table holds
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(run, keeps=True), "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
@@ -258,7 +255,7 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids_crc32", "text"],
                 )
 
-    return encoded.mapInArrow(run, "doc_id long, n_tokens long, ids_crc32 long, text string")
+    return encoded.mapInArrow(lean(run, keeps=True), "doc_id long, n_tokens long, ids_crc32 long, text string")
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .shared import table
 from .words import Words, mix64, span_hash, word_blocks
+from .workers import lean
 
 #: Most labelled rows that a fit takes, drawn by a hash of their ids; all are taken where there are fewer.
 FIT_ROWS = 10_000
@@ -209,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[tuple[str, Column]]
     sample = y.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = known.join(F.broadcast(sample), "doc_id")  # bounded by fit_rows
-    found = rows.select("doc_id", "text", *(f"y{i}" for i in range(len(cols)))).repartition(1).mapInArrow(_fit_task(len(cols)), "model binary").collect()
+    found = rows.select("doc_id", "text", *(f"y{i}" for i in range(len(cols)))).repartition(1).mapInArrow(lean(_fit_task(len(cols))), "model binary").collect()
     return pickle.loads(found[0][0]) | {"names": [n for n, _ in categories]} if found else None
 
 
@@ -252,7 +253,7 @@ def toxicity(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_c
                 z = score_block(w, m)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *(pa.array(1 / (1 + np.exp(-np.clip(x, -30, 30)))) for x in z), pa.array(z[-1] >= m["thresholds"][-1])], names=["doc_id", *(f"p_{x}" for x in names), "rejected"])
 
-    return src.mapInArrow(run, "doc_id long, " + "".join(f"p_{x} double, " for x in names) + "rejected boolean")
+    return src.mapInArrow(lean(run), "doc_id long, " + "".join(f"p_{x} double, " for x in names) + "rejected boolean")
 
 
 def drop_toxic(docs: DataFrame, model: dict | None, text_col: str = "text") -> DataFrame:
@@ -267,7 +268,7 @@ def drop_toxic(docs: DataFrame, model: dict | None, text_col: str = "text") -> D
             if keep:
                 yield batch.filter(pa.array(np.concatenate(keep)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def label_categories() -> list[tuple[str, Column]]:

@@ -409,6 +409,26 @@ def test_pieces(spark):
         assert own.encode(raw, np.array([0, len(raw)]))[0].tolist() == lib.encode(x)
 
 
+def test_workers_drop_what_another_stage_kept(spark):
+    import public_tokenizers
+
+    def encoders(batches):
+        import gc
+
+        n = sum(type(x).__name__ == "PieceEncoder" for x in gc.get_objects())
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
+
+    docs = docs_of(spark, some_texts(20)).repartition(64)  # tasks take waiting workers in turn: 64 come to each of them
+    held = lambda: sum(r.n for r in spark.range(0, 64, 1, 64).mapInArrow(encoders, "n long").collect())
+    sentencepieces.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model")).count()
+    assert held() > 0
+    labels = spark.createDataFrame([(i, i % 2, i % 3 // 2) for i in range(30)], "doc_id long, quality int, toxic int")
+    toxicity.drop_toxic(docs, toxicity.fit(docs, labels, toxicity.label_categories())).count()
+    assert held() == 0
+
+
 def unigram_model(pieces):
     """A serialized unigram model by hand: pieces with scores, identity normalisation."""
     import struct
