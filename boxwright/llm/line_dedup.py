@@ -14,6 +14,11 @@ masks of 2 * threshold + 1 bits (one for each number of errors) hold the diagona
 Long lines are also held against each other word by word: the same join over arrays of words, with a threshold in words that grows
 with the line. Each kind of comparison has its own range of lengths; a pair is compared under the range of its shorter line.
 
+Links are counted without a pair for each where many lines share a key: lines of as many words are held against a pattern, the
+commonest word at each place, or any word where none has half of the lines. Two lines that differ from a pattern with w such places
+at p and q others are w + p + q edits of words apart at most. Pairs that this links are never made; how many a line has is a sum
+over the numbers of lines at each distance. All other pairs are compared.
+
 Lines of one class (components of verified links) keep their first occurrence by (document, line number).
 """
 
@@ -40,6 +45,8 @@ WHOLE: dict = {"min_chars": 1, "short_edit_chars": 10, "word_classes": WORD_CLAS
 LETTERS = "enatiorshdlucmgb"
 #: Copies of one line that may probe each by itself.
 MANY_COPIES = 50
+#: Lines of one key from which their links are counted by a pattern before pairs are made.
+FAMILY = 64
 #: How much longer lines of the next class of length are.
 GROWTH = 1.2
 #: Ids that may be broadcast (8 bytes each); beyond, joins deal both sides out.
@@ -245,16 +252,72 @@ def _near_counts(a: str, b: str, kinds: list[tuple]) -> Column:
 def _pairs(known: DataFrame, kinds: list[tuple], apart: bool = False) -> DataFrame:
     """(a, b, kinds): lines that share a key which one of them has as its own; with apart those of different c."""
     keys = lambda x: [] if apart else [F.col("keys").alias(x)]
-    probe = known.select("key", "kind", F.col("id").alias("b"), F.col("f").alias("fb"), F.col("own").alias("ob"), F.col("c").alias("cb"), *keys("kb"))
-    index = known.where("own").select("key", F.col("id").alias("a"), F.col("f").alias("fa"), F.col("c").alias("ca"), *keys("ka"))
+    near = lambda x: [F.col("near").alias(x)] if "near" in known.columns else []
+    probe = known.select("key", "kind", F.col("id").alias("b"), F.col("f").alias("fb"), F.col("own").alias("ob"), F.col("c").alias("cb"), *keys("kb"), *near("nb"))
+    index = known.where("own").select("key", F.col("id").alias("a"), F.col("f").alias("fa"), F.col("c").alias("ca"), *keys("ka"), *near("na"))
+    # links that a pattern shows are counted without a pair
+    unknown = ~F.coalesce((F.col("na.g") == F.col("nb.g")) & (F.col("na.p") + F.col("nb.p") <= F.col("na.room")), F.lit(False)) if near("") else F.lit(True)
     if apart:
         once = F.coalesce(F.col("ca") != F.col("cb"), F.lit(True)) & (~F.col("ob") | (F.col("a") < F.col("b")))
     else:  # lines with keys of their own in common meet under the least of these, others under the keys that one has and the other probes
         once = F.when(F.col("ob"), (F.col("a") < F.col("b")) & (probe["key"] == F.array_min(F.array_intersect("ka", "kb")))).otherwise(~F.arrays_overlap("ka", "kb"))
-    met = probe.join(index, (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & once & _near_counts("fa", "fb", kinds))
+    met = probe.join(index, (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & once & unknown & _near_counts("fa", "fb", kinds))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "kind").groupBy("a", "b").agg(F.collect_set("kind").alias("kinds"))
 
 
+def _families(members: DataFrame, texts: DataFrame, kinds: list[tuple]) -> DataFrame | None:
+    """(id, id2, g, p, room): lines of a family g, whose pattern they differ from at p places; two with p + p <= room are linked.
+
+    None if no key has many lines. Lines belong together by their keys (the least id that keys reach in two steps) and number of words.
+    """
+    words = [(k, low, t) for k, (t, low, _, by_words, _) in enumerate(kinds) if by_words]
+    near = cut(members.where(F.col("many") & F.col("own") & F.col("kind").isin([k for k, *_ in words])).select("key", "id").distinct(), "families")
+    label = near.withColumn("g", F.col("id"))
+    for _ in range(2):
+        low = label.groupBy("key").agg(F.min("g").alias("g"))
+        label = near.join(near.join(low, "key").groupBy("id").agg(F.min("g").alias("g")), "id")
+    label = cut(label.select("id", "g").distinct(), "families")
+    discard(near)
+    n = label.count()
+    if not n:
+        discard(label)
+        return None
+    lines = texts.select("id", "id2", F.split("line", " ").alias("u")).join(F.broadcast(label) if n <= BROADCAST_ROWS else label, "id")
+    lines = lines.groupBy("id").agg(F.min("id2").alias("id2"), F.min("u").alias("u"), F.min("g").alias("g"), F.count("*").alias("n")).where("n = 1")  # one line an id
+    lines = cut(lines.select("id", "id2", "u", F.size("u").alias("n"), F.xxhash64("g", F.size("u")).alias("g")), "families")
+    # the pattern is a line, mended at places where it isn't like the others
+    first = reread(lines).groupBy("g").agg(F.min_by("u", "id").alias("v"), F.count("*").alias("total"))
+    odd = F.filter(F.transform("u", lambda w, i: F.when(w != F.get("v", i), F.struct(i.alias("at"), w.alias("word")))), lambda x: x.isNotNull())
+    held = cut(lines.join(first, "g").where(F.col("total") > 1).select("id", "id2", "g", "n", "total", "u", odd.alias("odd")), "families")
+    common = held.select("g", "total", F.explode("odd").alias("x")).groupBy("g", "total", "x.at", "x.word").agg(F.count("*").alias("c"))
+    common = common.groupBy("g", "total", "at").agg(F.max(F.struct("c", "word")).alias("top"), F.sum("c").alias("others"))
+    as_first = F.col("total") - F.col("others")
+    word = F.when(2 * F.greatest("top.c", as_first) >= F.col("total"), F.col("top.word"))  # null: any word
+    mends = common.where((F.col("top.c") > as_first) | (2 * as_first < F.col("total"))).groupBy("g").agg(F.collect_list(F.struct("at", word.alias("word"))).alias("mends"))
+    x = reread(held).join(mends, "g", "left").withColumn("mends", F.coalesce("mends", F.array().cast("array<struct<at:int,word:string>>")))
+    plain = F.size(F.filter("odd", lambda d: ~F.exists("mends", lambda m: m["at"] == d["at"])))
+    mended = F.size(F.filter("mends", lambda m: m["word"].isNotNull() & (m["word"] != F.get("u", m["at"]))))
+    t = F.lit(-1)
+    for _, low, most in words:  # as for a pair: the last range that begins at this number of words or below
+        t = F.when(F.col("n") >= low, F.lit(most)).otherwise(t)
+    room = t - F.size(F.filter("mends", lambda m: m["word"].isNull()))
+    out = cut(x.select("id", "id2", "g", (plain + mended).alias("p"), room.alias("room")).where("p <= room"), "families")
+    for y in (label, lines, held):
+        discard(y)
+    return out
+
+
+def _family_links(families: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, n): lines and how many others of their family a pattern links them with; (a, b): links that tie all of these together."""
+    node = F.struct("id", "id2")
+    sizes = families.groupBy("g", "p").agg(F.count("*").alias("n")).groupBy("g").agg(F.collect_list(F.struct("p", "n")).alias("sizes"))
+    with_self = F.aggregate(F.filter("sizes", lambda s: s["p"] + F.col("p") <= F.col("room")), F.lit(0).cast("long"), lambda n, s: n + s["n"])
+    counts = reread(families).join(sizes, "g").select(node.alias("node"), (with_self - F.when(2 * F.col("p") <= F.col("room"), 1).otherwise(0)).alias("n")).where("n > 0")
+    least = families.groupBy("g").agg(F.min(F.struct("p", "id", "id2")).alias("least"))
+    ties = reread(families).join(least, "g").where((F.col("p") + F.col("least.p") <= F.col("room")) & (F.col("id") != F.col("least.id")))
+    return counts, ties.select(F.struct("least.id", "least.id2").alias("a"), node.alias("b"))
+
+
 def _verified_links(pairs: DataFrame, texts: DataFrame, kinds: list[tuple]) -> DataFrame:
     """(a, b): nodes (id, id2) of the pairs that edits of words or characters link, as a table."""
     line = lambda side: F.struct("id", "id2").alias(side)
@@ -330,8 +393,8 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # members of keys that several lines have, one of them as its own: one exchange, read twice
     keys = keyed(compared, kinds, ["id"]).repartition("key")
     # kind is read by both, so that both read the same exchange
-    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("own").alias("own"), F.max("kind").alias("kind")).where("lo < hi and own and kind >= 0").select("key")
-    members = cut(keys.join(shared, "key").groupBy("key", "id", "kind").agg(F.max("own").alias("own")), "members")
+    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("own").alias("own"), F.max("kind").alias("kind"), F.count_if("own").alias("owners")).where("lo < hi and own and kind >= 0").select("key", (F.col("owners") > FAMILY).alias("many"))
+    members = cut(keys.join(shared, "key").groupBy("key", "id", "kind").agg(F.max("own").alias("own"), F.max("many").alias("many")), "members")
     ids = cut(members.select("id").distinct(), "ids")
     few = F.broadcast if ids.count() <= BROADCAST_ROWS else lambda x: x
     texts = lines.select("id", "id2", "line", "n").join(few(ids), "id", "left_semi").groupBy("id", "id2").agg(F.any_value("line").alias("line"), F.any_value("n").alias("n"))
@@ -341,14 +404,22 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if count_links:
         owned = members.where("own").groupBy("id", "kind").agg(F.collect_list("key").alias("keys"))  # a few for each class of a line
         known = known.join(owned, ["id", "kind"], "left").withColumn("keys", F.coalesce("keys", F.array().cast("array<bigint>")))
-    known = known.select("key", "id", "kind", "own", *(["keys"] if count_links else []), F.when(F.col("n") == 1, F.struct("letters", "w")).alias("f"), F.when(F.col("n") == 1, F.struct("id", "id2")).alias("c"))
+    families = _families(members, texts, kinds) if count_links and word_classes else None
+    if families is not None:
+        marks = families.select("id", F.struct("g", "p", "room").alias("near"))
+        known = known.join(F.broadcast(marks) if families.count() <= BROADCAST_ROWS else marks, "id", "left")
+    known = known.select("key", "id", "kind", "own", *(["keys"] if count_links else []), *(["near"] if families is not None else []), F.when(F.col("n") == 1, F.struct("letters", "w")).alias("f"), F.when(F.col("n") == 1, F.struct("id", "id2")).alias("c"))
     known = cut(known, "members")
     if count_links:
         pairs = cut(_pairs(known, kinds), "pairs")
         links = _verified_links(pairs, texts, kinds)
         discard(pairs)
-        comp = components(links, native=True)
-        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+        edges, ends = links, links.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("n"))
+        if families is not None:
+            counts, ties = _family_links(families)
+            edges, ends = links.unionAll(ties), ends.unionAll(counts)
+        comp = components(edges, native=True)
+        degree = ends.groupBy("node").agg(F.sum("n").alias("n_links"))
         near = degree.join(comp, "node", "left").select("node.id", "node.id2", "n_links", F.coalesce("component", "node").alias("component"))
     else:
         comp = links = _connected(known, texts, kinds)
@@ -363,7 +434,7 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = places.join(named, ["id", "id2"], "left")
     top = lambda c: F.coalesce(F.col(f"top.{c}"), F.col(c))
     out = rows.select("doc_id", "line_no", F.col("n").cast("long").alias("n_chars"), top("doc_id").alias("class_doc"), top("line_no").alias("class_line"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    for x in (members, ids, texts, known, links, linked, tops, firsts):
+    for x in (members, ids, texts, known, links, linked, tops, firsts, *([] if families is None else [families])):
         discard(x)
     if not count_links:
         out = out.drop("n_links")

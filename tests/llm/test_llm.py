@@ -238,6 +238,42 @@ def test_word_parities_part_lines_but_no_links(spark, monkeypatch):
     assert sum(made) < sum(want.values()) / 2 + 150  # most of the family's 1770 pairs, eight words apart, are never compared
 
 
+def test_links_of_a_family_are_counted_without_pairs(spark, monkeypatch):
+    rng = random.Random(41)
+    vocab = [f"word{i}" for i in range(500)]
+    lines = []
+    for n, size, more in ((14, 110, 0), (30, 110, 1), (70, 130, 4)):  # one place where each line has a word of its own, others here and there
+        base = [rng.choice(vocab) for _ in range(n)]
+        for i in range(size):
+            x = [f"own{i}" if k == 5 else w for k, w in enumerate(base)]
+            for _ in range(rng.randint(0, more)):
+                x[rng.randrange(n)] = rng.choice(vocab)
+            if i % 9 == 1:
+                x.insert(rng.randrange(n), rng.choice(vocab))
+            lines.append(tuple(x))
+        lines.append(tuple(base))
+    lines = list(dict.fromkeys(lines))
+    bags, link = [Counter(x) for x in lines], {i: set() for i in range(len(lines))}
+    for i, x in enumerate(lines):
+        for j, y in enumerate(lines[:i]):
+            most = max(t for n, t in line_dedup.WORD_CLASSES if n <= min(len(x), len(y)))
+            if abs(len(x) - len(y)) <= most and max((bags[i] - bags[j]).total(), (bags[j] - bags[i]).total()) <= most and distance(x, y) <= most:
+                link[i].add(j)
+                link[j].add(i)
+    first = {}
+    for i in link:
+        todo = [] if i in first else [i]
+        while todo:
+            if first.setdefault(k := todo.pop(), i) == i:
+                todo += [j for j in link[k] if j not in first]
+    made, pairs = [], line_dedup._verified_links
+    monkeypatch.setattr(line_dedup, "_verified_links", lambda p, *a: made.append(p.count()) or pairs(p, *a))
+    got = line_dedup.line_classes(docs_of(spark, [" ".join(x) for x in lines]), **line_dedup.WHOLE).collect()
+    assert {r.doc_id: (r.class_doc, r.n_links) for r in got} == {i: (first[i], len(x)) for i, x in link.items()}
+    total = sum(map(len, link.values())) // 2
+    assert total > 8000 and sum(made) < total / 2
+
+
 def test_checksums_and_fit_take_bounded_memory():
     import tracemalloc
 
