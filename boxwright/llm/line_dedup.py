@@ -1,10 +1,12 @@
 """Line dedup by a segment-partition edit join. DataFrame functions only.
 
-Lines fall into classes of length; the segments of a class have one size, the least length of the class over threshold + 1. The
-first half of a line's threshold + 1 segments is counted from its start, the rest from its end. With at most `threshold` edits
-between two lines there is a segment i without any, with i - 1 edits before it, so it stands in the other line at most i - 1
-places off if counted from the start, and at most threshold + 1 - i off if counted from the end. So each distinct line
-is indexed under its segments and probes with its substrings at those places: threshold + 1 own keys, and (threshold + 1)^2 / 2 in all.
+Lines fall into classes of length; the segments of a class have one size, the least length of the class (less threshold // 2) over
+threshold + 1. The first half of a line's threshold + 1 segments is counted from its start, the rest from its end. Places in two lines that are
+at most `threshold` edits apart are counted by the lesser of both indexes, from the start or from the end. Each edit then hits one place
+at most, and as no more than threshold // 2 places are lost between the halves, one segment. So there is a segment i without
+any, with i - 1 edits before and at most threshold + 1 - i after it; the line with the lesser index has it as its own, and in the other it
+stands as many places further on (from its end, in the second half). So each distinct line is indexed under its segments and probes with
+its substrings at those places: threshold + 1 own keys, and some (threshold + 2)^2 / 4 in all.
 A line that is at most `threshold` longer than the class below belongs to both, so that lines of different length meet.
 
 Keys that two lines share give pairs. Counts of letters and parities of words must nearly agree before a pair is verified: common
@@ -53,14 +55,9 @@ GROWTH = 1.2
 BROADCAST_ROWS = 2_000_000
 
 
-def _class(length: Column, low: int) -> Column:
-    """Class of length, from 0 at length `low`; null below."""
-    return F.when(length >= low, F.floor(F.log(length / F.lit(low)) / F.lit(math.log(GROWTH)) + 1e-9).cast("int"))
-
-
-def _segment_size(c: Column, low: int, threshold: int) -> Column:
-    """Size of the segments of class c: its least length over threshold + 1."""
-    return F.floor(F.ceil(F.pow(F.lit(GROWTH), c) * low - 1e-6) / (threshold + 1)).cast("int")
+def _segment_size(c: Column, low: int | Column, t: int | Column, spare: int | Column) -> Column:
+    """Size of the segments of class c: its least length, less what t edits can shift, over t + 1."""
+    return F.floor((F.ceil(F.pow(F.lit(GROWTH), c) * low - 1e-6) - spare) / (t + 1)).cast("int")
 
 
 def _places(threshold: int) -> Column:
@@ -68,34 +65,37 @@ def _places(threshold: int) -> Column:
     out = []
     for i in range(1, threshold + 2):
         from_end = i > (threshold + 2) // 2
-        most = threshold + 1 - i if from_end else i - 1
-        out += [F.struct(F.lit(i).alias("i"), F.lit(shift).alias("shift"), F.lit(from_end).alias("from_end")) for shift in range(-most, most + 1)]
+        shifts = range(i - threshold - 1, 1) if from_end else range(i)
+        out += [F.struct(F.lit(i).alias("i"), F.lit(shift).alias("shift"), F.lit(from_end).alias("from_end")) for shift in shifts]
     return F.array(*out)
 
 
 def keyed(lines: DataFrame, kinds: list[tuple], keep: list[str]) -> DataFrame:
     """(keep..., kind, key, own): hashes of a line's own segments and of the substrings where near lines may have theirs.
 
-    lines has line, n (characters), words (array), n_words; kinds are those of line_classes().
+    lines has line, n (characters), words (array), n_words; kinds are those of line_classes(). Kinds and classes come from
+    generators over constants: code that names each would be too long for the JVM to compile.
     """
     picked = []
-    for k, (t, low, high, w, implied) in enumerate(kinds):
-        n = F.col("n_words" if w else "n")
-        inside = F.lit(True) if high is None else n <= high
-        if implied is not None:  # every pair that this kind could link is compared word by word
-            inside = inside & (F.col("n_words") < implied)
-        here, below = _class(n, low), _class(n - t, low)
-        for c, ok in ((here, inside), (below, inside & (below != here))):
-            picked.append(F.struct(F.lit(k).alias("k"), n.alias("n"), F.lit(t).alias("t"), F.when(ok, c).alias("c"), _segment_size(c, low, t).alias("size")))
-    x = lines.select(*keep, "line", "words", F.explode(F.array(*picked)).alias("kind")).where("kind.c is not null")
-    places = F.element_at(F.array(*(_places(t) for t, *_ in kinds)), F.col("kind.k") + 1)
-    x = x.select(*keep, "line", "words", "kind", F.explode(places).alias("p"))
-    size = F.col("kind.size")
-    first = F.when(F.col("p.from_end"), F.col("kind.n") - (F.col("kind.t") + 2 - F.col("p.i")) * size).otherwise((F.col("p.i") - 1) * size) + F.col("p.shift") + 1
-    x = x.select(*keep, "line", "words", "kind", "p", first.alias("first")).where((F.col("first") >= 1) & (F.col("first") + size - 1 <= F.col("kind.n")))
-    by_words = F.col("kind.k").isin([k for k, kind in enumerate(kinds) if kind[3]])
-    piece = F.when(by_words, F.xxhash64(F.slice("words", F.greatest("first", F.lit(1)), size))).otherwise(F.xxhash64(F.substring(F.col("line"), F.col("first"), size)))
-    return x.select(*keep, F.col("kind.k").alias("kind"), F.xxhash64(F.col("kind.k") * 1000 + F.col("p.i"), F.col("kind.c"), piece).alias("key"), (F.col("p.shift") == 0).alias("own"))
+    for k, (t, low, high, w, implied) in enumerate(kinds):  # a pair with so many words as implied is compared word by word
+        one = {"k": k, "t": t, "low": low, "high": high or 2**31 - 1, "by_words": bool(w), "implied": implied or 2**31 - 1, "spare": t // 2}
+        picked += [F.struct(*(F.lit(v).alias(name) for name, v in (one | {"below": below}).items())) for below in (False, True)]
+    fields = lambda of, *names: [F.col(f"{of}.{x}").alias(x) for x in names]
+    x = lines.select(*keep, "line", "words", "n", "n_words", F.explode(F.array(*picked)).alias("kind"))
+    length = F.when(F.col("kind.by_words"), F.col("n_words")).otherwise(F.col("n"))
+    # a class is a line's own, or the one below, which it must be so near to that it has another number
+    x = x.where((length >= F.col("kind.low") + F.when(F.col("kind.below"), F.col("kind.t")).otherwise(0)) & (length <= F.col("kind.high")) & (F.col("n_words") < F.col("kind.implied")))
+    at = lambda n: F.floor(F.log(n / F.col("low")) / F.lit(math.log(GROWTH)) + 1e-9).cast("int")
+    x = x.select(*keep, "line", "words", length.alias("n"), *fields("kind", "k", "t", "low", "by_words", "spare", "below"))
+    x = x.withColumn("c", at(F.when(F.col("below"), F.col("n") - F.col("t")).otherwise(F.col("n")))).where(~F.col("below") | (F.col("c") != at(F.col("n"))))
+    x = _once(x, size=_segment_size(F.col("c"), F.col("low"), F.col("t"), F.col("spare")))
+    places = F.element_at(F.array(*(_places(t) for t, *_ in kinds)), F.col("k") + 1)
+    x = x.select(*keep, "line", "words", "n", "k", "t", "by_words", "c", "size", F.explode(places).alias("p"))
+    size = F.col("size")
+    first = F.when(F.col("p.from_end"), F.col("n") - (F.col("t") + 2 - F.col("p.i")) * size).otherwise((F.col("p.i") - 1) * size) + F.col("p.shift") + 1
+    x = _once(x, first=first).where((F.col("first") >= 1) & (F.col("first") + size - 1 <= F.col("n")))
+    piece = F.when(F.col("by_words"), F.xxhash64(F.slice("words", F.greatest("first", F.lit(1)), size))).otherwise(F.xxhash64(F.substring(F.col("line"), F.col("first"), size)))
+    return x.select(*keep, F.col("k").alias("kind"), F.xxhash64(F.col("k") * 1000 + F.col("p.i"), F.col("c"), piece).alias("key"), (F.col("p.shift") == 0).alias("own"))
 
 
 def letter_counts(line: Column, length: Column) -> Column:
@@ -106,23 +106,24 @@ def letter_counts(line: Column, length: Column) -> Column:
     return out
 
 
-def word_parities(words: Column) -> Column:
-    """Struct of four longs: in each, the parities of the counts of words in 64 classes of a hash of its own."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
+def gray(counts: Column) -> Column:
+    """Half bytes in Gray's code: one more or less, modulo 16, flips one bit."""
+    return counts.bitwiseXOR(F.shiftright(counts, 1).bitwiseAND(F.lit(0x7777777777777777)))
 
-    def parity(i: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 6 * i).bitwiseAND(F.lit(63)).cast("int"))))
 
-    return F.struct(*(parity(i).alias(f"w{i}") for i in range(4)))
+def word_parities(texts: DataFrame) -> DataFrame:
+    """(id, letters, w, n, id2) of texts (id, id2, line, letters): w has, in each of four longs, the parities of the counts of words in 64
+    classes of a hash of its own; n is how many lines have the id. A row for each word is summed up as it is made."""
+    x = texts.select("id", "id2", "letters", F.posexplode(F.split("line", " ")).alias("at", "word"))
+    x = x.select("id", "id2", "letters", "at", F.xxhash64("word").alias("h"))
+    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright("h", 6 * i).bitwiseAND(F.lit(63)).cast("int"))
+    x = x.groupBy("id").agg(F.max("letters").alias("letters"), F.max("id2").alias("id2"), F.count_if(F.col("at") == 0).alias("n"), *(F.bit_xor(bit(i)).alias(f"w{i}") for i in range(4)))
+    return x.select("id", "letters", F.struct(*(f"w{i}" for i in range(4))).alias("w"), "n", "id2")
 
 
 def may_be_near(a: Column, b: Column, threshold: int | Column) -> Column:
-    """Whether counts of letters allow so few edits: each edit changes two of them by one at most."""
-    total = F.lit(0)
-    for i in range(len(LETTERS)):
-        d = F.abs(F.shiftright(a, 4 * i).bitwiseAND(F.lit(15)) - F.shiftright(b, 4 * i).bitwiseAND(F.lit(15)))
-        total = total + F.least(d, 16 - d)
-    return total <= 2 * threshold
+    """Whether counts of letters (gray) allow so few edits: each edit changes two of them by one at most."""
+    return F.bit_count(a.bitwiseXOR(b)) <= 2 * threshold
 
 
 def _shared(a: Column, b: Column, most: Column, side) -> Column:
@@ -225,28 +226,41 @@ def _kinds(threshold: int, min_edit_chars: int, short_edit_chars: int | None, wo
     """(threshold, least length, most, whether lengths are in words, number of words from which a later kind finds the same pairs).
 
     The longer of two lines may reach into the next range. `threshold` edits of characters are at most twice as many edits of words and
-    change the number of words by `threshold` at most, so word classes that allow so many take in the character edits.
+    change the number of words by `threshold` at most, so word classes that allow so many take in the character edits. So do the keys of
+    a class of two edits of words for two of characters, though not its comparison (_by_keys): an edit of a character makes one word
+    another, parts one or joins two. With the first and the last segment (of size s) both hit, x < s words before the first edit and r < s
+    after the second, the lesser place after the first edit is x + 1 <= s, and that before the second 3 s + 1 - r - 2 >= 2 s at least, so
+    the second segment is whole. Edits of the same words take three at most, which can't hit both ends.
     """
-    implied = next((low + threshold for i, (low, _) in enumerate(word_classes) if all(most >= 2 * threshold for _, most in word_classes[i:])), None)
+    enough = lambda most: most >= 2 * threshold or most == threshold == 2
+    implied = next((low + threshold for i, (low, _) in enumerate(word_classes) if all(enough(most) for _, most in word_classes[i:])), None)
     kinds: list[tuple] = [(threshold, min_edit_chars, None, False, implied)]
     if short_edit_chars is not None:
         kinds.append((1, short_edit_chars, min_edit_chars, False, None))
     for i, (low, most) in enumerate(word_classes):
         kinds.append((most, low, word_classes[i + 1][0] - 1 + most if i + 1 < len(word_classes) else None, True, None))
-    if any(low <= t for t, low, *_ in kinds):
-        raise ValueError("lines that are compared must be longer than the threshold")
+    if any(low <= t + t // 2 for t, low, *_ in kinds):
+        raise ValueError("lines that are compared must be longer than one and a half times the threshold")
     return kinds
 
 
+def _by_keys(kinds: list[tuple]) -> list[int]:
+    """Kinds by words whose keys stand for those of characters: their pairs are compared by characters too."""
+    t, _, _, _, implied = kinds[0]
+    return [k for k, (most, low, _, words, _) in enumerate(kinds) if words and implied is not None and low + t >= implied and most < 2 * t]
+
+
 def _near_counts(a: str, b: str, kinds: list[tuple]) -> Column:
     """Whether two lines that share a key may be linked by their counts (letters, and parities w of words); unknown counts may.
 
     An edit of a word changes the counts of two words at most, one of a character of three: it may part a word or join two.
     """
     of = lambda values: F.element_at(F.array(*(F.lit(x) for x in values)), F.col("kind") + 1)
-    flips = of([(2 if words else 3) * t for t, _, _, words, _ in kinds])
-    near = reduce(Column.__and__, (F.bit_count(F.col(f"{a}.w.w{i}").bitwiseXOR(F.col(f"{b}.w.w{i}"))) <= flips for i in range(4)))
-    return F.coalesce(near & (of([words for _, _, _, words, _ in kinds]) | may_be_near(F.col(f"{a}.letters"), F.col(f"{b}.letters"), of([t for t, *_ in kinds]))), F.lit(True))
+    within = lambda most: reduce(Column.__and__, (F.bit_count(F.col(f"{a}.w.w{i}").bitwiseXOR(F.col(f"{b}.w.w{i}"))) <= most for i in range(4)))
+    chars = [kinds[0][0] if k in _by_keys(kinds) else None if words else t for k, (t, _, _, words, _) in enumerate(kinds)]
+    by_words = within(of([2 * t if words else -1 for t, _, _, words, _ in kinds]))
+    by_chars = within(of([-1 if t is None else 3 * t for t in chars])) & may_be_near(F.col(f"{a}.letters"), F.col(f"{b}.letters"), of([t or 0 for t in chars]))
+    return F.coalesce(by_words | by_chars, F.lit(True))
 
 
 def _pairs(known: DataFrame, kinds: list[tuple], apart: bool = False) -> DataFrame:
@@ -261,7 +275,7 @@ def _pairs(known: DataFrame, kinds: list[tuple], apart: bool = False) -> DataFra
         once = F.coalesce(F.col("ca") != F.col("cb"), F.lit(True)) & (~F.col("ob") | (F.col("a") < F.col("b")))
     else:  # lines with keys of their own in common meet under the least of these, others under the keys that one has and the other probes
         once = F.when(F.col("ob"), (F.col("a") < F.col("b")) & (probe["key"] == F.array_min(F.array_intersect("ka", "kb")))).otherwise(~F.arrays_overlap("ka", "kb"))
-    met = probe.join(index, (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & once & unknown & _near_counts("fa", "fb", kinds))
+    met = probe.join(index, (probe["key"] == index["key"]) & (F.col("a") != F.col("b")) & _near_counts("fa", "fb", kinds) & unknown & once)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "kind").groupBy("a", "b").agg(F.collect_set("kind").alias("kinds"))
 
 
@@ -323,11 +337,14 @@ def _verified_links(pairs: DataFrame, texts: DataFrame, kinds: list[tuple]) -> D
     line = lambda side: F.struct("id", "id2").alias(side)
     full = pairs.join(texts.select(F.col("id").alias("a"), line("la"), F.col("line").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), line("lb"), F.col("line").alias("tb")), "b")
     # by words first, under the largest threshold that a pair has met; what that links isn't compared by characters again
-    of = lambda w: [(k, t) for k, (t, _, _, words, _) in enumerate(kinds) if words == w]
-    by_words = [verified_words(full.where(F.array_max("kinds") == k), "ta", "tb", t).select("la", "lb") for k, t in of(True)]
+    by_words = [verified_words(full.where(F.array_max("kinds") == k), "ta", "tb", t).select("la", "lb") for k, (t, _, _, words, _) in enumerate(kinds) if words]
     linked = cut(reduce(DataFrame.union, by_words).distinct(), "linked") if by_words else full.select("la", "lb").where("false")
     left = full.join(linked, ["la", "lb"], "left_anti")
-    found = [verified(left.where(F.array_contains("kinds", k)), "ta", "tb", t).select("la", "lb") for k, t in of(False)]
+    found = []
+    for k, (t, low, _, words, _) in enumerate(kinds):
+        if not words:
+            met = F.arrays_overlap("kinds", F.array(*(F.lit(x) for x in [k, *(_by_keys(kinds) if k == 0 else [])])))
+            found.append(verified(left.where(met & (F.least(F.length("ta"), F.length("tb")) >= low)), "ta", "tb", t).select("la", "lb"))
     every = reduce(DataFrame.union, [reread(linked) if by_words else linked, *found])
     links = cut(every.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), "links")
     discard(linked)
@@ -391,16 +408,16 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     compared = _once(compared.select("id", "line", "n"), words=F.split("line", " "))
     compared = _once(compared, n_words=F.size("words"))
     # members of keys that several lines have, one of them as its own: one exchange, read twice
-    keys = keyed(compared, kinds, ["id"]).repartition("key")
-    # kind is read by both, so that both read the same exchange
-    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("own").alias("own"), F.max("kind").alias("kind"), F.count_if("own").alias("owners")).where("lo < hi and own and kind >= 0").select("key", (F.col("owners") > FAMILY).alias("many"))
-    members = cut(keys.join(shared, "key").groupBy("key", "id", "kind").agg(F.max("own").alias("own"), F.max("many").alias("many")), "members")
+    keys = keyed(compared, kinds, ["id"]).select("key", "id", (2 * F.col("kind") + F.col("own").cast("int")).alias("tag")).repartition("key")
+    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count_if(F.col("tag") % 2 == 1).alias("owners")).where("lo < hi and owners > 0").select("key", (F.col("owners") > FAMILY).alias("many"))
+    # a row for each such key is hashed, so that all keys needn't be sorted
+    members = keys.join(shared.hint("shuffle_hash"), "key").select("key", "id", F.floor(F.col("tag") / 2).cast("int").alias("kind"), (F.col("tag") % 2 == 1).alias("own"), "many")
+    members = cut(members.groupBy("key", "id", "kind").agg(F.max("own").alias("own"), F.max("many").alias("many")), "members")
     ids = cut(members.select("id").distinct(), "ids")
     few = F.broadcast if ids.count() <= BROADCAST_ROWS else lambda x: x
     texts = lines.select("id", "id2", "line", "n").join(few(ids), "id", "left_semi").groupBy("id", "id2").agg(F.any_value("line").alias("line"), F.any_value("n").alias("n"))
-    texts = cut(texts.select("id", "id2", "line", letter_counts(F.col("line"), F.col("n")).alias("letters"), word_parities(F.split("line", " ")).alias("w")), "texts")
-    counts = texts.groupBy("id").agg(F.max("letters").alias("letters"), F.max("w").alias("w"), F.count("*").alias("n"), F.max("id2").alias("id2"))
-    known = members.join(counts, "id")
+    texts = cut(texts.select("id", "id2", "line", gray(letter_counts(F.col("line"), F.col("n"))).alias("letters")), "texts")
+    known = members.join(word_parities(texts), "id")
     if count_links:
         owned = members.where("own").groupBy("id", "kind").agg(F.collect_list("key").alias("keys"))  # a few for each class of a line
         known = known.join(owned, ["id", "kind"], "left").withColumn("keys", F.coalesce("keys", F.array().cast("array<bigint>")))

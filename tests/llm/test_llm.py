@@ -193,6 +193,54 @@ def test_short_lines_have_rows_and_links(spark):
     assert {i: r.class_doc for i, r in got.items()} == {0: 0, 1: 1, 2: 0, 3: 3, 4: 3, 5: 5, 6: 5, 7: 5, 8: 8, 9: 8, 10: 10, 11: 11}
 
 
+def test_keys_by_words_find_edits_of_characters(spark):
+    rng = random.Random(29)
+    lines = []
+    for n in (23, 24, 25, 28, 29, 63, 64, 66, 67):
+        base = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 3))) for _ in range(n))
+        lines.append(base)
+        for _ in range(14):  # words parted, joined and changed, most often near the ends and the borders of segments
+            x = list(base)
+            for _ in range(2):
+                at = [0, *(i for i, c in enumerate(x) if c == " "), len(x) - 1]
+                i = at[rng.choice((0, 1, 2, len(at) // 3 - 1, len(at) // 3, len(at) // 3 + 1, 2 * len(at) // 3 - 1, 2 * len(at) // 3, -3, -2, -1))]
+                rng.choice((lambda: x.pop(i), lambda: x.insert(i + 1, " "), lambda: x.__setitem__(i, "z"), lambda: x.insert(i, "q")))()
+            lines.append("".join(x))
+    lines = list(dict.fromkeys(lines))
+    got = line_dedup.line_classes(docs_of(spark, lines), **line_dedup.WHOLE).collect()
+
+    def near(a, b):
+        x, y = a.split(" "), b.split(" ")
+        most = max((t for n, t in line_dedup.WORD_CLASSES if n <= min(len(x), len(y))), default=0)
+        return abs(len(a) - len(b)) <= 40 and abs(len(x) - len(y)) <= 4 and (distance(x, y) <= most or distance(a, b) <= 2)
+
+    want = dict.fromkeys(range(len(lines)), 0)
+    for i in range(len(lines)):
+        for j in range(i):
+            if near(lines[i], lines[j]):
+                want[i] += 1
+                want[j] += 1
+    assert {r.doc_id: r.n_links for r in got} == want and sum(want.values()) > 400
+
+
+def test_keys_of_lines_are_few_and_compiled(spark, capsys):
+    kinds = line_dedup._kinds(line_dedup.THRESHOLD, line_dedup.MIN_EDIT_CHARS, 10, line_dedup.WORD_CLASSES)
+    lines = spark.createDataFrame([(n, " ".join(f"word{i}" for i in range(n))) for n in (10, 20, 45, 100)], "id long, line string")
+    lines = lines.select("id", "line", F.length("line").alias("n"), F.split("line", " ").alias("words")).withColumn("n_words", F.size("words"))
+    keys = line_dedup.keyed(lines, kinds, ["id"])
+    counts = {r.id: (r.own, r.n) for r in keys.groupBy("id").agg(F.count_if("own").alias("own"), F.count("*").alias("n")).collect()}
+    assert {n: counts[n] for n in counts} == {10: (3, 4), 20: (5, 6), 45: (3, 4), 100: (5, 9)}
+    known = spark.createDataFrame([], "key long, id long, kind int, own boolean, keys array<long>, near struct<g: long, p: int, room: int>, f struct<letters: long, w: struct<w0: long, w1: long, w2: long, w3: long>>, c struct<id: long, id2: long>")
+    for df in (keys, line_dedup._pairs(known, kinds)):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            df.select("*").explain("codegen")
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+        sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert sizes and max(sizes) <= 8000  # the JVM compiles no longer method
+
+
 def test_classes_without_links_are_the_same(spark, monkeypatch):
     rng = random.Random(17)
     vocab = [f"word{i}" for i in range(300)]
