@@ -93,7 +93,7 @@ def keyed(lines: DataFrame, kinds: list[tuple], keep: list[str]) -> DataFrame:
     x = x.select(*keep, "line", "words", "n", "k", "t", "by_words", "c", "size", F.explode(places).alias("p"))
     size = F.col("size")
     first = F.when(F.col("p.from_end"), F.col("n") - (F.col("t") + 2 - F.col("p.i")) * size).otherwise((F.col("p.i") - 1) * size) + F.col("p.shift") + 1
-    x = _once(x, first=first).where((F.col("first") >= 1) & (F.col("first") + size - 1 <= F.col("n")))
+    x = x.withColumn("first", first).where((F.col("first") >= 1) & (F.col("first") + size - 1 <= F.col("n")))
     piece = F.when(F.col("by_words"), F.xxhash64(F.slice("words", F.greatest("first", F.lit(1)), size))).otherwise(F.xxhash64(F.substring(F.col("line"), F.col("first"), size)))
     return x.select(*keep, F.col("k").alias("kind"), F.xxhash64(F.col("k") * 1000 + F.col("p.i"), F.col("c"), piece).alias("key"), (F.col("p.shift") == 0).alias("own"))
 
