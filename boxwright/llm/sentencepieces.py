@@ -223,9 +223,7 @@ def encoder(path: str) -> PieceEncoder:
     return kept(("pieces", path), lambda: PieceEncoder(path))
 
 
-def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): a row for every row. A null or empty text has no ids. Other columns are ignored."""
-
+def _encoding(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
         for batch in batches:
@@ -235,12 +233,10 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(b, pa.int32()), pa.array(ids.astype(np.int32)))], names=["doc_id", "ids"])
                 give_back()  # new chunks leave as much behind as the table holds
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lean(run, keeps=True), "doc_id long, ids array<int>")
+    return run
 
 
-def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
-    """(doc_id, ids) -> (doc_id, n_tokens, ids_crc32, text). Null ids give a null text, ids without entries an empty one."""
-
+def _decoding(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
         for batch in batches:
@@ -255,12 +251,35 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
                     names=["doc_id", "n_tokens", "ids_crc32", "text"],
                 )
 
-    return encoded.mapInArrow(lean(run, keeps=True), "doc_id long, n_tokens long, ids_crc32 long, text string")
+    return run
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+
+def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids): a row for every row. A null or empty text has no ids. Other columns are ignored."""
+    return _texts(docs, id_col, text_col).mapInArrow(lean(_encoding(model), keeps=True), "doc_id long, ids array<int>")
+
+
+DECODED = "doc_id long, n_tokens long, ids_crc32 long, text string"
+
+
+def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
+    """(doc_id, ids) -> (doc_id, n_tokens, ids_crc32, text). Null ids give a null text, ids without entries an empty one."""
+    return encoded.mapInArrow(lean(_decoding(model), keeps=True), DECODED)
+
+
+def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """decode_documents(encode_documents(docs)) with one worker a task in place of two, which would each hold the model beside the other."""
+    encode, decode = _encoding(model), _decoding(model)
+    return _texts(docs, id_col, text_col).mapInArrow(lean(lambda batches: decode(encode(batches)), keeps=True), DECODED)
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = public_tokenizers.path("piece_bpe_32k.model")
-    out = decode_documents(encode_documents(table(spark, sf_dir, "documents"), model), model)
+    out = round_trip(table(spark, sf_dir, "documents"), model)
     return out.select("doc_id", "n_tokens", "ids_crc32", F.length("text").cast("long").alias("decoded_chars"), F.sha2("text", 256).alias("decoded_sha256"))

@@ -57,13 +57,28 @@ def _distinct(row: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key >> SPACE_BITS, key & ((1 << SPACE_BITS) - 1)
 
 
+def _spans(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, where each begins) of sorted values."""
+    at = np.flatnonzero(np.r_[np.ones(min(1, len(values)), bool), values[1:] != values[:-1]])
+    return values[at], at
+
+
+def _counts(f: np.ndarray) -> np.ndarray:
+    """How often each feature occurs. bincount takes 64-bit numbers, so it gets a part at a time."""
+    out = np.zeros(1 << SPACE_BITS, np.int32)
+    for i in range(0, len(f), 1 << SPACE_BITS):
+        out += np.bincount(f[i : i + (1 << SPACE_BITS)], minlength=len(out)).astype(np.int32)
+    return out
+
+
 def _logistic(row: np.ndarray, col: np.ndarray, n: int, m: int, dense: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 60, memory: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """Weights of m sparse 0/1 features and of dense columns (the last one is the bias), by L-BFGS on the convex penalised loss. Rows are sorted;
     sums by row and by feature run over spans."""
     by_col = np.argsort(col, kind="stable")
-    row_of, col_of = row[by_col].astype(np.int32), col.astype(np.int32)
-    some_rows, row_at = np.unique(row, return_index=True)
-    some_cols, col_at = np.unique(col[by_col], return_index=True)
+    row_of, col_of = row[by_col].astype(np.int32), col.astype(np.int32, copy=False)
+    some_rows, row_at = _spans(row)
+    some_cols, col_at = _spans(col[by_col])
+    del by_col
 
     def sums(values: np.ndarray, at: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
         out = np.zeros(size)
@@ -107,13 +122,14 @@ def _logistic(row: np.ndarray, col: np.ndarray, n: int, m: int, dense: np.ndarra
 
 def _select(row: np.ndarray, f: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Features that at least three rows have, the most telling by a two-proportion score; sorted."""
-    size = 1 << SPACE_BITS
-    pos = np.bincount(f[y[row] > 0.5], minlength=size)
-    every = np.bincount(f, minlength=size)
+    every = _counts(f)
+    some = np.flatnonzero(every >= 3)
+    every = every[some]
+    pos = _counts(f[(y > 0.5)[row]])[some]
     share = y.mean()
-    z = (pos - every * share) / np.sqrt(every * share * (1 - share) + 1.0)
-    ok = np.flatnonzero((every >= 3) & (np.abs(z) > 2))
-    return np.sort(ok[np.argsort(-np.abs(z[ok]), kind="stable")[:MAX_FEATURES]])
+    z = np.abs((pos - every * share) / np.sqrt(every * share * (1 - share) + 1.0))
+    some, z = some[z > 2], z[z > 2]
+    return np.sort(some[np.argsort(-z, kind="stable")[:MAX_FEATURES]])
 
 
 def _places(chosen: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,10 +188,11 @@ def _fit_task(k: int):
                 rows.append((r + n).astype(np.int32))
                 feats.append(f.astype(np.int32))
                 n += j - i
-            ids.append(batch.column(0).to_numpy())
+            ids.append(batch.column(0).to_numpy().copy())  # a view would hold the batch with its texts
             labels.append(np.stack([batch.column(2 + c).to_numpy() for c in range(k)], axis=1))
         if not n:
             return
+        del batch, w
         key = np.concatenate(ids)
         order = np.argsort(key, kind="stable")  # the fit doesn't depend on the order of arrival
         place = np.empty(n, np.int64)

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from boxwright.llm import chunks, components, decontaminate, language_id, line_dedup, near_dedup, pitman_yor, registry, sentencepieces, tiff, token_records, toxicity, warc, words
+from boxwright.llm import chunks, components, decontaminate, language_id, line_dedup, near_dedup, pitman_yor, registry, sentencepieces, tiff, token_records, toxicity, warc, words, workers
 
 SPLIT = re.compile(rb"[\x20\x09-\x0d]+")
 ODD = [None, "", " \n\t ", "one", "a b c d", "A B C D", "x" * 5000, "é ü ß 日本 😀", "line\n\nline\n"]
@@ -513,6 +513,59 @@ def test_workers_drop_what_another_stage_kept(spark):
     assert held() == 0
 
 
+def test_workers_that_wait_let_go(monkeypatch):
+    import time
+
+    monkeypatch.setattr(workers, "WAIT", 0.2)
+    monkeypatch.setattr(workers, "_kept", {})
+    run = workers.lean(lambda batches: (workers.kept("a", lambda: [0]) for _ in batches), keeps=True)
+    assert list(run(iter([1, 2]))) == [[0], [0]] and workers._kept
+    list(run(iter([1])))  # a task in time: it finds what the one before kept, and the time starts anew
+    time.sleep(0.1)
+    task = run(iter([1, 2]))
+    next(task)
+    time.sleep(0.4)
+    assert workers._kept  # a task is going on
+    list(task)
+    time.sleep(0.6)
+    assert not workers._kept
+
+
+def test_a_round_trip_of_pieces_takes_one_worker(spark, capsys):
+    import public_tokenizers
+
+    path, docs = public_tokenizers.path("piece_bpe_32k.model"), docs_of(spark, some_texts(20))
+    both = sentencepieces.round_trip(docs, path)
+    want = sentencepieces.decode_documents(sentencepieces.encode_documents(docs, path), path)
+    assert sorted(map(tuple, both.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    import __spark_entry__
+
+    capsys.readouterr()
+    __spark_entry__.queries()["op5_sentencepiece"](spark, "/root/testdata/sf0.001").explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+
+
+def test_fit_counts_in_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    row, f = np.sort(rng.integers(0, 3000, 400_000)).astype(np.int32), (rng.zipf(1.3, 400_000) % (1 << toxicity.SPACE_BITS)).astype(np.int32)
+    y = (np.arange(3000) % 3 == 0).astype(float)
+    size = 1 << toxicity.SPACE_BITS
+    pos, every = np.bincount(f[y[row] > 0.5], minlength=size), np.bincount(f, minlength=size)
+    z = (pos - every * y.mean()) / np.sqrt(every * y.mean() * (1 - y.mean()) + 1.0)
+    ok = np.flatnonzero((every >= 3) & (np.abs(z) > 2))
+    want = np.sort(ok[np.argsort(-np.abs(z[ok]), kind="stable")[: toxicity.MAX_FEATURES]])
+    tracemalloc.start()
+    got = toxicity._select(row, f, y)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(want) and got.tolist() == want.tolist() and most < 25 * size
+    for values in ([], [4], [1, 1, 2, 5, 5, 5]):
+        a, b = toxicity._spans(np.array(values, np.int32)), np.unique(np.array(values, np.int32), return_index=True)
+        assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()
+
+
 def unigram_model(pieces):
     """A serialized unigram model by hand: pieces with scores, identity normalisation."""
     import struct
