@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from .chunks import ChunkTable
 from .shared import cut, new_path, table
 from .words import blocks, text_buffers
+from .workers import kept, lean
 
 HEADER = 12
 FRAME = HEADER + 4 + 1
@@ -227,13 +228,8 @@ class ChunkEncoder(ChunkTable):
         return self.encode_chunks(raw, self.cuts(raw, offs), offs)
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
 def encoder(path: str) -> ChunkEncoder:
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+    return kept(("chunks", path), lambda: ChunkEncoder(path))
 
 
 def _framed(path: str, end_id: int):
@@ -244,7 +240,7 @@ def _framed(path: str, end_id: int):
         for batch in batches:
             raw, offs = text_buffers(batch.column(1))
             docs = batch.column(0).fill_null(NULL_ID).to_numpy().astype("<i8")
-            for i, j in blocks(offs, 2 << 20):
+            for i, j in blocks(offs, 1 << 20):
                 ids, bounds = enc.encode(raw[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 flat, bounds = ids.tobytes(), (bounds * width).tolist()
                 datas = [docs[r].tobytes() + flat[bounds[r - i] : bounds[r - i + 1]] + end for r in range(i, j)]
@@ -257,8 +253,6 @@ def _walk(dtype: str):
     """Shards (path, content) -> a row for each record, checksums verified."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for e in _encoders.values():  # this worker may have written before; nothing is encoded here
-            e.forget()
         for batch in batches:
             for r in range(batch.num_rows):
                 shard = batch.column(0)[r].as_py()
@@ -286,7 +280,7 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "d
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     order = F.col("doc_id").asc_nulls_first()
     ordered = src.repartitionByRange(max(1, -(-total // shard_text_bytes)), order).sortWithinPartitions(order)
-    rows = ordered.mapInArrow(_framed(tokenizer, end_id), "record binary")
+    rows = ordered.mapInArrow(lean(_framed(tokenizer, end_id), keeps=True), "record binary")
     rows.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
     return path
 
@@ -298,7 +292,7 @@ def build_index(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
     earlier in the shard.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(F.regexp_extract("path", "([^/]*)$", 1).alias("shard"), "content")
-    rows = cut(files.mapInArrow(_walk(encoder(tokenizer).dtype), "doc_id long, shard string, offset long, length long, n_tokens long, ids_crc32 long"), "records-index")
+    rows = cut(files.mapInArrow(lean(_walk(encoder(tokenizer).dtype)), "doc_id long, shard string, offset long, length long, n_tokens long, ids_crc32 long"), "records-index")
     sums = rows.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     sums = sums.select("shard", (F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("base"))
     within = F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
@@ -326,7 +320,7 @@ def read_shuffled(spark: SparkSession, path: str, index: DataFrame, tokenizer: s
                     out.append(np.frombuffer(found[0][1][8:], dtype).astype(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array([x["doc_id"] for x in rows], pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "ids"])
 
-    return files.join(wanted, "shard").select("content", "w").mapInArrow(take, "doc_id long, ids array<long>")
+    return files.join(wanted, "shard").select("content", "w").mapInArrow(lean(take), "doc_id long, ids array<long>")
 
 
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -531,6 +531,24 @@ def test_workers_that_wait_let_go(monkeypatch):
     assert not workers._kept
 
 
+def test_workers_that_wait_hold_no_chunks(spark):
+    import time
+
+    import public_tokenizers
+
+    def encoders(batches):
+        import gc
+
+        n = sum(type(x).__name__ == "ChunkEncoder" for x in gc.get_objects())
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
+
+    token_records.write_records(docs_of(spark, some_texts(20)), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, shard_text_bytes=1000)
+    time.sleep(workers.WAIT + 2)
+    assert sum(r.n for r in spark.range(0, 64, 1, 64).mapInArrow(encoders, "n long").collect()) == 0
+
+
 def test_a_round_trip_of_pieces_takes_one_worker(spark, capsys):
     import public_tokenizers
 
